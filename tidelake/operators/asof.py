@@ -34,7 +34,8 @@ def asof_join(
     first, last = horizon[0] * 12 + 1, horizon[1] * 12 + 12
 
     def month_of(column):
-        return F.least(F.greatest(month_number(column), F.lit(first)), F.lit(last))
+        clamped = F.least(F.greatest(month_number(column), F.lit(first)), F.lit(last))
+        return F.when(column.isNotNull(), clamped)
 
     dated = versions.select(
         F.col(key).alias("__key"), START, END, *[F.col(a).alias(f"__{a}") for a in attributes]

@@ -28,9 +28,14 @@ def dim_order_status(spark: SparkSession) -> DataFrame:
 
 
 def dim_date(spark: SparkSession, calendar: tuple[str, str] = CALENDAR_RANGE) -> DataFrame:
-    """Every calendar day of the range with its parts; weeks are ISO, day 1 is Sunday."""
+    """The calendar of a fixed range of days."""
     first, last = (F.lit(day).cast("date") for day in calendar)
-    days = spark.range(1).select(F.explode(F.sequence(first, last)).alias("date_key"))
+    return calendar_days(spark.range(1).select(first.alias("first"), last.alias("last")))
+
+
+def calendar_days(span: DataFrame) -> DataFrame:
+    """Every day of a one-row span (first, last) with its parts; weeks are ISO, day 1 is Sunday."""
+    days = span.select(F.explode(F.sequence("first", "last")).alias("date_key"))
     day = F.col("date_key")
     return days.select(
         "date_key",

@@ -1,0 +1,128 @@
+"""The whole job: gate, bronze, silver, gold, then report and layout."""
+
+from __future__ import annotations
+
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark.sql import DataFrame, SparkSession
+
+from tidelake.contracts import CALENDAR_RANGE
+from tidelake.operators.layout import optimise
+from tidelake.plans.dq import expectation_report, stamped_report
+from tidelake.plans.lake import GOLD, Lake
+from tidelake.sources.landing import SOURCES, require_landing
+from tidelake.sources.tables import Tables
+from tidelake.streaming.bronze import ingest_all, read_bronze, stream_bronze
+from tidelake.streaming.history import HistoryTable
+from tidelake.streaming.silver import FEEDS, refresh_all
+
+RECOMPUTED = ("sv_customers", "sv_geolocation", "sv_category_translation")
+HISTORIES = {
+    "sv_sellers_history": ("sellers", "seller_id"),
+    "sv_products_history": ("products", "product_id"),
+}
+SECURE = ("v_dim_customer_secure", "v_fct_reviews_secure")
+
+
+class Pipeline:
+    """Run the layers over ``landing`` into tables under ``root``; a rerun takes only what is new.
+
+    Steps are plain methods, so each layer can also be refreshed on its own.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        landing: str,
+        root: str,
+        calendar: tuple[str, str] = CALENDAR_RANGE,
+    ):
+        self.spark, self.landing, self.root, self.calendar = spark, landing, root, calendar
+        self.tables = Tables(spark, root)
+        self.checkpoints = f"{root}/checkpoints"
+
+    def gate(self) -> int:
+        return require_landing(self.spark, self.landing)
+
+    def bronze(self) -> None:
+        ingest_all(self.spark, self.landing, f"{self.root}/bronze", self.checkpoints)
+        for source in SOURCES:
+            self._catalogue("bronze", f"br_{source}")
+
+    def silver(self) -> None:
+        refresh_all(
+            self.spark, f"{self.root}/bronze", f"{self.root}/silver", self.checkpoints,
+            self.tables.log,
+        )
+        for dataset in FEEDS:
+            self._catalogue("silver", dataset)
+        for dataset, (source, key) in HISTORIES.items():
+            feed = stream_bronze(
+                self.spark, SOURCES[source], self.tables.folder("bronze", f"br_{source}")
+            )
+            table = HistoryTable(
+                self.spark, self.tables.folder("silver", dataset), [key], "_ingested_at"
+            )
+            table.follow(feed, f"{self.checkpoints}/{dataset}").awaitTermination()
+            self._catalogue("silver", dataset, table.folder)
+        lake = Lake(self.spark, self._bronze_frames())
+        for dataset in RECOMPUTED:
+            self.tables.publish("silver", dataset, lake[dataset])
+
+    def gold(self) -> None:
+        """Publish gold tables in dependency order, each read back by those that follow."""
+        stored = {
+            name: self.tables.read("silver", name)
+            for name in (*FEEDS, *HISTORIES, *RECOMPUTED)
+        }
+        for name in GOLD:
+            lake = Lake(self.spark, stored, calendar=self.calendar)
+            self.tables.publish("gold", name, lake.before_rules(name))
+            stored[name] = self.tables.read("gold", name)
+        lake = Lake(self.spark, stored)
+        for view in SECURE:
+            self.tables.publish("gold", view, lake[view])
+
+    def report(self) -> DataFrame:
+        """Refresh the expectation report table."""
+        logs = {layer: lambda layer=layer: self.tables.log.read(layer) for layer in ("silver", "gold")}
+        self.tables.publish("ops", "dq_expectation_report", stamped_report(expectation_report(logs)))
+        return self.tables.read("ops", "dq_expectation_report")
+
+    def layout(self) -> DataFrame:
+        return optimise(
+            self.spark, self.root, lambda name, folder: self.tables.point("gold", name, folder)
+        )
+
+    def run(self) -> int:
+        """Everything in order; report and layout do not depend on each other and run together."""
+        files = self.gate()
+        self.bronze()
+        self.silver()
+        self.gold()
+        with ThreadPoolExecutor(2) as pool:
+            for step in [pool.submit(self.report), pool.submit(self.layout)]:
+                step.result()
+        return files
+
+    def _bronze_frames(self) -> dict[str, DataFrame]:
+        return {
+            f"br_{name}": read_bronze(
+                self.spark, source, self.tables.folder("bronze", f"br_{name}")
+            )
+            for name, source in SOURCES.items()
+        }
+
+    def _catalogue(self, layer: str, name: str, folder: str | None = None) -> None:
+        """Register or refresh the catalog entry of a streaming table."""
+        if self.tables.exists(layer, name):
+            table = f"{layer}.{name}"
+            if "batch_id" in self.tables.read(layer, name).columns or folder:
+                self.spark.catalog.recoverPartitions(table)
+            self.spark.catalog.refreshTable(table)
+        else:
+            self.spark.catalog.createTable(
+                f"{layer}.{name}", path=folder or self.tables.folder(layer, name), source="parquet"
+            )
+            if "batch_id" in self.tables.read(layer, name).columns or folder:
+                self.spark.catalog.recoverPartitions(f"{layer}.{name}")
