@@ -114,7 +114,7 @@ CTES = {
         JOIN nation z ON z.n_nationkey = (c_nationkey + (o_orderkey // 8) % 2) % 25""",
     "br_geolocation": """
         SELECT c_nationkey AS geolocation_zip_code_prefix,
-               round(c_acctbal / 100, 2) AS geolocation_lat,
+               round(c_acctbal) / 100 AS geolocation_lat,
                CAST(c_custkey % 180 AS DOUBLE) AS geolocation_lng,
                lower(c_mktsegment) AS geolocation_city, r_name AS geolocation_state
         FROM customer JOIN nation ON c_nationkey = n_nationkey

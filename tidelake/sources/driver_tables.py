@@ -152,7 +152,7 @@ class DriverTables:
         return self._audited(
             placed, _batch(FIRST_BATCH), "customer",
             F.col("c_nationkey").alias("geolocation_zip_code_prefix"),
-            F.round(F.col("c_acctbal") / 100, 2).alias("geolocation_lat"),
+            (F.round("c_acctbal") / 100).alias("geolocation_lat"),
             (F.col("c_custkey") % 180).cast("double").alias("geolocation_lng"),
             F.lower("c_mktsegment").alias("geolocation_city"),
             F.col("r_name").alias("geolocation_state"),
