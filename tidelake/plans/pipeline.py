@@ -10,6 +10,7 @@ from tidelake.contracts import CALENDAR_RANGE
 from tidelake.operators.layout import optimise
 from tidelake.plans.dq import expectation_report, stamped_report
 from tidelake.plans.lake import GOLD, Lake
+from tidelake.plans.security import create_views
 from tidelake.sources.landing import SOURCES, require_landing
 from tidelake.sources.tables import Tables
 from tidelake.streaming.bronze import ingest_all, read_bronze, stream_bronze
@@ -21,7 +22,6 @@ HISTORIES = {
     "sv_sellers_history": ("sellers", "seller_id"),
     "sv_products_history": ("products", "product_id"),
 }
-SECURE = ("v_dim_customer_secure", "v_fct_reviews_secure")
 
 
 class Pipeline:
@@ -36,8 +36,10 @@ class Pipeline:
         landing: str,
         root: str,
         calendar: tuple[str, str] = CALENDAR_RANGE,
+        region: tuple[str, ...] = ("SP",),
     ):
-        self.spark, self.landing, self.root, self.calendar = spark, landing, root, calendar
+        self.spark, self.landing, self.root = spark, landing, root
+        self.calendar, self.region = calendar, region
         self.tables = Tables(spark, root)
         self.checkpoints = f"{root}/checkpoints"
 
@@ -79,9 +81,7 @@ class Pipeline:
             lake = Lake(self.spark, stored, calendar=self.calendar)
             self.tables.publish("gold", name, lake.before_rules(name))
             stored[name] = self.tables.read("gold", name)
-        lake = Lake(self.spark, stored)
-        for view in SECURE:
-            self.tables.publish("gold", view, lake[view])
+        create_views(self.spark, self.region)
 
     def report(self) -> DataFrame:
         """Refresh the expectation report table."""

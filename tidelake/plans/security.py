@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Collection
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidelake.contracts import ID_MASK_SUFFIX
 from tidelake.functions.masks import mask_coordinate, mask_customer_id, mask_free_text
 
 
@@ -39,3 +40,29 @@ def review_text_masked(reviews: DataFrame, cleared: bool = False) -> DataFrame:
 def customer_regional(customers: DataFrame, states: Collection[str]) -> DataFrame:
     """Only the customers of the states the reader is responsible for."""
     return customers.filter(F.col("customer_state").isin(list(states)))
+
+
+def create_views(spark: SparkSession, region: Collection[str], layer: str = "gold") -> None:
+    """The secure views as catalog views, for readers who query by SQL.
+
+    The catalog knows no reader groups, so grant ``security`` to everyone and ``layer`` only to
+    cleared readers. ``region`` is the set of states the regional view shows.
+    """
+    spark.sql("CREATE SCHEMA IF NOT EXISTS security")
+    people = spark.table(f"{layer}.dim_customer").columns
+    masks = {
+        "customer_unique_id": f"concat(left(customer_unique_id, 4), '{ID_MASK_SUFFIX}')",
+        "customer_latitude": "round(customer_latitude, 1)",
+        "customer_longitude": "round(customer_longitude, 1)",
+    }
+    shown = ", ".join(f"{masks.get(c, c)} AS {c}" for c in people)
+    scores = ", ".join(reviews_secure(spark.table(f"{layer}.fct_reviews")).columns)
+    states = ", ".join("'" + state.replace("'", "\\'") + "'" for state in region)
+    bodies = {
+        "v_dim_customer_secure": f"SELECT {shown} FROM {layer}.dim_customer",
+        "v_fct_reviews_secure": f"SELECT {scores} FROM {layer}.fct_reviews",
+        "v_dim_customer_regional": f"SELECT * FROM {layer}.dim_customer"
+        f" WHERE customer_state IN ({states or 'NULL'})",
+    }
+    for name, body in bodies.items():
+        spark.sql(f"CREATE OR REPLACE VIEW security.{name} AS {body}")
