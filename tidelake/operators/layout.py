@@ -7,6 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidelake.contracts import CLUSTER_COLUMNS
 
@@ -16,11 +17,12 @@ def cluster(
 ) -> DataFrame:
     """Range-partitioned and sorted by ``columns``, so that readers skip files and row groups.
 
-    Without ``files`` adaptive execution sizes the partitions. Range limits include a spread of
-    equal keys by the remaining clustering columns; a single hot key value stays in one range,
-    which is why more than one clustering column is worth giving.
+    Without ``files`` adaptive execution sizes the partitions. A hash of the row is the last range
+    column: one value holding a large share of the rows spreads over several files.
     """
-    ranged = df.repartitionByRange(files, *columns) if files else df.repartitionByRange(*columns)
+    spread = F.pmod(F.xxhash64(*df.columns), F.lit(4096))
+    ranges = [*[F.col(c) for c in columns], spread]
+    ranged = df.repartitionByRange(files, *ranges) if files else df.repartitionByRange(*ranges)
     return ranged.sortWithinPartitions(*columns)
 
 

@@ -58,6 +58,16 @@ def _review_score(fanout_safe: bool) -> Column:
     return F.round(mean(F.sum(F.col("score") * copies), F.sum(F.col("scored") * copies)), 2)
 
 
+def _line_score(fanout_safe: bool) -> Column:
+    """Mean score over line and review pairs at line grain.
+
+    Fan-out safe: the mean over a seller's lines of their order's mean score.
+    """
+    if fanout_safe:
+        return F.round(F.avg(F.try_divide("score", "scored")), 2)
+    return F.round(mean(F.sum("score"), F.sum("scored")), 2)
+
+
 def delivery_performance(
     lines: DataFrame, customers: DataFrame, reviews: DataFrame, fanout_safe: bool = False
 ) -> DataFrame:
@@ -98,25 +108,33 @@ def seller_scorecard(
 ) -> DataFrame:
     """Per current seller with at least ``min_lines`` lines; fan-out as in the delivery mart.
 
-    Sellers are described after the aggregation, so only one row per seller meets the dimension.
+    Lines look up their order's review totals, many to one. Sellers are described after the
+    aggregation, so only one row per seller meets the dimension.
     """
-    orders = line_rollup(lines, "seller_sk", "product_id").join(
-        review_totals(reviews), "order_id", "left"
-    ).withColumn("weight", _weight(fanout_safe))
+    weighed = lines.join(review_totals(reviews), "order_id", "left").withColumns(
+        {"weight": _weight(fanout_safe), "lines": F.lit(1)}
+    )
 
-    def weighted(column: str) -> Column:
-        return F.sum(F.col(column) * F.col("weight"))
+    def weighted(column: Column | str) -> Column:
+        value = F.col(column) if isinstance(column, str) else column
+        return F.sum(value * F.col("weight"))
+
+    def known(column: str) -> Column:
+        return weighted(F.col(column).isNotNull().cast("int"))
 
-    item_price = (weighted("price") / F.nullif(weighted("priced"), F.lit(0))).cast("decimal(14,6)")
-    scores = orders.groupBy("seller_sk").agg(
+    item_price = (weighted("price") / F.nullif(known("price"), F.lit(0))).cast("decimal(14,6)")
+    late = F.coalesce(F.col("is_late_delivery"), F.lit(False)).cast("int")
+    scores = weighed.groupBy("seller_sk").agg(
         weighted("lines").alias("line_items"),
         F.count_distinct("order_id").alias("orders"),
         F.count_distinct("product_id").alias("distinct_products"),
-        _money(weighted("gross")).alias("gmv"),
+        _money(weighted("gross_revenue")).alias("gmv"),
         F.round(item_price, 2).cast("decimal(11,2)").alias("avg_item_price"),
-        F.round(mean(weighted("days"), weighted("timed")), 1).alias("avg_delivery_days"),
-        F.round(percentage(weighted("late"), weighted("lines")), 2).alias("late_pct"),
-        _review_score(fanout_safe).alias("avg_review_score"),
+        F.round(mean(weighted("delivery_days"), known("delivery_days")), 1).alias(
+            "avg_delivery_days"
+        ),
+        F.round(percentage(weighted(late), weighted("lines")), 2).alias("late_pct"),
+        _line_score(fanout_safe).alias("avg_review_score"),
     )
     described = sellers.select("seller_sk", "seller_id", "seller_city", "seller_state")
     return described.join(scores.filter(F.col("line_items") >= min_lines), "seller_sk")

@@ -43,8 +43,13 @@ class HistoryTable:
         return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
 
     def _overwrite(self, df: DataFrame, folder: str, *partitions: str) -> None:
+        """Replace the partitions found in ``df``.
+
+        Rebalancing gathers a bucket's rows into few files and still splits an oversized bucket.
+        """
         (
-            df.write.partitionBy(*partitions)
+            df.hint("rebalance", BUCKET)
+            .write.partitionBy(*partitions)
             .mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .parquet(folder)
