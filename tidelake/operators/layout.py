@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -44,21 +45,28 @@ def optimise(
 ) -> DataFrame:
     """Rewrite tables by their clustering columns, compact them on the way, refresh statistics.
 
-    Every step stands alone: one that fails is reported and the rest goes on. ``repoint(name,
-    folder)`` makes a table read its rewritten folder.
+    Tables are worked on side by side and every step stands alone: one that fails is reported and
+    the rest goes on. ``repoint(name, folder)`` makes a table read its rewritten folder.
     """
-    results = []
-    for name, columns in targets.items():
-        table = f"{layer}.{name}"
-        target = f"{root}/{layer}/{name}/{uuid.uuid4().hex}"
-
-        def rewrite():
-            cluster(spark.read.table(table), columns, files).write.parquet(target)
-
-        status = _attempt(rewrite)
-        results.append((table, f"cluster by {', '.join(columns)}", status))
-        moved = _attempt(lambda: repoint(name, target)) if status == "done" else "skipped"
-        results.append((table, "compact", moved))
-        analyse = f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR ALL COLUMNS"
-        results.append((table, "statistics", _attempt(lambda: spark.sql(analyse))))
+
+    def one(target: tuple[str, Sequence[str]]) -> list[tuple[str, str, str]]:
+        name, columns = target
+        table, folder = f"{layer}.{name}", f"{root}/{layer}/{name}/{uuid.uuid4().hex}"
+
+        def rewrite() -> None:
+            cluster(spark.read.table(table), columns, files).write.parquet(folder)
+
+        def analyse() -> None:
+            spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR ALL COLUMNS")
+
+        clustered = _attempt(rewrite)
+        moved = _attempt(lambda: repoint(name, folder)) if clustered == "done" else "skipped"
+        return [
+            (table, f"cluster by {', '.join(columns)}", clustered),
+            (table, "compact", moved),
+            (table, "statistics", _attempt(analyse)),
+        ]
+
+    with ThreadPoolExecutor(max(1, len(targets))) as pool:
+        results = [row for rows in pool.map(one, targets.items()) for row in rows]
     return spark.createDataFrame(results, "table string, step string, status string")

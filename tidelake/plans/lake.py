@@ -47,11 +47,14 @@ BUILDERS = {
     "v_fct_reviews_secure": (security.reviews_secure, ("fct_reviews",)),
 }
 SILVER = tuple(name for name in BUILDERS if name.startswith("sv_"))
-GOLD = (
-    "dim_order_status", "dim_date", "dim_seller", "dim_product", "dim_customer",
-    "bridge_customer_order", "fct_order_items", "fct_payments", "fct_reviews",
-    "mart_delivery_performance", "mart_seller_scorecard", "mart_monthly_revenue",
+# Gold tables by stage: those of one stage only need earlier stages.
+GOLD_STAGES = (
+    ("dim_order_status", "dim_date", "dim_seller", "dim_product", "dim_customer",
+     "bridge_customer_order"),
+    ("fct_order_items", "fct_payments", "fct_reviews"),
+    ("mart_delivery_performance", "mart_seller_scorecard", "mart_monthly_revenue"),
 )
+GOLD = tuple(name for stage in GOLD_STAGES for name in stage)
 
 
 class Lake:

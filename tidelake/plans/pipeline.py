@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidelake.contracts import CALENDAR_RANGE
 from tidelake.operators.layout import optimise
 from tidelake.plans.dq import expectation_report, stamped_report
-from tidelake.plans.lake import GOLD, Lake
+from tidelake.plans.lake import GOLD_STAGES, Lake
 from tidelake.plans.security import create_views
 from tidelake.sources.landing import SOURCES, require_landing
 from tidelake.sources.tables import Tables
@@ -52,12 +52,8 @@ class Pipeline:
             self._catalogue("bronze", f"br_{source}")
 
     def silver(self) -> None:
-        refresh_all(
-            self.spark, f"{self.root}/bronze", f"{self.root}/silver", self.checkpoints,
-            self.tables.log,
-        )
-        for dataset in FEEDS:
-            self._catalogue("silver", dataset)
+        """All streams side by side, then the tables that are recomputed in full."""
+        histories = {}
         for dataset, (source, key) in HISTORIES.items():
             feed = stream_bronze(
                 self.spark, SOURCES[source], self.tables.folder("bronze", f"br_{source}")
@@ -65,24 +61,42 @@ class Pipeline:
             table = HistoryTable(
                 self.spark, self.tables.folder("silver", dataset), [key], "_ingested_at"
             )
-            table.follow(feed, f"{self.checkpoints}/{dataset}").awaitTermination()
-            self._catalogue("silver", dataset, table.folder)
-        lake = Lake(self.spark, self._bronze_frames())
-        for dataset in RECOMPUTED:
-            self.tables.publish("silver", dataset, lake[dataset])
+            query = table.follow(feed, f"{self.checkpoints}/{dataset}")
+            histories[dataset] = (query, table.folder)
+        refresh_all(
+            self.spark, f"{self.root}/bronze", f"{self.root}/silver", self.checkpoints,
+            self.tables.log,
+        )
+        for dataset in FEEDS:
+            self._catalogue("silver", dataset)
+        for dataset, (query, folder) in histories.items():
+            query.awaitTermination()
+            self._catalogue("silver", dataset, folder)
+        self._publish("silver", RECOMPUTED, self._bronze_frames())
 
     def gold(self) -> None:
-        """Publish gold tables in dependency order, each read back by those that follow."""
+        """Publish gold tables; each stage reads the stored tables of those before it."""
         stored = {
             name: self.tables.read("silver", name)
             for name in (*FEEDS, *HISTORIES, *RECOMPUTED)
         }
-        for name in GOLD:
-            lake = Lake(self.spark, stored, calendar=self.calendar)
-            self.tables.publish("gold", name, lake.before_rules(name))
-            stored[name] = self.tables.read("gold", name)
+        for stage in GOLD_STAGES:
+            self._publish("gold", stage, stored)
+            stored |= {name: self.tables.read("gold", name) for name in stage}
         create_views(self.spark, self.region)
 
+    def _publish(self, layer: str, names: tuple[str, ...], inputs: dict[str, DataFrame]) -> None:
+        """Publish tables that do not depend on each other as concurrent jobs."""
+        lake = Lake(self.spark, inputs, calendar=self.calendar)
+        frames = {name: lake.before_rules(name) for name in names}
+        with ThreadPoolExecutor(len(names)) as pool:
+            jobs = [
+                pool.submit(self.tables.publish, layer, name, frame)
+                for name, frame in frames.items()
+            ]
+            for job in jobs:
+                job.result()
+
     def report(self) -> DataFrame:
         """Refresh the expectation report table."""
         logs = {layer: lambda layer=layer: self.tables.log.read(layer) for layer in ("silver", "gold")}

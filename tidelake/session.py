@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -36,6 +37,11 @@ def spark_session(app: str = "tidelake", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+@cache
+def _local_scratch() -> str:
+    return tempfile.mkdtemp(prefix="tidelake-")
+
+
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder under the cluster's shared checkpoint location.
 
@@ -45,6 +51,5 @@ def scratch_folder(spark: SparkSession, purpose: str) -> str:
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        shared = tempfile.mkdtemp(prefix="tidelake-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        shared = _local_scratch()
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

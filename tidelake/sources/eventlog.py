@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
@@ -22,12 +23,13 @@ class EventLog:
     def append(
         self, layer: str, expectations: Sequence[dict], at: datetime | None = None
     ) -> None:
-        """Record the outcome of one update."""
+        """Record the outcome of one update, in a folder of its own: updates run side by side."""
         details = {"flow_progress": {"data_quality": {"expectations": list(expectations)}}}
         stamp = at or datetime.now(timezone.utc)
         row = (layer, stamp, EXPECTATION_EVENT, json.dumps(details))
-        self.spark.createDataFrame([row], SCHEMA).coalesce(1).write.mode("append").json(self.folder)
+        entry = self.spark.createDataFrame([row], SCHEMA).coalesce(1)
+        entry.write.json(f"{self.folder}/{uuid.uuid4().hex}")
 
     def read(self, layer: str) -> DataFrame:
-        logged = self.spark.read.schema(SCHEMA).json(self.folder)
+        logged = self.spark.read.schema(SCHEMA).option("recursiveFileLookup", True).json(self.folder)
         return logged.filter(F.col("layer") == layer).drop("layer")
