@@ -14,7 +14,7 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from tidelake.plans.catalogue import QUERIES  # noqa: E402
-from tidelake.plans.pipeline import Pipeline  # noqa: E402
+from tidelake.plans.job import Job  # noqa: E402
 from tidelake.session import scratch_folder, spark_session  # noqa: E402
 from tidelake.sources.driver_tables import CALENDAR, DriverTables  # noqa: E402
 from tidelake.sources.landing import SOURCES  # noqa: E402
@@ -44,7 +44,7 @@ def run_job(spark, folder: str) -> tuple[float, int]:
         text.write.option("header", True).option("escape", '"').csv(f"{work}/landing/{name}")
         records += frame.count()
     start = time.perf_counter()
-    Pipeline(spark, f"{work}/landing", f"{work}/lake", calendar=CALENDAR).run()
+    Job(spark, f"{work}/landing", f"{work}/lake", calendar=CALENDAR).run()
     return time.perf_counter() - start, records
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidelake.plans import analytics
 from tidelake.plans.lake import GOLD, Lake
-from tidelake.plans.pipeline import Pipeline
+from tidelake.plans.job import Job
 from tidelake.sources.landing import SOURCES
 
 FIRST = {
@@ -69,13 +69,13 @@ def land(folder, batch, name):
 @pytest.fixture(scope="module")
 def shop(spark, tmp_path_factory):
     root = tmp_path_factory.mktemp("shop")
-    pipeline = Pipeline(spark, str(root / "landing"), str(root / "lake"))
+    job = Job(spark, str(root / "landing"), str(root / "lake"))
     land(root / "landing", FIRST, "batch1")
-    files = pipeline.run()
-    gmv = pipeline.tables.read("gold", "fct_order_items").agg(F.sum("gross_revenue")).first()[0]
+    files = job.run()
+    gmv = job.tables.read("gold", "fct_order_items").agg(F.sum("gross_revenue")).first()[0]
     land(root / "landing", SECOND, "batch2")
-    pipeline.run()
-    return pipeline, files, gmv
+    job.run()
+    return job, files, gmv
 
 
 def read(shop, layer, name):

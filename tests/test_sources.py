@@ -9,7 +9,7 @@ from tidelake.contracts import AUDIT_COLUMNS
 from tidelake.operators.expectations import Rule
 from tidelake.operators.layout import optimise
 from tidelake.plans.dq import expectation_report
-from tidelake.session import scratch_folder
+from tidelake.session import scratch_folder, size_shuffles
 from tidelake.sources.eventlog import EventLog
 from tidelake.sources.landing import SOURCES, LandingError, landing_report, require_landing
 from tidelake.sources.tables import Tables
@@ -170,6 +170,8 @@ def test_failed_publish_keeps_the_table(spark, tmp_path, rows):
     assert rows(tables.read("ops", "t")) == [(1,)]
     tables.publish("ops", "t", tables.read("ops", "t").withColumn("more", F.lit("x")), rule)
     assert rows(tables.read("ops", "t")) == [(1, "x")]
+    # However often it is published, a table keeps two folders.
+    assert sorted(p.name for p in (tmp_path / "ops" / "t").iterdir()) == ["a", "b"]
     report = expectation_report({"ops": lambda: tables.log.read("ops")})
     assert rows(report, "expectation", "total_passed", "total_failed") == [
         ("has_id", 4, 0), ("small", 3, 1),
@@ -196,7 +198,7 @@ def test_layout_reports_each_step(spark, tmp_path, rows):
     tables = Tables(spark, str(tmp_path))
     tables.publish("ops", "facts", spark.range(1000).selectExpr("id % 7 AS k", "id AS v"), [])
     got = optimise(
-        spark, str(tmp_path), lambda n, f: tables.point("ops", n, f),
+        spark, lambda name, frame: tables.replace("ops", name, frame),
         {"facts": ("k", "v"), "absent": ("k",)}, layer="ops", files=3,
     )
     status = {(r.table, r.step.split()[0]): r.status for r in got.collect()}
@@ -207,6 +209,31 @@ def test_layout_reports_each_step(spark, tmp_path, rows):
     assert stored.count() == 1000 and len(stored.inputFiles()) == 3
 
 
+def test_shuffles_grow_with_the_input(spark):
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    try:
+        assert size_shuffles(spark, 10) == 4
+        assert size_shuffles(spark, 100 << 30) == 800
+        assert size_shuffles(spark, 10) == 800  # never lowered
+    finally:
+        spark.conf.unset(key)
+
+
+def test_streams_can_keep_running(spark, tmp_path):
+    put(tmp_path / "landing" / "sellers", "a.csv",
+        "seller_id,seller_zip_code_prefix,seller_city,seller_state\ns1,1,x,SP\n")
+    query = ingest(
+        spark, str(tmp_path / "landing"), SOURCES["sellers"], str(tmp_path / "bronze"),
+        str(tmp_path / "cp"), trigger={"processingTime": "1 second"},
+    )
+    try:
+        query.processAllAvailable()
+        assert query.isActive
+        assert read_bronze(spark, SOURCES["sellers"], str(tmp_path / "bronze")).count() == 1
+    finally:
+        query.stop()
+
+
 def test_scratch_is_under_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir", None)
     first, second = scratch_folder(spark, "x"), scratch_folder(spark, "x")

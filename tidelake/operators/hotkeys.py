@@ -5,7 +5,7 @@ ordered segments that are windows of their own, and one small row per segment ca
 next segment needs to know. Keys below the limit stay whole and have no segment (NULL).
 
 Both helper tables have a proven bound: at most ``rows / max_rows`` keys can exceed the limit, and
-their segments number at most ``2 * rows / max_rows``. That is why they may be broadcast. The
+their segments number at most a small multiple of that. That is why they may be broadcast. The
 segment is a window partition column, so "has a segment" is pushed below the window and its
 shuffle: without heavy keys the helper branches read nothing.
 """
@@ -77,19 +77,21 @@ def number_rows(
 
 
 def segment_by_time(
-    df: DataFrame, keys: Sequence[str], clock: Column, max_rows: int
+    df: DataFrame, keys: Sequence[str], clock: Column, max_rows: int, slices: int = 8
 ) -> DataFrame:
     """Add the time segment of each row of a heavy key.
 
     Segment limits are equal slices between a key's first and last second: a pure function of the
-    data, so a recomputed stage cuts at the same places.
+    data, so a recomputed stage cuts at the same places. Activity is rarely even over time, hence
+    several slices for each one that an even spread would need.
     """
     timed = df.withColumn("__clock", clock)
     heavy = heavy_keys(
         timed, keys, max_rows, F.min("__clock").alias("__from"), F.max("__clock").alias("__to")
     )
-    slices = heavy.withColumn("__width", F.expr("(__to - __from) div __segments + 1"))
-    return attach(timed, slices.drop("__to", "__segments"), keys).select(
+    width = F.expr(f"(__to - __from) div (__segments * {slices}) + 1")
+    limits = heavy.withColumn("__width", width).drop("__to", "__segments")
+    return attach(timed, limits, keys).select(
         *df.columns, F.expr("(__clock - __from) div __width").alias(SEGMENT)
     )
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -37,8 +36,7 @@ def _attempt(step: Callable[[], object]) -> str:
 
 def optimise(
     spark: SparkSession,
-    root: str,
-    repoint: Callable[[str, str], None],
+    replace: Callable[[str, DataFrame], None],
     targets: Mapping[str, Sequence[str]] = CLUSTER_COLUMNS,
     layer: str = "gold",
     files: int | None = None,
@@ -46,24 +44,21 @@ def optimise(
     """Rewrite tables by their clustering columns, compact them on the way, refresh statistics.
 
     Tables are worked on side by side and every step stands alone: one that fails is reported and
-    the rest goes on. ``repoint(name, folder)`` makes a table read its rewritten folder.
+    the rest goes on. ``replace(name, frame)`` stores the rewritten contents.
     """
 
     def one(target: tuple[str, Sequence[str]]) -> list[tuple[str, str, str]]:
         name, columns = target
-        table, folder = f"{layer}.{name}", f"{root}/{layer}/{name}/{uuid.uuid4().hex}"
+        table = f"{layer}.{name}"
 
         def rewrite() -> None:
-            cluster(spark.read.table(table), columns, files).write.parquet(folder)
+            replace(name, cluster(spark.read.table(table), columns, files))
 
         def analyse() -> None:
             spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR ALL COLUMNS")
 
-        clustered = _attempt(rewrite)
-        moved = _attempt(lambda: repoint(name, folder)) if clustered == "done" else "skipped"
         return [
-            (table, f"cluster by {', '.join(columns)}", clustered),
-            (table, "compact", moved),
+            (table, f"cluster and compact by {', '.join(columns)}", _attempt(rewrite)),
             (table, "statistics", _attempt(analyse)),
         ]
 

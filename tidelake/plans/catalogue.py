@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -259,7 +260,7 @@ def _layout(spark: SparkSession, folder: str) -> DataFrame:
     tables = Tables(spark, root)
     for name in ("fct_order_items", "fct_payments", "fct_reviews"):
         tables.publish("gold", name, lake[name])
-    return optimise(spark, root, lambda name, target: tables.point("gold", name, target))
+    return optimise(spark, partial(tables.replace, "gold"))
 
 
 def _regional(spark: SparkSession, folder: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,7 +12,8 @@ from tidelake.operators.layout import optimise
 from tidelake.plans.dq import expectation_report, stamped_report
 from tidelake.plans.lake import GOLD_STAGES, Lake
 from tidelake.plans.security import create_views
-from tidelake.sources.landing import SOURCES, require_landing
+from tidelake.session import size_shuffles
+from tidelake.sources.landing import SOURCES, landed_bytes, require_landing
 from tidelake.sources.tables import Tables
 from tidelake.streaming.bronze import ingest_all, read_bronze, stream_bronze
 from tidelake.streaming.history import HistoryTable
@@ -24,7 +26,7 @@ HISTORIES = {
 }
 
 
-class Pipeline:
+class Job:
     """Run the layers over ``landing`` into tables under ``root``; a rerun takes only what is new.
 
     Steps are plain methods, so each layer can also be refreshed on its own.
@@ -44,12 +46,16 @@ class Pipeline:
         self.checkpoints = f"{root}/checkpoints"
 
     def gate(self) -> int:
-        return require_landing(self.spark, self.landing)
+        """File count of the landing; also sizes the shuffles of the run by what has landed."""
+        files = require_landing(self.spark, self.landing)
+        size_shuffles(self.spark, landed_bytes(self.spark, self.landing))
+        return files
 
     def bronze(self) -> None:
         ingest_all(self.spark, self.landing, f"{self.root}/bronze", self.checkpoints)
         for source in SOURCES:
-            self._catalogue("bronze", f"br_{source}")
+            name = f"br_{source}"
+            self.tables.attach("bronze", name, self.tables.folder("bronze", name), True)
 
     def silver(self) -> None:
         """All streams side by side, then the tables that are recomputed in full."""
@@ -68,10 +74,10 @@ class Pipeline:
             self.tables.log,
         )
         for dataset in FEEDS:
-            self._catalogue("silver", dataset)
+            self.tables.attach("silver", dataset, self.tables.folder("silver", dataset))
         for dataset, (query, folder) in histories.items():
             query.awaitTermination()
-            self._catalogue("silver", dataset, folder)
+            self.tables.attach("silver", dataset, folder, True)
         self._publish("silver", RECOMPUTED, self._bronze_frames())
 
     def gold(self) -> None:
@@ -104,9 +110,7 @@ class Pipeline:
         return self.tables.read("ops", "dq_expectation_report")
 
     def layout(self) -> DataFrame:
-        return optimise(
-            self.spark, self.root, lambda name, folder: self.tables.point("gold", name, folder)
-        )
+        return optimise(self.spark, partial(self.tables.replace, "gold"))
 
     def run(self) -> int:
         """Everything in order; report and layout do not depend on each other and run together."""
@@ -126,17 +130,3 @@ class Pipeline:
             )
             for name, source in SOURCES.items()
         }
-
-    def _catalogue(self, layer: str, name: str, folder: str | None = None) -> None:
-        """Register or refresh the catalog entry of a streaming table."""
-        if self.tables.exists(layer, name):
-            table = f"{layer}.{name}"
-            if "batch_id" in self.tables.read(layer, name).columns or folder:
-                self.spark.catalog.recoverPartitions(table)
-            self.spark.catalog.refreshTable(table)
-        else:
-            self.spark.catalog.createTable(
-                f"{layer}.{name}", path=folder or self.tables.folder(layer, name), source="parquet"
-            )
-            if "batch_id" in self.tables.read(layer, name).columns or folder:
-                self.spark.catalog.recoverPartitions(f"{layer}.{name}")

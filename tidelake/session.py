@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession
 # join partition even when the aggregate above then needs one more exchange.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -37,6 +38,18 @@ def spark_session(app: str = "tidelake", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def size_shuffles(spark: SparkSession, input_bytes: int, partition_bytes: int = 128 << 20) -> int:
+    """Start shuffles with enough partitions for the input; adaptive execution merges small ones.
+
+    Never lowers what the session is configured for.
+    """
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    configured = spark.conf.get(key, None) or spark.conf.get("spark.sql.shuffle.partitions")
+    wanted = max(int(configured), -(-input_bytes // partition_bytes))
+    spark.conf.set(key, str(wanted))
+    return wanted
+
+
 @cache
 def _local_scratch() -> str:
     return tempfile.mkdtemp(prefix="tidelake-")

@@ -88,6 +88,12 @@ def landing_report(
     return names.join(counts, "source", "left").select("source", files.cast("long").alias("files"))
 
 
+def landed_bytes(spark: SparkSession, landing: str) -> int:
+    """Size of all CSV files under the landing folder."""
+    files = spark.read.format("binaryFile").options(**FILE_OPTIONS).load(landing)
+    return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+
+
 class LandingError(RuntimeError):
     """One or more landing sources hold nothing to ingest."""
 

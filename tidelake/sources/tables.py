@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,12 +12,18 @@ from tidelake.sources.eventlog import EventLog
 LAYERS = ("bronze", "silver", "gold", "ops")
 
 
+def _bare(folder: str) -> str:
+    """A folder without its scheme, which the catalog may spell in several ways."""
+    return folder.split(":", 1)[-1].strip("/")
+
+
 class Tables:
     """Catalog tables ``<layer>.<name>`` over parquet folders under ``root``.
 
-    A publish writes a new folder and then points the catalog table at it. A failing write (for
-    instance a broken ``fail`` expectation) leaves the previous contents in place, and a table may
-    be recomputed from itself.
+    A recomputed table has two folders. A publish overwrites the one the catalog does not point
+    at and then moves the pointer: a failing write (for instance a broken ``fail`` expectation)
+    leaves the previous contents in place, a table may be recomputed from itself, and queries that
+    started on the old contents finish on them.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -29,7 +34,6 @@ class Tables:
             spark.sql(f"CREATE SCHEMA IF NOT EXISTS {layer} LOCATION '{self.root}/{layer}'")
 
     def folder(self, layer: str, name: str) -> str:
-        """Folder of an append-only streaming table."""
         return f"{self.root}/{layer}/{name}"
 
     def read(self, layer: str, name: str) -> DataFrame:
@@ -44,15 +48,40 @@ class Tables:
         """Replace a table, schema included, enforcing and counting its rules in the same pass."""
         rules = rules_for(name) if rules is None else rules
         counted, observation = observed(df, rules, name)
-        kept = guard(drop_failing(counted, rules), rules, name)
-        target = f"{self.root}/{layer}/{name}/{uuid.uuid4().hex}"
-        kept.write.parquet(target)
-        self.point(layer, name, target)
+        self.replace(layer, name, guard(drop_failing(counted, rules), rules, name))
         if observation is not None:
             self.log.append(layer, outcomes(observation.get, rules, name))
 
-    def point(self, layer: str, name: str, target: str) -> None:
-        """Make the catalog table read ``target``; one metadata call when the schema is the same."""
+    def replace(self, layer: str, name: str, df: DataFrame) -> None:
+        """Write the idle folder, then make the table read it."""
+        target = self._idle_folder(layer, name)
+        df.write.mode("overwrite").parquet(target)
+        self._point(layer, name, target)
+
+    def attach(self, layer: str, name: str, folder: str, partitioned: bool = False) -> None:
+        """Register an append-only folder as a table, or pick up what was appended to it."""
+        table = f"{layer}.{name}"
+        if self.exists(layer, name) and _bare(self._location(table)) != _bare(folder):
+            self.spark.sql(f"DROP TABLE {table}")
+        if not self.exists(layer, name):
+            self.spark.catalog.createTable(table, path=folder, source="parquet")
+        if partitioned:
+            self.spark.catalog.recoverPartitions(table)
+        self.spark.catalog.refreshTable(table)
+
+    def _idle_folder(self, layer: str, name: str) -> str:
+        base = self.folder(layer, name)
+        if not self.exists(layer, name):
+            return f"{base}/a"
+        in_use = _bare(self._location(f"{layer}.{name}"))
+        return f"{base}/b" if in_use == _bare(f"{base}/a") else f"{base}/a"
+
+    def _location(self, table: str) -> str:
+        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
+        return described.filter("col_name = 'Location'").first().data_type
+
+    def _point(self, layer: str, name: str, target: str) -> None:
+        """One metadata call when the schema is unchanged, else the table is declared anew."""
         table = f"{layer}.{name}"
         written = self.spark.read.parquet(target).schema
         if self.exists(layer, name) and self.read(layer, name).schema == written:

@@ -101,14 +101,30 @@ def stream_bronze(spark: SparkSession, source: Source, folder: str) -> DataFrame
     return spark.readStream.schema(source.bronze_schema).parquet(folder).drop(BATCH)
 
 
-def ingest_all(
-    spark: SparkSession, landing: str, bronze: str, checkpoints: str, by_position: bool = False
-) -> None:
-    """Bring all sources up to date; the nine streams run side by side."""
+def start_all(
+    spark: SparkSession,
+    landing: str,
+    bronze: str,
+    checkpoints: str,
+    by_position: bool = False,
+    trigger: dict | None = None,
+) -> list[StreamingQuery]:
+    """One stream per source, side by side.
+
+    ``trigger={"processingTime": "1 minute"}`` keeps them running instead of one triggered run.
+    """
     start = ingest_by_position if by_position else ingest
-    queries = [
-        start(spark, landing, source, f"{bronze}/br_{name}", f"{checkpoints}/br_{name}")
+    return [
+        start(
+            spark, landing, source, f"{bronze}/br_{name}", f"{checkpoints}/br_{name}", trigger
+        )
         for name, source in SOURCES.items()
     ]
-    for query in queries:
+
+
+def ingest_all(
+    spark: SparkSession, landing: str, bronze: str, checkpoints: str, by_position: bool = False
+) -> None:
+    """Bring all sources up to date and return."""
+    for query in start_all(spark, landing, bronze, checkpoints, by_position):
         query.awaitTermination()
