@@ -59,6 +59,18 @@ def test_only_new_files_are_taken(spark, tmp_path, rows, start):
     assert audit._ingested_at is not None
 
 
+def test_crash_between_write_and_commit_adds_nothing_twice(spark, tmp_path, rows):
+    header = "product_category_name,product_category_name_english\n"
+    put(tmp_path / "landing" / "category_translation", "a.csv", header + "a,1\nb,2\n")
+    land(spark, tmp_path, "category_translation")
+    # Without its commit entry the batch is run again on restart.
+    for entry in (tmp_path / "checkpoint" / "commits").iterdir():
+        entry.unlink()
+    put(tmp_path / "landing" / "category_translation", "b.csv", header + "c,3\n")
+    bronze = land(spark, tmp_path, "category_translation")
+    assert rows(bronze, "product_category_name") == [("a",), ("b",), ("c",)]
+
+
 def test_headers_are_matched_by_name(spark, tmp_path, rows):
     folder = tmp_path / "landing" / "sellers"
     put(folder, "a.csv", "seller_id,seller_zip_code_prefix,seller_city,seller_state\ns1,1,x,SP\n")

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelake.functions.flags import mean, percentage
+from tidelake.functions.keys import surrogate_key
 from tidelake.functions.times import month_label
 
 MONEY = "decimal(22,2)"
@@ -108,8 +109,9 @@ def seller_scorecard(
 ) -> DataFrame:
     """Per current seller with at least ``min_lines`` lines; fan-out as in the delivery mart.
 
-    Lines look up their order's review totals, many to one. Sellers are described after the
-    aggregation, so only one row per seller meets the dimension.
+    Lines look up their order's review totals, many to one. They are grouped by the short natural
+    key; the surrogate key is formed per seller afterwards, when one row per seller meets the
+    dimension.
     """
     weighed = lines.join(review_totals(reviews), "order_id", "left").withColumns(
         {"weight": _weight(fanout_safe), "lines": F.lit(1)}
@@ -124,10 +126,9 @@ def seller_scorecard(
 
     item_price = (weighted("price") / F.nullif(known("price"), F.lit(0))).cast("decimal(14,6)")
     late = F.coalesce(F.col("is_late_delivery"), F.lit(False)).cast("int")
-    scores = weighed.groupBy("seller_sk").agg(
+    scores = weighed.groupBy("seller_id").agg(
         weighted("lines").alias("line_items"),
         F.count_distinct("order_id").alias("orders"),
-        F.count_distinct("product_id").alias("distinct_products"),
         _money(weighted("gross_revenue")).alias("gmv"),
         F.round(item_price, 2).cast("decimal(11,2)").alias("avg_item_price"),
         F.round(mean(weighted("delivery_days"), known("delivery_days")), 1).alias(
@@ -136,8 +137,24 @@ def seller_scorecard(
         F.round(percentage(weighted(late), weighted("lines")), 2).alias("late_pct"),
         _line_score(fanout_safe).alias("avg_review_score"),
     )
+    # A second distinct count in the aggregate above would expand every line with all its totals;
+    # two narrow columns on their own are cheaper to deduplicate.
+    products = (
+        lines.select("seller_id", "product_id")
+        .distinct()
+        .groupBy("seller_id")
+        .agg(F.count("product_id").alias("distinct_products"))
+    )
+    keyed = (
+        scores.filter(F.col("line_items") >= min_lines)
+        .join(products, "seller_id")
+        .withColumn("seller_sk", surrogate_key("seller_id"))
+    )
     described = sellers.select("seller_sk", "seller_id", "seller_city", "seller_state")
-    return described.join(scores.filter(F.col("line_items") >= min_lines), "seller_sk")
+    return described.join(keyed.drop("seller_id"), "seller_sk").select(
+        *described.columns, "line_items", "orders", "distinct_products", "gmv", "avg_item_price",
+        "avg_delivery_days", "late_pct", "avg_review_score",
+    )
 
 
 def monthly_revenue(lines: DataFrame, customers: DataFrame) -> DataFrame:
