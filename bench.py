@@ -61,7 +61,7 @@ def main() -> None:
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
-    QUERIES["sv_orders"](spark, folder).count()  # JVM and file listing warm-up
+    run_query(spark, "mart_monthly_revenue", folder)  # JVM warm-up, not counted
     seconds = {name: round(run_query(spark, name, folder), 3) for name in HEADLINES}
     job, records = run_job(spark, folder)
     seconds["job_end_to_end"] = round(job, 3)

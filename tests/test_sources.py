@@ -225,8 +225,9 @@ def test_shuffles_grow_with_the_input(spark):
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     try:
         assert size_shuffles(spark, 10) == 4
-        assert size_shuffles(spark, 100 << 30) == 800
-        assert size_shuffles(spark, 10) == 800  # never lowered
+        assert size_shuffles(spark, 100 << 30) == 200
+        assert size_shuffles(spark, 10) == 200  # never lowered
+        assert size_shuffles(spark, 100 << 40) == 100_000
     finally:
         spark.conf.unset(key)
 

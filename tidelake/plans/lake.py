@@ -76,6 +76,7 @@ class Lake:
         self.spark = spark
         self._tables = tables
         self._built: dict[str, DataFrame] = {}
+        self._registered = False
         self.calendar = calendar
         self.newest_orders_only = newest_orders_only
         self._options = {
@@ -115,5 +116,7 @@ class Lake:
 
     def sql(self, text: str) -> DataFrame:
         """Run SQL over the data sets by their plain names."""
-        self.register_views()
+        if not self._registered:
+            self.register_views()
+            self._registered = True
         return self.spark.sql(text)

@@ -38,14 +38,20 @@ def spark_session(app: str = "tidelake", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
-def size_shuffles(spark: SparkSession, input_bytes: int, partition_bytes: int = 128 << 20) -> int:
+def size_shuffles(
+    spark: SparkSession,
+    input_bytes: int,
+    partition_bytes: int = 512 << 20,
+    most: int = 100_000,
+) -> int:
     """Start shuffles with enough partitions for the input; adaptive execution merges small ones.
 
-    Never lowers what the session is configured for.
+    Never lowers what the session is configured for. ``most`` keeps the number of map and reduce
+    pairs manageable; at 100 TB a partition then holds about 1 GB and may spill.
     """
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    configured = spark.conf.get(key, None) or spark.conf.get("spark.sql.shuffle.partitions")
-    wanted = max(int(configured), -(-input_bytes // partition_bytes))
+    configured = int(spark.conf.get(key, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = max(configured, min(most, -(-input_bytes // partition_bytes)))
     spark.conf.set(key, str(wanted))
     return wanted
 
