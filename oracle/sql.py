@@ -669,6 +669,24 @@ def _statements() -> dict[str, str]:
                         THEN '{"seller_rating":"' || (CAST(seller_id AS BIGINT) % 5) || '"}' END
                        AS _rescued_data
             FROM br_sellers""",
+        "csv_reviews": """
+            SELECT review_id, order_id, CAST(review_score AS VARCHAR) AS review_score,
+                   review_comment_message || ',' || chr(10) || '"second line"'
+                       AS review_comment_message
+            FROM br_reviews""",
+        "malformed_orders": """
+            SELECT order_id,
+                   concat_ws(',', CASE WHEN k % 50 = 3 THEN 'order_purchase_timestamp' END,
+                             CASE WHEN k % 30 = 3 THEN 'order_approved_at' END) AS malformed
+            FROM (SELECT order_id, CAST(order_id AS BIGINT) AS k FROM br_orders)
+            WHERE k % 50 = 3 OR k % 30 = 3""",
+        "newest_orders": """
+            SELECT * REPLACE (
+                CASE WHEN CAST(order_id AS BIGINT) % 9 = 0 THEN 'canceled' ELSE order_status END
+                    AS order_status,
+                CASE WHEN CAST(order_id AS BIGINT) % 9 = 0 THEN _ingested_at + INTERVAL 1 DAY
+                     ELSE _ingested_at END AS _ingested_at)
+            FROM br_orders""",
         "scd2_incremental": "SELECT * FROM sv_products_history",
         "stream_silver_orders": "SELECT * EXCLUDE (_source_file) FROM sv_orders",
         "mart_delivery_fanout_safe": f"""

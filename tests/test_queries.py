@@ -13,7 +13,10 @@ from checks.compare import TABLES, rows_of
 
 FOLDER = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not FOLDER.exists(), reason="driver tables not present")
-RUNS_JOBS = {"csv_ingest", "csv_drift", "scd2_incremental", "stream_silver_orders", "layout_report"}
+RUNS_JOBS = {
+    "csv_ingest", "csv_drift", "csv_reviews", "scd2_incremental", "stream_silver_orders",
+    "layout_report",
+}
 
 
 @pytest.fixture(scope="module")

@@ -2,11 +2,11 @@ import json
 from pathlib import Path
 
 import pytest
-from pyspark.errors import PySparkException
+from pyspark.errors import PySparkException, StreamingQueryException
 from pyspark.sql import functions as F
 
 from tidelake.contracts import AUDIT_COLUMNS
-from tidelake.operators.expectations import Rule
+from tidelake.operators.expectations import Rule, guard
 from tidelake.operators.layout import optimise
 from tidelake.plans.dq import expectation_report
 from tidelake.session import scratch_folder, size_shuffles
@@ -162,6 +162,21 @@ def test_silver_stream_counts_and_quarantine(spark, tmp_path, rows):
     assert found["sv_orders"]["known_status__passed"] == 3
 
 
+def test_a_stream_stops_at_a_broken_fail_rule(spark, tmp_path):
+    spark.sql("SELECT 1 AS id UNION ALL SELECT NULL").write.parquet(str(tmp_path / "in"))
+    feed = spark.readStream.schema("id int").parquet(str(tmp_path / "in"))
+    query = (
+        guard(feed, [Rule("has_id", "fail", "id IS NOT NULL")], "t")
+        .writeStream.format("parquet")
+        .option("checkpointLocation", str(tmp_path / "cp"))
+        .trigger(availableNow=True)
+        .start(str(tmp_path / "out"))
+    )
+    with pytest.raises(StreamingQueryException, match="has_id"):
+        query.awaitTermination()
+    assert spark.read.schema("id int").parquet(str(tmp_path / "out")).count() == 0
+
+
 def test_bronze_feed_is_a_stream_of_new_rows(spark, tmp_path):
     put(tmp_path / "landing" / "sellers", "a.csv",
         "seller_id,seller_zip_code_prefix,seller_city,seller_state\ns1,1,x,SP\n")

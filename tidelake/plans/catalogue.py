@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelake.contracts import GRAINS
+from tidelake.contracts import GRAINS, SILVER_FIELDS
 from tidelake.functions.text import normalise_city
 from tidelake.operators.asof import asof_join
+from tidelake.operators.conform import MALFORMED, conform, split_malformed
 from tidelake.operators.integrity import grain_report, orphan_keys, union_all
 from tidelake.operators.layout import optimise
 from tidelake.operators.scd2 import changed_keys, history, sequence_ties
@@ -22,7 +23,7 @@ from tidelake.session import scratch_folder, tune
 from tidelake.sources.driver_tables import CALENDAR, FIRST_BATCH, HORIZON, SECOND_BATCH, DriverTables
 from tidelake.sources.landing import SOURCES
 from tidelake.sources.tables import Tables
-from tidelake.streaming.bronze import ingest, read_bronze
+from tidelake.streaming.bronze import ingest, ingest_by_position, read_bronze
 from tidelake.streaming.history import HistoryTable
 from tidelake.streaming.silver import refresh
 
@@ -214,6 +215,54 @@ def _csv_drift(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _csv_reviews(spark: SparkSession, folder: str) -> DataFrame:
+    """Reviews with line breaks and quotes in their text through the positional file stream."""
+    tables = DriverTables(tune(spark), folder)
+    work, source = scratch_folder(spark, "csv-reviews"), SOURCES["reviews"]
+    text = F.concat(F.col("review_comment_message"), F.lit(',\n"second line"'))
+    reviews = _as_text(tables["br_reviews"].select(*source.columns))
+    spread = reviews.withColumn("review_comment_message", text)
+    spread.write.options(header=True, quoteAll=True, escape='"').csv(f"{work}/landing/reviews")
+    ingest_by_position(
+        spark, f"{work}/landing", source, f"{work}/bronze", f"{work}/checkpoint"
+    ).awaitTermination()
+    stored = read_bronze(spark, source, f"{work}/bronze")
+    return stored.select("review_id", "order_id", "review_score", "review_comment_message")
+
+
+def _malformed_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders with unreadable dates, set aside with the names of the columns at fault."""
+    tables = DriverTables(tune(spark), folder)
+    text = _as_text(tables["br_orders"])
+    key = F.expr("cast(order_id as bigint)")
+    spoiled = text.withColumns(
+        {
+            "order_purchase_timestamp": F.when(key % 50 == 3, F.lit("soon")).otherwise(
+                F.col("order_purchase_timestamp")
+            ),
+            "order_approved_at": F.when(key % 30 == 3, F.lit("1998-13-45")).otherwise(
+                F.col("order_approved_at")
+            ),
+        }
+    )
+    _, rejected = split_malformed(conform(spoiled, SILVER_FIELDS["sv_orders"], tolerant=True))
+    return rejected.select("order_id", F.array_join(MALFORMED, ",").alias("malformed"))
+
+
+def _newest_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Every ninth order delivered again a day later as canceled; the newer one counts."""
+    tables = DriverTables(tune(spark), folder)
+    first = tables["br_orders"]
+    again = first.filter(F.expr("cast(order_id as bigint) % 9 = 0")).withColumns(
+        {
+            "order_status": F.lit("canceled"),
+            "_ingested_at": F.col("_ingested_at") + F.expr("INTERVAL 1 DAY"),
+        }
+    )
+    lake = Lake(spark, {"br_orders": first.unionByName(again)}, newest_orders_only=True)
+    return lake["sv_orders"]
+
+
 def _incremental_history(spark: SparkSession, folder: str) -> DataFrame:
     """Product changes applied as streamed batches, the later one first."""
     tables = DriverTables(tune(spark), folder)
@@ -350,6 +399,9 @@ QUERIES: dict[str, Query] = {
     "mart_delivery_fanout_safe": _fanout_safe,
     "csv_ingest": _csv_ingest,
     "csv_drift": _csv_drift,
+    "csv_reviews": _csv_reviews,
+    "malformed_orders": _malformed_orders,
+    "newest_orders": _newest_orders,
     "stream_silver_orders": _streamed_orders,
     "layout_report": _layout,
 }
