@@ -81,14 +81,21 @@ class Job:
         self._publish("silver", RECOMPUTED, self._bronze_frames())
 
     def gold(self) -> None:
-        """Publish gold tables; each stage reads the stored tables of those before it."""
+        """Publish gold tables; each stage reads the stored tables of those before it.
+
+        Orders with their person are stored once between dimensions and facts, because all three
+        facts look them up.
+        """
         stored = {
             name: self.tables.read("silver", name)
             for name in (*FEEDS, *HISTORIES, *RECOMPUTED)
         }
-        for stage in GOLD_STAGES:
-            self._publish("gold", stage, stored)
-            stored |= {name: self.tables.read("gold", name) for name in stage}
+        dimensions, facts, marts = GOLD_STAGES
+        for layer, stage in (
+            ("gold", dimensions), ("ops", ("order_spine",)), ("gold", facts), ("gold", marts)
+        ):
+            self._publish(layer, stage, stored)
+            stored |= {name: self.tables.read(layer, name) for name in stage}
         create_views(self.spark, self.region)
 
     def _publish(self, layer: str, names: tuple[str, ...], inputs: dict[str, DataFrame]) -> None:
