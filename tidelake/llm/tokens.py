@@ -7,8 +7,8 @@ bytes hold each rank in one to four little-endian bytes, so frequent ids take on
 
 Encoding: a byte-level BPE splits text before it merges, and a single space before a character that is no space always
 starts a new part. So the text is cut at spaces, every distinct cut is encoded once by the tokenizer and its ids are
-looked up afterwards. Texts with a space next to other white space are encoded whole, as are all texts
-if the tokenizer is of another kind.
+looked up afterwards. Texts with white space after a space are encoded whole, as are all texts if the
+tokenizer is of another kind.
 
 Defined cases: a null text is empty and has the end id alone; a null id sorts first; rows that repeat an id
 follow each other, ordered by the digest of their ids; an empty table gives empty files.
@@ -17,8 +17,8 @@ follow each other, ordered by the digest of their ids; an empty table gives empt
 from __future__ import annotations
 
 import json
-import re
 import zlib
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +32,6 @@ from tidelake.session import scratch_folder
 END_ID = 2
 #: A worker forgets its cuts beyond so many; they are encoded again when they come up.
 CACHE_ENTRIES = 800_000
-_UNSAFE = re.compile(r"\s | \s")
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
@@ -48,6 +47,8 @@ class Encoder:
         self.cuttable = (split.get("type"), split.get("use_regex"), split.get("add_prefix_space")) == ("ByteLevel", True, False)
         self.cuttable &= made.get("normalizer") is None and made["model"]["type"] == "BPE"
         self.cuttable &= not any(t["lstrip"] or t["rstrip"] or t["single_word"] or " " in t["content"] for t in made["added_tokens"])
+        special = next((t for t in made["added_tokens"] if t["special"] and not t["normalized"]), None)
+        self.mark, self.mark_id = (special["content"], special["id"]) if special else (None, None)
         self.known: dict[str, bytes] = {}
 
     @staticmethod
@@ -56,28 +57,50 @@ class Encoder:
             _ENCODERS[path] = Encoder(path)
         return _ENCODERS[path]
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(f.ids, "<u4").tobytes() for f in found]
-
-    def encode(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        if not self.cuttable or _UNSAFE.search(text):
-            return self._encode([text])[0]
-        first, *rest = text.split(" ")
-        head = self._encode([first])[0] if first else b""
-        known = self.known
-        try:
-            return head + b"".join([known[w] for w in rest])
-        except KeyError:
-            if len(known) > CACHE_ENTRIES:
-                known.clear()
-            new = [w for w in set(rest) if w not in known]
-            for i in range(0, len(new), 1024):
-                part = new[i : i + 1024]
-                known.update(zip(part, self._encode([" " + w for w in part])))
-            return head + b"".join([known[w] for w in rest])
+    def _encode(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _learn(self, cuts: list[str]) -> None:
+        """Encode cuts with the space before them, many in one call: a special token keeps each by itself."""
+        one_by_one = cuts if self.mark is None else [c for c in cuts if self.mark in c]
+        self.known.update((c, np.array(self._encode(" " + c), "<u4").tobytes()) for c in one_by_one)
+        if self.mark is None:
+            return
+        cuts = [c for c in cuts if self.mark not in c]
+        for i in range(0, len(cuts), 2048):
+            some = cuts[i : i + 2048]
+            ids = np.array(self._encode(" " + f"{self.mark} ".join(some) + self.mark), "<u4")
+            raw, at = ids.tobytes(), 0
+            for c, end in zip(some, np.flatnonzero(ids == self.mark_id).tolist()):
+                self.known[c] = raw[4 * at : 4 * end]
+                at = end + 1
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        if len(self.known) > CACHE_ENTRIES:
+            self.known.clear()
+        get, done, new = self.known.get, [], set()
+        for text in texts:
+            cuts, ids = [], []
+            if text and self.cuttable:
+                cuts = text.split(" ")
+                ids = list(map(get, cuts[1:]))
+                if None in ids:
+                    fresh = {c for c, x in zip(cuts[1:], ids) if x is None}
+                    if any(not c or c[0].isspace() for c in fresh):
+                        cuts = []
+                    new |= fresh
+            done.append((text, cuts, ids))
+        self._learn([c for c in new if c and not c[0].isspace()])
+        found = []
+        for text, cuts, ids in done:
+            if not cuts:
+                found.append(np.array(self._encode(text), "<u4").tobytes() if text else b"")
+                continue
+            if None in ids:
+                ids = [get(c) if x is None else x for c, x in zip(cuts[1:], ids)]
+            head = np.array(self._encode(cuts[0]), "<u4").tobytes() if cuts[0] else b""
+            found.append(head + b"".join(ids))
+        return found
 
 
 _SHIFTS = np.array([0, 2, 4, 6], np.uint8)
@@ -122,7 +145,7 @@ def write(docs: DataFrame, tokenizer: str, path: str | None = None, key: str = "
         for part in parts:
             for i in range(0, part.num_rows, 512):
                 some = part.slice(i, 512)
-                ids = [encoder.encode(t) + end for t in some.column("t").to_pylist()]
+                ids = [x + end for x in encoder.encode(some.column("t").to_pylist())]
                 n = [len(x) // 4 for x in ids]
                 if narrow:
                     ids = [np.frombuffer(x, "<u4").astype("<u2").tobytes() for x in ids]
