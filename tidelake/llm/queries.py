@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelake.llm import language, quality, tokens
+from tidelake.llm import language, minhash, quality, suffixes, tokens
 from tidelake.llm.shared import held_out, table
 
 
@@ -17,6 +17,11 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
+    return found.withColumnRenamed("id", "doc_id")
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language.train(docs.filter(~held_out("doc_id")))
@@ -39,7 +44,12 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.digest(table(spark, sf_dir, "documents"), length=200, keep_first=False)
+    return found.withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op6_language, op8_quality, op9_token_files)
+    f.__name__: f for f in (op1_minhash, op6_language, op8_quality, op9_token_files, op10_suffix_array)
 }
 ORACLE_SQL: dict[str, str] = {}
