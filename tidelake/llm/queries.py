@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelake.llm import language, minhash, quality, suffixes, tokens
+from tidelake.llm import caps, language, minhash, quality, suffixes, templates, tokens
 from tidelake.llm.shared import held_out, table
 
 
@@ -22,6 +22,15 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+def op3_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = templates.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumnsRenamed({"doc": "doc_id", "item": "item_id"})
+
+
+def op5_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return caps.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.98).withColumnRenamed("id", "vec_id")
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language.train(docs.filter(~held_out("doc_id")))
@@ -50,6 +59,6 @@ def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_minhash, op6_language, op8_quality, op9_token_files, op10_suffix_array)
+    f.__name__: f for f in (op1_minhash, op3_templates, op5_caps, op6_language, op8_quality, op9_token_files, op10_suffix_array)
 }
 ORACLE_SQL: dict[str, str] = {}
