@@ -3,13 +3,13 @@
 Vectors are linked if their labels are equal and their cosine, in double precision, reaches a threshold.
 
 1. Equal vectors of a label form a class with the smallest id as representative; only representatives go on.
-2. The space is rotated at random and split into ``PARTS`` parts, each with ``CODE`` random directions. A filter is one
-   direction for each part, so there are CODE ** PARTS filters. A vector is listed under every filter whose inner product
-   exceeds ``HEIGHT`` standard deviations; the list is decoded by combining parts and cutting off partial sums that
-   cannot reach the height.
+2. The space is rotated at random, ``TURNS`` times, and split into ``PARTS`` parts, each with ``CODE`` random directions.
+   A filter is one direction for each part, so there are CODE ** PARTS filters. A vector is listed under every filter
+   whose inner product exceeds ``HEIGHT`` standard deviations, or comes within ``REACH`` of its best one; the list is decoded
+   by combining parts and cutting off partial sums that cannot reach the height.
 3. Vectors that share (label, filter) meet and are checked. Filters with many vectors are dealt out in pairs of blocks.
 
-At cosine 0.98 a pair shares about 16 filters on average; the measured recall is in the README.
+The measured recall is in the README.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components, and rows with a null label or
 id, link with nothing; vectors of unlike length are never linked; rows that repeat an id count as other vectors
@@ -26,7 +26,11 @@ from pyspark.sql import types as T
 
 from tidelake.llm.shared import arrow_schema, batch, components, keep, whole_groups
 
-PARTS, CODE, HEIGHT = 4, 16, 3.4
+PARTS, CODE, HEIGHT = 2, 256, 3.6
+#: A vector's height is lowered to so many standard deviations below its best filter, where that is less.
+REACH = 0.4
+#: Independent rotations, each with the same code; a pair meets if it shares a filter of any.
+TURNS = 2
 BLOCK = 256
 
 
@@ -37,20 +41,28 @@ class Code:
         random = np.random.default_rng(length)
         self.width = -(-length // PARTS)
         size = self.width * PARTS
-        self.turn = np.linalg.qr(random.standard_normal((size, size)))[0][:length]
+        self.turns = [np.linalg.qr(random.standard_normal((size, size)))[0][:length] for _ in range(TURNS)]
         code = random.standard_normal((PARTS, CODE, self.width))
         self.code = code / np.linalg.norm(code, axis=2, keepdims=True)
-        self.height = HEIGHT * np.sqrt(PARTS / size)
+        self.deviation = np.sqrt(PARTS / size)
 
     def lists(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """``(row, filter)`` of all filters that the rows exceed."""
-        parts = (unit @ self.turn).reshape(len(unit), PARTS, self.width)
+        found = [self._decoded(unit @ turn) for turn in self.turns]
+        filters = [filter_ + i * CODE**PARTS for i, (_, filter_) in enumerate(found)]
+        return np.concatenate([row for row, _ in found]), np.concatenate(filters)
+
+    def _decoded(self, turned: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        parts = turned.reshape(len(turned), PARTS, self.width)
         inner = np.einsum("npw,pcw->npc", parts, self.code)
         half = PARTS // 2
         front, back = (self._sums(inner[:, s]) for s in (slice(0, half), slice(half, PARTS)))
+        lift = back.max(axis=1)
+        height = self.deviation * HEIGHT
+        height = np.minimum(height, front.max(axis=1) + lift - REACH * self.deviation)
         # a front half goes on only if the best back half can lift it to the height
-        row, left = np.nonzero(front >= self.height - back.max(axis=1)[:, None])
-        found, right = np.nonzero(front[row, left][:, None] + back[row] >= self.height)
+        row, left = np.nonzero(front >= (height - lift)[:, None])
+        found, right = np.nonzero(front[row, left][:, None] + back[row] >= height[row][:, None])
         return row[found], left[found].astype(np.int64) * back.shape[1] + right
 
     @staticmethod
@@ -65,7 +77,7 @@ _CLASS = "id bigint, label string, digest binary, vector binary"
 
 
 def _vectors(rows: DataFrame) -> DataFrame:
-    """Rows with a usable vector, as double-precision bytes, and a digest of label and vector."""
+    """Rows with a usable vector as bytes (of single precision where that is exact), and a digest of label and vector."""
     schema = arrow_schema(T.StructType.fromDDL(_CLASS))
 
     def read(parts):
@@ -77,7 +89,8 @@ def _vectors(rows: DataFrame) -> DataFrame:
                 raw = np.array(v, np.float64) + 0.0
                 if not np.isfinite(raw).all() or not raw.any():
                     continue
-                raw = raw.tobytes()
+                short = raw.astype(np.float32)
+                raw = b"f" + short.tobytes() if (short == raw).all() else b"d" + raw.tobytes()
                 for column, value in zip(out, (id_, label, xxhash.xxh3_128_digest(label.encode() + b"\0" + raw), raw)):
                     column.append(value)
             yield batch(schema, *out)
@@ -91,10 +104,12 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
 
 
 def _by_length(blobs: list[bytes]):
-    sizes = np.fromiter(map(len, blobs), np.int64, len(blobs))
+    """Rows and matrix of the vectors of each length."""
+    vectors = [np.frombuffer(b, "f4" if b[:1] == b"f" else "f8", offset=1) for b in blobs]
+    sizes = np.fromiter(map(len, vectors), np.int64, len(vectors))
     for size in np.unique(sizes):
         rows = np.flatnonzero(sizes == size)
-        yield rows, np.frombuffer(b"".join(blobs[r] for r in rows), np.float64).reshape(len(rows), -1)
+        yield rows, np.stack([vectors[r] for r in rows]).astype(np.float64)
 
 
 _LISTED = "cell bigint, id bigint, vector binary"
@@ -112,8 +127,10 @@ def _listed(ones: DataFrame) -> DataFrame:
                 ids = some.column("id").to_numpy()
                 salt = np.array([xxhash.xxh3_64_intdigest(x.encode()) for x in labels], np.uint64)
                 for rows, vectors in _by_length(blobs):
-                    code = codes.setdefault(vectors.shape[1], None) or codes.update({vectors.shape[1]: Code(vectors.shape[1])}) or codes[vectors.shape[1]]
-                    row, filter_ = code.lists(_unit(vectors))
+                    length = vectors.shape[1]
+                    if length not in codes:
+                        codes[length] = Code(length)
+                    row, filter_ = codes[length].lists(_unit(vectors))
                     row = rows[row]
                     cell = (salt[row] + filter_.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)).astype(np.int64)
                     yield batch(schema, cell, ids[row], [blobs[r] for r in row])

@@ -1,7 +1,8 @@
 """Benchmark decontamination by template windows.
 
 Words lose their outer punctuation; numbers, capitalised words (names) and units after a number become typed
-placeholders, all other words are compared in lower case. Windows of ``WINDOW`` words are hashed and joined with those
+placeholders, all other words are compared in lower case. A second reading takes names as words, for copies in another
+case. Windows of ``WINDOW`` words are hashed and joined with those
 of the benchmark. Windows on one diagonal form a match; its slots must be filled consistently: equal values of the
 item stay equal in the document and unlike ones unlike, so a re-parameterised question is caught and a chance
 agreement of placeholders is not.
@@ -18,6 +19,7 @@ table on either side gives an empty result; other columns pass through.
 from __future__ import annotations
 
 import re
+from itertools import product
 
 import numpy as np
 import xxhash
@@ -61,8 +63,9 @@ class Reader:
             return 5, own, _NAME
         return own, own, _UNIT if low in UNITS else _LITERAL
 
-    def read(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """``(template, slot)`` of each word; slot 0 marks a word that is no placeholder."""
+    def read(self, text: str | None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """``(template, slot)`` of each word, with names as placeholders and, if there are names, once more with
+        names as words; slot 0 marks a word that is no placeholder."""
         words = (text or "").split()
         new = set(words).difference(self.known)
         if new:
@@ -77,7 +80,9 @@ class Reader:
         unit = (kind == _UNIT) & np.append(False, kind[:-1] == _NUM) if len(kind) else np.zeros(0, bool)
         template[unit] = 7
         slot[(kind == _LITERAL) | ((kind == _UNIT) & ~unit)] = 0
-        return template, slot
+        name = kind == _NAME
+        plain = np.where(name, slot, template), np.where(name, np.uint64(0), slot)
+        return [(template, slot), plain] if name.any() else [plain]
 
     def _grown(self, more: np.ndarray) -> np.ndarray:
         """The table with more rows, in a buffer that doubles."""
@@ -118,8 +123,8 @@ def _rows(named: DataFrame, sizes, keep_hash=None) -> DataFrame:
                 for id_, text in zip(some.column("id").to_pylist(), some.column("t").to_pylist()):
                     if id_ is None:
                         continue
-                    template, slot = reader.read(text)
-                    for size in sizes or [min(WINDOW, len(template))]:
+                    readings = reader.read(text)
+                    for size, (template, slot) in product(sizes or [min(WINDOW, len(readings[0][0]))], readings):
                         if size < SHORTEST:
                             continue
                         h, place = windows(template, slot, size)
