@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelake.llm import caps, language, minhash, quality, suffixes, templates, tokens
+from tidelake.llm import caps, language, minhash, pages, pieces, quality, suffixes, templates, tokens
 from tidelake.llm.shared import held_out, table
 
 
@@ -22,6 +22,12 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+def op2_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "pages")
+    found = pages.extract(rows.select("page_id", "url", "html"), pages.train(rows))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
+
+
 def op3_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = templates.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.withColumnsRenamed({"doc": "doc_id", "item": "item_id"})
@@ -38,6 +44,11 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
+def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pieces.summaries(table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"), k=2)
+    return found.withColumnRenamed("id", "doc_id")
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = quality.train(docs, labels.filter(~held_out("doc_id")))
@@ -59,6 +70,6 @@ def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_minhash, op3_templates, op5_caps, op6_language, op8_quality, op9_token_files, op10_suffix_array)
+    f.__name__: f for f in (op1_minhash, op2_pages, op3_templates, op5_caps, op6_language, op7_pieces, op8_quality, op9_token_files, op10_suffix_array)
 }
 ORACLE_SQL: dict[str, str] = {}
