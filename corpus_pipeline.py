@@ -4,18 +4,46 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelake.llm import language
+from tidelake.llm import language, minhash, pieces, suffixes, templates
 from tidelake.llm.shared import keep, table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognised; their ``lang`` is left as it is."""
-    model = language.train(docs)
-    found = language.identify(docs, model)
+    """Documents with a recognised language; those without a letter or with an uncertain prediction go."""
+    found = language.identify(docs, language.train(docs))
     return found.filter(language.certain(found)).select(*docs.columns)
 
 
-STAGES = [("language_id", language_id)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: five-word shingles, similarity 0.8 or more."""
+    return minhash.deduplicate(docs, words=5, percent=80)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later copies of passages of 200 bytes and more are cut out of the texts; ``n_chars`` follows."""
+    return suffixes.remove_repeats(docs, length=200, size="n_chars")
+
+
+def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without passages of the benchmark, re-parameterised ones included."""
+    return templates.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def segmentations(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Two distinct sampled segmentations of each document: piece ids and scores."""
+    import public_tokenizers
+
+    found = pieces.segmentations(docs, public_tokenizers.path("piece_bpe_32k.model"), k=2)
+    return found.withColumnRenamed("id", "doc_id").drop("decoded")
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("near_duplicates", near_duplicates),
+    ("repeated_passages", repeated_passages),
+    ("benchmark_leaks", benchmark_leaks),
+    ("segmentations", segmentations),
+]
 
 #: Learned models and byte-level matches are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None

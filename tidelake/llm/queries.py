@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelake.llm import caps, language, minhash, pages, pieces, quality, suffixes, templates, tokens
+from tidelake.llm import caps, chains, language, minhash, pages, pieces, quality, suffixes, templates, tokens
 from tidelake.llm.shared import held_out, table
 
 
@@ -33,6 +33,10 @@ def op3_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnsRenamed({"doc": "doc_id", "item": "item_id"})
 
 
+def op4_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chains.passages(table(spark, sf_dir, "documents"), least=50, percent=80)
+
+
 def op5_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return caps.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.98).withColumnRenamed("id", "vec_id")
 
@@ -70,6 +74,6 @@ def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_minhash, op2_pages, op3_templates, op5_caps, op6_language, op7_pieces, op8_quality, op9_token_files, op10_suffix_array)
+    f.__name__: f for f in (op1_minhash, op2_pages, op3_templates, op4_chains, op5_caps, op6_language, op7_pieces, op8_quality, op9_token_files, op10_suffix_array)
 }
 ORACLE_SQL: dict[str, str] = {}
