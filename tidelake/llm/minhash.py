@@ -6,10 +6,11 @@ whole sequence. Documents are linked if 100 * intersection >= percent * union.
 1. Every text becomes a set digest, band keys of its MinHash samples, and an odd sketch: the samples folded
    into a parity bitmap, so that the population count of the XOR of two bitmaps estimates a high similarity.
 2. Equal sets form a class with the smallest id as representative; only representatives go on.
-3. Each band bucket hangs its members on the smallest one; pairs that the sketches do not rule out are checked
-   on full sets. Links give components.
+3. Each representative is paired with the smallest document of all its band buckets; pairs that the sketches do not
+   rule out are checked on full sets. Links give components.
 4. Buckets that still hold several components compare the members outside the largest component with all
-   others, in blocks, so no bucket is capped, collected in one task or expanded inside one component.
+   others, in blocks: first each with the most similar member of another component, then, for the components
+   that remain, with all. So no bucket is capped, collected in one task or expanded inside one component.
 
 The sketch filter is 0.23 below the threshold (five standard deviations), and bands miss a pair at the threshold
 with a probability of 3e-6.
@@ -159,8 +160,11 @@ def _near(a, b, percent: int):
     return (100 * least >= percent * most) & (sum(words[1:], words[0]) <= most_bits(percent / 100 - SKETCH_MARGIN))
 
 
-def _cross_pairs(mixed: DataFrame, percent: int) -> DataFrame:
-    """Pairs of unlike components in buckets ``(bucket, id, component, outside, n, sketch, members, outsiders)``."""
+def _cross_pairs(mixed: DataFrame, percent: int, closest: bool) -> DataFrame:
+    """Pairs of unlike components in buckets ``(bucket, id, component, outside, n, sketch, members, outsiders)``.
+
+    ``closest``: of each other component, only the member with the most similar sketch.
+    """
     rows = mixed.select("*", F.pmod(F.xxhash64("id"), _blocks(F.col("members"))).alias("i"), F.pmod(F.xxhash64("id"), _blocks(F.col("outsiders"))).alias("o"))
     every = rows.select("*", F.lit(0).alias("side"), F.explode(F.sequence(F.lit(0), _blocks(F.col("outsiders")) - 1)).alias("p"), F.col("i").cast("int").alias("q"))
     outside = rows.filter("outside").select("*", F.lit(1).alias("side"), F.col("o").cast("int").alias("p"), F.explode(F.sequence(F.lit(0), _blocks(F.col("members")) - 1)).alias("q"))
@@ -181,7 +185,11 @@ def _cross_pairs(mixed: DataFrame, percent: int) -> DataFrame:
                     near = y[comp[y] != comp[i]]
                     near = near[100 * np.minimum(n[near], n[i]) >= percent * np.maximum(n[near], n[i])]
                     bits = np.bitwise_count(sketch[near] ^ sketch[i]).sum(axis=1)
-                    found += [(min(ids[i], ids[j]), max(ids[i], ids[j])) for j in near[bits <= most]]
+                    near, bits = near[bits <= most], bits[bits <= most]
+                    if closest and len(near) > 1:
+                        order = np.lexsort((bits, comp[near]))
+                        near = near[order][np.append(True, np.diff(comp[near][order]) != 0)]
+                    found += [(min(ids[i], ids[j]), max(ids[i], ids[j])) for j in near]
             found = sorted(set(found))
             yield batch(schema, [f[0] for f in found], [f[1] for f in found])
 
@@ -207,29 +215,31 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, key: str
         both = pairs.join(a, "a").join(b, "b")
         return both.filter(_near(F.col("xa"), F.col("xb"), percent)).select("a", "b", "da", "db")
 
-    first = candidates(buckets.filter("id <> a").select("a", F.col("id").alias("b")).distinct())
-    links = keep(_verified(first, texts, words, percent), "links")
-    found = keep(components(links), "components")
-    # what remains: buckets of several components
-    marked = buckets.join(found.withColumnRenamed("node", "id"), "id", "left").select(
-        "bucket", "id", "members", F.coalesce("component", "id").alias("component")
-    )
-    several = marked.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y AND x IS NOT NULL")
-    marked = keep(marked.filter("members > 2").join(several.select("bucket"), "bucket", "left_semi"), "mixed")
-    sizes = marked.groupBy("bucket", "component").agg(F.count("*").alias("m"))
-    largest = sizes.groupBy("bucket").agg(F.max(F.struct("m", "component")).alias("top"), F.sum("m").alias("all"))
-    mixed = (
-        marked.join(largest, "bucket")
-        .join(sketches.select("id", "n", "sketch"), "id")
-        .select("bucket", "id", "component", "members", "n", "sketch",
-                (F.col("component") != F.col("top.component")).alias("outside"), (F.col("all") - F.col("top.m")).alias("outsiders"))
-    )
-    second = candidates(_cross_pairs(mixed, percent).join(first.select("a", "b"), ["a", "b"], "left_anti"))
-    more = keep(_verified(second, texts, words, percent), "links")
-    if more.isEmpty():
-        joined = found
-    else:
-        joined = components(links.unionByName(more))
+    # one pair for each document: the smallest leader of its buckets
+    tried = candidates(buckets.filter("id <> a").groupBy(F.col("id").alias("b")).agg(F.min("a").alias("a")))
+    tried = keep(tried, "pairs")
+    links = keep(_verified(tried, texts, words, percent), "links")
+    joined = keep(components(links), "components")
+    for closest in (True, False):
+        # what remains: buckets of several components
+        marked = buckets.join(joined.withColumnRenamed("node", "id"), "id", "left").select(
+            "bucket", "id", "members", F.coalesce("component", "id").alias("component")
+        )
+        several = marked.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y")
+        marked = keep(marked.join(several.select("bucket"), "bucket", "left_semi"), "mixed")
+        sizes = marked.groupBy("bucket", "component").agg(F.count("*").alias("m"))
+        largest = sizes.groupBy("bucket").agg(F.max(F.struct("m", "component")).alias("top"), F.sum("m").alias("all"))
+        mixed = marked.join(largest, "bucket").join(sketches.select("id", "n", "sketch"), "id").select(
+            "bucket", "id", "component", "members", "n", "sketch",
+            (F.col("component") != F.col("top.component")).alias("outside"), (F.col("all") - F.col("top.m")).alias("outsiders"),
+        )
+        pairs = _cross_pairs(mixed, percent, closest).join(tried.select("a", "b"), ["a", "b"], "left_anti")
+        pairs = keep(candidates(pairs), "pairs")
+        more = keep(_verified(pairs, texts, words, percent), "links")
+        if pairs.isEmpty():
+            break
+        tried, links = tried.unionByName(pairs), links.unionByName(more)
+        joined = keep(components(links), "components")
     joined = joined.select(F.col("node").alias("rep"), F.col("component").alias("c"))
     rows = signed.select("id", "n", "digest").join(classes, "digest", "left").join(joined, "rep", "left")
     component = F.coalesce("c", "rep", "id")

@@ -33,7 +33,8 @@ from pyspark.sql import types as T
 from tidelake.llm.shared import arrow_schema, batch, keep, mix, whole_groups
 
 GRAM = 32
-HOT = 512
+#: So many different runs of one gram are compared in one task (about 20 MB).
+HOT = 30_000
 
 
 def _sliding(x: np.ndarray, width: int, pick) -> np.ndarray:
@@ -167,7 +168,7 @@ def _runs(rows: DataFrame, length: int) -> DataFrame:
     def find(parts):
         for part in parts:
             for k in range(0, part.num_rows, 256):
-                some, out = part.slice(k, 256), [[] for _ in range(7)]
+                some, out = part.slice(k, 256), [[] for _ in schema]
                 for id_, mark, text in zip(*(some.column(c).to_pylist() for c in ("id", "t", "text"))):
                     raw = (text or "").encode("utf-8", "surrogatepass")
                     h, first, place, last = runs(raw, length)
