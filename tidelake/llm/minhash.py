@@ -242,7 +242,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, key: str
         joined = keep(components(links), "components")
     joined = joined.select(F.col("node").alias("rep"), F.col("component").alias("c"))
     rows = signed.select("id", "n", "digest").join(classes, "digest", "left").join(joined, "rep", "left")
-    component = F.coalesce("c", "rep", "id")
+    component = F.when(F.col("id").isNotNull(), F.coalesce("c", "rep", "id"))
     return rows.select("id", F.col("n").alias("n_shingles"), component.alias("component_id"),
                        F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
 

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Bound of the training sample: about so many pages, by hash, and so many composed ones.
-SAMPLE_PAGES, COMPOSED_PAGES = 300, 600
+SAMPLE_PAGES, COMPOSED_PAGES = 300, 500
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|$)"
     r"|<(script|style|noscript|template|textarea|select|svg|iframe|object)\b[^>]*>.*?(?:</\1\s*>|$)"
@@ -120,8 +120,6 @@ def blocks(page: str | None) -> list[Block]:
                         break
             named = " ".join(a or b or c for a, b, c in _NAMED.findall(token[4])) if token[4] else ""
             stack.append((tag, named))
-            if token[4].endswith("/"):
-                stack.pop()
     if at < len(page):
         say(page[at:])
     flush()
@@ -194,7 +192,7 @@ class Field:
                 scores[i, j] = self.weights[row].sum()
         return scores, sizes
 
-    def train(self, pages: list[list[Block]], labels: list[list[int]], rounds: int = 120, ridge: float = 2e-3) -> None:
+    def train(self, pages: list[list[Block]], labels: list[list[int]], rounds: int = 150, ridge: float = 1e-4) -> None:
         """Maximise the conditional likelihood by gradient steps with forward and backward sums."""
         rows = [self.rows(p, learn=True) for p in pages]
         flat = np.array([f for page in rows for row in page for f in row], np.int64)
@@ -232,7 +230,7 @@ class Field:
                 [(truth[:, 0] - chance[:, 0, 1]).sum()],
             ]) / len(page_of) - ridge * parameters
             first, second = 0.9 * first + 0.1 * slope, 0.99 * second + 0.01 * slope**2
-            parameters += 0.15 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
+            parameters += 0.2 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
         self.weights, self.moves, self.begin = parameters[:-5], parameters[-5:-1].reshape(2, 2), float(parameters[-1])
 
     def decode(self, pages: list[list[Block]]) -> list[np.ndarray]:
