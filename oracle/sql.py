@@ -113,12 +113,13 @@ CTES = {
         FROM orders JOIN customer ON o_custkey = c_custkey
         JOIN nation z ON z.n_nationkey = (c_nationkey + (o_orderkey // 8) % 2) % 25""",
     "br_geolocation": """
-        SELECT c_nationkey AS geolocation_zip_code_prefix,
+        SELECT CASE WHEN c_nationkey < 23 THEN c_nationkey ELSE c_nationkey + 900 END
+                   AS geolocation_zip_code_prefix,
                round(c_acctbal) / 100 AS geolocation_lat,
                CAST(c_custkey % 180 AS DOUBLE) AS geolocation_lng,
                lower(c_mktsegment) AS geolocation_city, r_name AS geolocation_state
         FROM customer JOIN nation ON c_nationkey = n_nationkey
-        JOIN region ON n_regionkey = r_regionkey WHERE c_nationkey < 23""",
+        JOIN region ON n_regionkey = r_regionkey""",
     "br_sellers": f"""
         SELECT CAST(s_suppkey AS VARCHAR) AS seller_id, s_nationkey AS seller_zip_code_prefix,
                'city ' || s_nationkey AS seller_city, n_name AS seller_state,
@@ -143,9 +144,10 @@ CTES = {
         SELECT * EXCLUDE (p_partkey) REPLACE ('recategorised' AS product_category_name), {_BATCH_2}
         FROM described WHERE p_partkey % 50 = 0""",
     "br_category_translation": """
-        SELECT DISTINCT p_type AS product_category_name,
+        SELECT DISTINCT CASE WHEN p_type = 'PROMO' THEN 'x_PROMO' ELSE p_type END
+                   AS product_category_name,
                'en_' || lower(p_type) AS product_category_name_english
-        FROM part WHERE p_type <> 'PROMO'""",
+        FROM part""",
     "br_payments": """
         SELECT CASE WHEN event_id % 1000 = 7 THEN 'x' ELSE '' END || event_id AS order_id,
                CAST(user_id % 3 + 1 AS INT) AS payment_sequential,
@@ -435,7 +437,7 @@ def _as_double(*columns: str) -> str:
 
 
 def _placed(*columns: str) -> str:
-    return ", ".join(f"round({c}, 6) AS {c}" for c in columns)
+    return ", ".join(f"round({c} + 1e-9, 6) AS {c}" for c in columns)
 
 
 _SHARE = "(CASE WHEN {0} THEN 1 ELSE 0 END)"
@@ -669,6 +671,23 @@ def _statements() -> dict[str, str]:
                         THEN '{"seller_rating":"' || (CAST(seller_id AS BIGINT) % 5) || '"}' END
                        AS _rescued_data
             FROM br_sellers""",
+        "csv_awkward_files": """
+            SELECT seller_id,
+                   CASE WHEN n <> 2 THEN CAST(seller_zip_code_prefix AS VARCHAR) END AS seller_zip_code_prefix,
+                   CASE WHEN n <> 2 THEN seller_city END AS seller_city,
+                   CASE WHEN n <> 2 THEN seller_state END AS seller_state,
+                   CASE WHEN n = 2 THEN '{"_raw_line":"' || seller_id || '"}'
+                        WHEN n = 3 THEN '{"note_c4":"' || seller_city || '","note_c5":"' || seller_state || '"}' END
+                       AS _rescued_data
+            FROM (SELECT *, CAST(seller_id AS BIGINT) % 4 AS n FROM br_sellers)""",
+        "layout_report": " UNION ALL ".join(
+            f"SELECT '{table}' AS \"table\", '{step}' AS step, 'done' AS status, count(*) AS rows FROM {table}"
+            for table, columns in (
+                ("fct_order_items", "order_purchase_timestamp, seller_id"),
+                ("fct_payments", "order_date_key"), ("fct_reviews", "order_date_key"),
+            )
+            for step in (f"cluster and compact by {columns}", "statistics")
+        ),
         "csv_reviews": """
             SELECT review_id, order_id, CAST(review_score AS VARCHAR) AS review_score,
                    review_comment_message || ',' || chr(10) || '"second line"'

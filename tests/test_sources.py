@@ -11,7 +11,7 @@ from tidelake.operators.layout import optimise
 from tidelake.plans.dq import expectation_report
 from tidelake.session import scratch_folder, size_shuffles
 from tidelake.sources.eventlog import EventLog
-from tidelake.sources.landing import SOURCES, LandingError, landing_report, require_landing
+from tidelake.sources.landing import SOURCES, LandingError, Source, landing_report, require_landing
 from tidelake.sources.tables import Tables
 from tidelake.streaming.bronze import ingest, ingest_by_position, read_bronze, stream_bronze
 from tidelake.streaming.history import HistoryTable
@@ -236,6 +236,36 @@ def test_layout_reports_each_step(spark, tmp_path, rows):
     assert stored.count() == 1000 and len(stored.inputFiles()) == 3
 
 
+def test_namespaces_keep_tables_apart(spark, tmp_path):
+    common, private = Tables(spark, str(tmp_path / "a")), Tables(spark, str(tmp_path / "b"), "trial")
+    common.publish("ops", "facts", spark.range(3), [])
+    private.publish("ops", "facts", spark.range(5), [])
+    assert (common.read("ops", "facts").count(), private.read("ops", "facts").count()) == (3, 5)
+    private.drop()
+    assert common.read("ops", "facts").count() == 3 and not private.exists("ops", "facts")
+    with pytest.raises(ValueError):
+        common.drop()
+
+
+def test_no_landed_file_is_lost(spark, tmp_path, rows, caplog):
+    """Blank first lines, other suffixes, compressed files; only files without a line are skipped, and said so."""
+    import gzip
+
+    source, folder = Source("s", ("a", "b")), tmp_path / "landing" / "s"
+    folder.mkdir(parents=True)
+    (folder / "blank.csv").write_text("\n  \r\na,b\n1,x\n")
+    (folder / "UPPER.CSV").write_text("b,a\nx,2\n")
+    (folder / "plain").write_text("a,b\n3,x")
+    (folder / "zipped.csv.gz").write_bytes(gzip.compress(b"\na,b\n4,x\n"))
+    (folder / "header.csv").write_text("a,b\n")
+    (folder / "nothing.csv").write_text("\n\n")
+    (folder / "_hidden.csv").write_text("a,b\n9,x\n")
+    ingest(spark, str(tmp_path / "landing"), source, str(tmp_path / "bronze"), str(tmp_path / "cp")).awaitTermination()
+    stored = read_bronze(spark, source, str(tmp_path / "bronze"))
+    assert rows(stored, "a", "b") == [(str(i), "x") for i in (1, 2, 3, 4)]
+    assert "nothing.csv" in caplog.text
+
+
 def test_shuffles_grow_with_the_input(spark):
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     try:

@@ -4,8 +4,9 @@ A window per key puts the whole key into one task. Here keys above ``max_rows``
 ordered segments that are windows of their own, and one small row per segment carries what the
 next segment needs to know. Keys below the limit stay whole and have no segment (NULL).
 
-Both helper tables have a proven bound: at most ``rows / max_rows`` keys can exceed the limit, and
-their segments number at most a small multiple of that. That is why they may be broadcast. The
+Both helper tables are small beside the rows: at most ``rows / max_rows`` keys can exceed the limit,
+and their segments number at most a small multiple of that. They still grow with the data, so no
+broadcast is forced; Spark picks the join by their measured size. The
 segment is a window partition column, so "has a segment" is pushed below the window and its
 shuffle: without heavy keys the helper branches read nothing.
 """
@@ -31,7 +32,7 @@ def attach(df: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left join a bounded helper table on null-safe key equality."""
     helper = _prefixed(small, keys)
     same = reduce(lambda a, b: a & b, [df[k].eqNullSafe(helper[f"__of_{k}"]) for k in keys])
-    return df.join(F.broadcast(helper), same, "left").drop(*[f"__of_{k}" for k in keys])
+    return df.join(helper, same, "left").drop(*[f"__of_{k}" for k in keys])
 
 
 def heavy_keys(df: DataFrame, keys: Sequence[str], max_rows: int, *extra: Column) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import partial
 
@@ -72,9 +73,10 @@ def plain(df: DataFrame) -> DataFrame:
 
 
 def _placed(df: DataFrame) -> DataFrame:
-    """Centroids to six places: sums of doubles depend on their order."""
+    """Centroids to six places: sums of doubles depend on their order. The shift keeps exact halves,
+    which means of few points have, clear of that."""
     coordinates = [c for c in df.columns if c.endswith(("latitude", "longitude"))]
-    return df.withColumns({c: F.round(c, 6) for c in coordinates})
+    return df.withColumns({c: F.round(F.col(c) + 1e-9, 6) for c in coordinates})
 
 
 def _table(name: str, number_lines: bool = False) -> Query:
@@ -190,6 +192,40 @@ def _csv_ingest(spark: SparkSession, folder: str) -> DataFrame:
     return read_bronze(spark, source, f"{work}/bronze").drop("_ingested_at", "_source_file")
 
 
+def _csv_awkward_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Sellers in files that an ingest easily loses: a blank line before the header and no usual
+    suffix, compressed, rows cut short, an extra column twice, and a file with a header only."""
+    tables = DriverTables(tune(spark), folder)
+    work, source = scratch_folder(spark, "csv-awkward"), SOURCES["sellers"]
+    target = f"{work}/landing/sellers"
+    sellers = _as_text(tables["br_sellers"].select(*source.columns))
+    number = F.col("seller_id").cast("long") % 4
+    header = ",".join(source.columns)
+
+    def under(head):
+        def lines(batches):
+            started = False
+            for batch in batches:
+                if not started and len(batch):
+                    started = True
+                    yield batch.iloc[:1].assign(value=head)
+                yield batch
+
+        return lines
+
+    lines = F.to_csv(F.struct(*source.columns), {"escape": '"'}).alias("value")
+    blank = sellers.filter(number == 0).select(lines)
+    blank.mapInPandas(under(f"\n \n{header}"), "value string").write.text(f"{target}/blank")
+    sellers.filter(number == 1).write.options(header=True, escape='"', compression="gzip").csv(f"{target}/zipped")
+    short = sellers.filter(number == 2).select(F.col("seller_id").alias("value"))
+    short.mapInPandas(under(header), "value string").write.text(f"{target}/short")
+    twice = sellers.filter(number == 3).selectExpr("*", "seller_city AS note", "seller_state AS Note2")
+    twice.toDF(*source.columns, "note", "note").write.options(header=True, escape='"').csv(f"{target}/twice")
+    sellers.limit(0).write.options(header=True).csv(f"{target}/empty")
+    ingest(spark, f"{work}/landing", source, f"{work}/bronze", f"{work}/checkpoint").awaitTermination()
+    return read_bronze(spark, source, f"{work}/bronze").select(*source.columns, "_rescued_data")
+
+
 def _csv_drift(spark: SparkSession, folder: str) -> DataFrame:
     """Seller files in three shapes: as declared, reordered with an extra column, one missing."""
     tables = DriverTables(tune(spark), folder)
@@ -302,14 +338,22 @@ def _streamed_orders(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+LAYOUT_TABLES = ("fct_order_items", "fct_payments", "fct_reviews")
+
+
 def _layout(spark: SparkSession, folder: str) -> DataFrame:
-    """The three fact tables published, rewritten by their clustering columns and analysed."""
+    """The three fact tables published, rewritten by their clustering columns and analysed, in a
+    namespace of their own; with the rows of each table after the step."""
     lake = driver_lake(spark, folder, number_lines=True)
     root = scratch_folder(spark, "layout")
-    tables = Tables(spark, root)
-    for name in ("fct_order_items", "fct_payments", "fct_reviews"):
+    tables = Tables(spark, root, f"layout_{uuid.uuid4().hex}")
+    for name in LAYOUT_TABLES:
         tables.publish("gold", name, lake[name])
-    return optimise(spark, partial(tables.replace, "gold"))
+    steps = optimise(spark, partial(tables.replace, "gold"), layer=tables.schema("gold")).collect()
+    rows = {name: tables.read("gold", name).count() for name in LAYOUT_TABLES}
+    tables.drop()
+    named = [(s.table.split(".")[1], s.step, s.status, rows[s.table.split(".")[1]]) for s in steps]
+    return spark.createDataFrame(named, "table string, step string, status string, rows bigint")
 
 
 def _regional(spark: SparkSession, folder: str) -> DataFrame:
@@ -399,6 +443,7 @@ QUERIES: dict[str, Query] = {
     "mart_delivery_fanout_safe": _fanout_safe,
     "csv_ingest": _csv_ingest,
     "csv_drift": _csv_drift,
+    "csv_awkward_files": _csv_awkward_files,
     "csv_reviews": _csv_reviews,
     "malformed_orders": _malformed_orders,
     "newest_orders": _newest_orders,

@@ -39,10 +39,11 @@ class Job:
         root: str,
         calendar: tuple[str, str] = CALENDAR_RANGE,
         region: tuple[str, ...] = ("SP",),
+        namespace: str = "",
     ):
         self.spark, self.landing, self.root = spark, landing, root
         self.calendar, self.region = calendar, region
-        self.tables = Tables(spark, root)
+        self.tables = Tables(spark, root, namespace)
         self.checkpoints = f"{root}/checkpoints"
 
     def gate(self) -> int:
@@ -96,7 +97,7 @@ class Job:
         ):
             self._publish(layer, stage, stored)
             stored |= {name: self.tables.read(layer, name) for name in stage}
-        create_views(self.spark, self.region)
+        create_views(self.spark, self.region, *map(self.tables.schema, ("gold", "security")))
 
     def _publish(self, layer: str, names: tuple[str, ...], inputs: dict[str, DataFrame]) -> None:
         """Publish tables that do not depend on each other as concurrent jobs."""
@@ -117,7 +118,9 @@ class Job:
         return self.tables.read("ops", "dq_expectation_report")
 
     def layout(self) -> DataFrame:
-        return optimise(self.spark, partial(self.tables.replace, "gold"))
+        return optimise(
+            self.spark, partial(self.tables.replace, "gold"), layer=self.tables.schema("gold")
+        )
 
     def run(self) -> int:
         """Everything in order; report and layout do not depend on each other and run together."""

@@ -42,13 +42,15 @@ def customer_regional(customers: DataFrame, states: Collection[str]) -> DataFram
     return customers.filter(F.col("customer_state").isin(list(states)))
 
 
-def create_views(spark: SparkSession, region: Collection[str], layer: str = "gold") -> None:
+def create_views(
+    spark: SparkSession, region: Collection[str], layer: str = "gold", into: str = "security"
+) -> None:
     """The secure views as catalog views, for readers who query by SQL.
 
-    The catalog knows no reader groups, so grant ``security`` to everyone and ``layer`` only to
+    The catalog knows no reader groups, so grant ``into`` to everyone and ``layer`` only to
     cleared readers. ``region`` is the set of states the regional view shows.
     """
-    spark.sql("CREATE SCHEMA IF NOT EXISTS security")
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {into}")
     people = spark.table(f"{layer}.dim_customer").columns
     masks = {
         "customer_unique_id": f"concat(left(customer_unique_id, 4), '{ID_MASK_SUFFIX}')",
@@ -65,4 +67,4 @@ def create_views(spark: SparkSession, region: Collection[str], layer: str = "gol
         f" WHERE customer_state IN ({states or 'NULL'})",
     }
     for name, body in bodies.items():
-        spark.sql(f"CREATE OR REPLACE VIEW security.{name} AS {body}")
+        spark.sql(f"CREATE OR REPLACE VIEW {into}.{name} AS {body}")

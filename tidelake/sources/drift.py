@@ -9,6 +9,7 @@ column as JSON.
 from __future__ import annotations
 
 import csv
+import logging
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,12 +20,14 @@ from tidelake.operators.integrity import union_all
 from tidelake.sources.landing import Source, with_audit
 
 _RAW_LINE = "__raw_line"
+_log = logging.getLogger(__name__)
 
 
 def headers(files: DataFrame, chunk: int = 64 * 1024) -> DataFrame:
     """Files with their header line, read inside the tasks that own the paths.
 
-    No more of a file is read than its first line takes. The function carries everything it needs,
+    The header is the first line that is not blank, as for Spark's own reader; no more of a file is
+    read than that takes, and compressed files are read through. The function carries everything it needs,
     so executors do not have to have this package installed.
     """
 
@@ -33,7 +36,7 @@ def headers(files: DataFrame, chunk: int = 64 * 1024) -> DataFrame:
 
         from pyarrow import fs
 
-        def first_line(path):
+        def header_line(path):
             parts = urlsplit(path)
             if parts.scheme in ("", "file"):
                 filesystem, inner = fs.LocalFileSystem(), path.removeprefix("file:")
@@ -41,17 +44,17 @@ def headers(files: DataFrame, chunk: int = 64 * 1024) -> DataFrame:
                 # Hadoop's names for S3 are not known outside of it.
                 address = path.replace("s3a://", "s3://", 1).replace("s3n://", "s3://", 1)
                 filesystem, inner = fs.FileSystem.from_uri(address)
-            head = b""
+            rest = b""
             with filesystem.open_input_stream(inner) as stream:
-                while b"\n" not in head:
-                    block = stream.read(chunk)
-                    if not block:
-                        break
-                    head += block
-            return head.split(b"\n", 1)[0].decode("utf-8-sig").rstrip("\r")
+                while block := stream.read(chunk):
+                    *lines, rest = (rest + block).split(b"\n")
+                    for line in lines:
+                        if text := line.decode("utf-8-sig").strip():
+                            return text
+            return rest.decode("utf-8-sig").strip()
 
         for batch in batches:
-            yield batch.assign(header=[first_line(path) for path in batch["path"]])
+            yield batch.assign(header=[header_line(path) for path in batch["path"]])
 
     return files.select("path").mapInPandas(read_headers, "path string, header string")
 
@@ -80,10 +83,10 @@ def _read_group(
         .load(list(paths))
     )
     found = {name: column for column, name in stands_for.items()}
+    surplus = [(c, name or c) for c, name in zip(physical, given) if c not in stands_for]
     extras = [
-        F.col(column).alias(name or column)
-        for column, name in zip(physical, given)
-        if column not in stands_for
+        F.col(c).alias(name if [n for _, n in surplus].count(name) == 1 else f"{name}_{c}")
+        for c, name in surplus
     ]
     rescued = F.to_json(F.struct(*extras, F.col(_RAW_LINE).alias("_raw_line")))
     stamped = with_audit(raw, source.name)
@@ -102,17 +105,19 @@ def _read_group(
 def read_by_name(spark: SparkSession, source: Source, files: DataFrame) -> DataFrame | None:
     """Rows of the given files (column ``path``) under the declared columns, plus audit columns.
 
-    Only file paths reach the driver, as they do for any file listing; the number of groups is the
-    number of distinct header lines.
+    Only the paths of one batch reach the driver, as they do for any file listing, and ``files_per_batch``
+    bounds them; the number of groups is the number of distinct header lines. Files without any line
+    that is not blank hold nothing and are logged.
     """
     groups = (
         headers(files)
-        .filter("header <> ''")
         .groupBy("header")
         .agg(F.sort_array(F.collect_list("path")).alias("paths"))
         .orderBy("header")
         .collect()
     )
-    if not groups:
-        return None
-    return union_all([_read_group(spark, source, g.header, g.paths) for g in groups])
+    for group in groups:
+        if not group.header:
+            _log.warning("%s: no line in %d file(s): %s", source.name, len(group.paths), group.paths)
+    read = [_read_group(spark, source, g.header, g.paths) for g in groups if g.header]
+    return union_all(read) if read else None

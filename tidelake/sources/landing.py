@@ -45,7 +45,10 @@ SOURCES = {
     for name, columns in LANDING_COLUMNS.items()
 }
 FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
-FILE_OPTIONS = {"recursiveFileLookup": "true", "pathGlobFilter": "*.csv"}
+# Every file is landed data, whatever its suffix; Spark itself skips names that start with "." or "_".
+FILE_OPTIONS = {"recursiveFileLookup": "true"}
+# Only the gate asks for the usual suffix.
+GATE_OPTIONS = {**FILE_OPTIONS, "pathGlobFilter": "*.csv"}
 
 
 def with_audit(df: DataFrame, source: str) -> DataFrame:
@@ -61,7 +64,7 @@ def with_audit(df: DataFrame, source: str) -> DataFrame:
 
 def list_files(spark: SparkSession, landing: str, source: str) -> DataFrame:
     """Paths of a source's CSV files, nested folders included; file contents are not read."""
-    files = spark.read.format("binaryFile").options(**FILE_OPTIONS).load(f"{landing}/{source}")
+    files = spark.read.format("binaryFile").options(**GATE_OPTIONS).load(f"{landing}/{source}")
     return files.select("path", "length")
 
 
@@ -89,7 +92,7 @@ def landing_report(
 
 
 def landed_bytes(spark: SparkSession, landing: str) -> int:
-    """Size of all CSV files under the landing folder."""
+    """Size of all files under the landing folder."""
     files = spark.read.format("binaryFile").options(**FILE_OPTIONS).load(landing)
     return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
 

@@ -20,27 +20,39 @@ def _bare(folder: str) -> str:
 class Tables:
     """Catalog tables ``<layer>.<name>`` over parquet folders under ``root``.
 
+    ``namespace`` keeps environments of one catalog apart: schemas are then ``<namespace>_<layer>``.
+
     A recomputed table has two folders. A publish overwrites the one the catalog does not point
     at and then moves the pointer: a failing write (for instance a broken ``fail`` expectation)
     leaves the previous contents in place, a table may be recomputed from itself, and queries that
     started on the old contents finish on them.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
+    def __init__(self, spark: SparkSession, root: str, namespace: str = ""):
+        self.spark, self.namespace = spark, namespace
         self.root = root.rstrip("/")
         self.log = EventLog(spark, f"{self.root}/ops/event_log")
         for layer in LAYERS:
-            spark.sql(f"CREATE SCHEMA IF NOT EXISTS {layer} LOCATION '{self.root}/{layer}'")
+            spark.sql(f"CREATE SCHEMA IF NOT EXISTS {self.schema(layer)} LOCATION '{self.root}/{layer}'")
+
+    def schema(self, layer: str) -> str:
+        return f"{self.namespace}_{layer}" if self.namespace else layer
+
+    def drop(self) -> None:
+        """Forget the tables of a private namespace; their folders stay."""
+        if not self.namespace:
+            raise ValueError("the common schemas are not dropped")
+        for layer in LAYERS:
+            self.spark.sql(f"DROP SCHEMA IF EXISTS {self.schema(layer)} CASCADE")
 
     def folder(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"
 
     def read(self, layer: str, name: str) -> DataFrame:
-        return self.spark.read.table(f"{layer}.{name}")
+        return self.spark.read.table(f"{self.schema(layer)}.{name}")
 
     def exists(self, layer: str, name: str) -> bool:
-        return self.spark.catalog.tableExists(f"{layer}.{name}")
+        return self.spark.catalog.tableExists(f"{self.schema(layer)}.{name}")
 
     def publish(
         self, layer: str, name: str, df: DataFrame, rules: Sequence[Rule] | None = None
@@ -60,7 +72,7 @@ class Tables:
 
     def attach(self, layer: str, name: str, folder: str, partitioned: bool = False) -> None:
         """Register an append-only folder as a table, or pick up what was appended to it."""
-        table = f"{layer}.{name}"
+        table = f"{self.schema(layer)}.{name}"
         if self.exists(layer, name) and _bare(self._location(table)) != _bare(folder):
             self.spark.sql(f"DROP TABLE {table}")
         if not self.exists(layer, name):
@@ -73,7 +85,7 @@ class Tables:
         base = self.folder(layer, name)
         if not self.exists(layer, name):
             return f"{base}/a"
-        in_use = _bare(self._location(f"{layer}.{name}"))
+        in_use = _bare(self._location(f"{self.schema(layer)}.{name}"))
         return f"{base}/b" if in_use == _bare(f"{base}/a") else f"{base}/a"
 
     def _location(self, table: str) -> str:
@@ -82,7 +94,7 @@ class Tables:
 
     def _point(self, layer: str, name: str, target: str) -> None:
         """One metadata call when the schema is unchanged, else the table is declared anew."""
-        table = f"{layer}.{name}"
+        table = f"{self.schema(layer)}.{name}"
         written = self.spark.read.parquet(target).schema
         if self.exists(layer, name) and self.read(layer, name).schema == written:
             self.spark.sql(f"ALTER TABLE {table} SET LOCATION '{target}'")
