@@ -3,17 +3,19 @@
 A document's set holds its distinct shingles of ``words`` words; texts with fewer words have one shingle, the
 whole sequence. Documents are linked if 100 * intersection >= percent * union.
 
-1. Every text becomes a set digest, band keys of its MinHash samples, and an odd sketch: the samples folded
-   into a parity bitmap, so that the population count of the XOR of two bitmaps estimates a high similarity.
+1. Every text becomes a set digest, band keys of MinHash samples of 96 functions, and an odd sketch: the set's
+   bottom MinHash samples folded into a parity bitmap, so that the population count of the XOR of two bitmaps
+   tells how many samples differ, and with it a high similarity.
 2. Equal sets form a class with the smallest id as representative; only representatives go on.
 3. Each representative is paired with the smallest document of all its band buckets; pairs that the sketches do not
    rule out are checked on full sets. Links give components.
 4. Buckets that still hold several components compare the members outside the largest component with all
-   others, in blocks: first each with the most similar member of another component, then, for the components
-   that remain, with all. So no bucket is capped, collected in one task or expanded inside one component.
+   others, in blocks: in the first rounds only with the one member of another component whose sketch is the
+   most similar, as components at least halve wherever such pairs link, then, for the components that
+   remain, with all. So no bucket is capped, collected in one task or expanded inside one component.
 
-The sketch filter is 0.23 below the threshold (five standard deviations), and bands miss a pair at the threshold
-with a probability of 3e-6.
+The sketch filter lies five standard deviations below the threshold and is lossless for sets of up to
+``SKETCH_SAMPLES`` shingles; bands miss a pair at the threshold with a probability of 3e-6.
 
 Defined cases: null and empty texts and texts of white space have size 0 and link with nothing; rows with a null
 id have a null component, are kept and link with nothing; rows that repeat an id are separate documents that
@@ -35,10 +37,14 @@ from tidelake.llm.shared import arrow_schema, batch, components, keep, mix, whol
 
 BANDS, ROWS = 24, 4
 SAMPLES = BANDS * ROWS
-SKETCH_BITS = 512
-#: How far below the threshold a sketch's estimate may lie.
-SKETCH_MARGIN = 0.23
+#: Bottom samples that are folded into a sketch; the whole set where it has no more.
+SKETCH_SAMPLES = 1024
+SKETCH_BITS = 2048
+#: Standard deviations by which a sketch may miss the threshold.
+SKETCH_MARGIN = 5.0
 BLOCK = 256
+#: Rounds in which each document outside its bucket's largest component is compared with one other.
+CLOSEST_ROUNDS = 2
 
 _random = np.random.default_rng(20240601)
 _FACTORS = _random.integers(0, 1 << 31, SAMPLES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -73,19 +79,33 @@ def band_keys(least: np.ndarray) -> np.ndarray:
     return keys.astype(np.int64)
 
 
-def odd_sketch(least: np.ndarray) -> bytes:
-    """Parity bitmap: each sample flips the bit that its (index, value) hashes to."""
-    bit = mix((np.arange(SAMPLES, dtype=np.uint64) << np.uint64(32)) + least) % np.uint64(SKETCH_BITS)
-    return np.packbits((np.bincount(bit.astype(np.int64), minlength=SKETCH_BITS) & 1).astype(bool)).tobytes()
+def odd_sketch(hashes: np.ndarray) -> np.ndarray:
+    """Parity bitmap of the bottom MinHash samples of a sorted set: each flips the bit that it hashes to."""
+    bit = mix(hashes[:SKETCH_SAMPLES] + np.uint64(1)) % np.uint64(SKETCH_BITS)
+    odd = (np.bincount(bit.astype(np.int64), minlength=SKETCH_BITS) & 1).astype(bool)
+    return np.packbits(odd).view(np.int64)
 
 
-def most_bits(similarity: float) -> int:
-    """Differing bits up to which two sketches may stand for this similarity: the inverse of the estimate
-    1 + bits / (4 * samples) * ln(1 - 2 * differing / bits)."""
-    return int(np.ceil(SKETCH_BITS / 2 * (1 - np.exp(-4 * SAMPLES * (1 - similarity) / SKETCH_BITS))))
+def most_bits(n, m, percent: int, least=np.minimum, greatest=np.maximum, sqrt=np.sqrt):
+    """Differing bits up to which the sketches of sets of sizes ``n`` and ``m`` may stand for this similarity.
 
+    Each side's samples are drawn without replacement from its set, so the common ones are hypergeometric. Sets
+    that were folded whole have no such error: the parity bits then never exceed the symmetric difference.
+    The other way, two samples in one bit cancel; their number is close to a Poisson variable.
+    """
+    both = (n + m) * (percent / (100 + percent))
+
+    def fewest(size):
+        drawn, share = least(size, SKETCH_SAMPLES + 0 * size), least(both / size, 1 + 0 * size)
+        return drawn * share - SKETCH_MARGIN * sqrt(drawn * share * (1 - share) * (1 - drawn / size))
+
+    limit = SKETCH_SAMPLES + 0 * n
+    differing = least(n, limit) + least(m, limit) - 2 * least(fewest(n), fewest(m))
+    cancelled = differing * differing / (2 * SKETCH_BITS)
+    return differing - 2 * greatest(cancelled - SKETCH_MARGIN * sqrt(cancelled), 0 * n) + 1e-6
 
-_SIGNED = "id bigint, n bigint, digest binary, bands array<bigint>, sketch binary"
+
+_SIGNED = "id bigint, n bigint, digest binary, bands array<bigint>, sketch array<bigint>"
 
 
 def signatures(docs: DataFrame, words: int, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -104,7 +124,7 @@ def signatures(docs: DataFrame, words: int, key: str = "doc_id", text: str = "te
                 least = samples(found)
                 digest.append(xxhash.xxh3_128_digest(found.tobytes()))
                 bands.append(band_keys(least))
-                sketch.append(odd_sketch(least))
+                sketch.append(odd_sketch(found))
             yield batch(schema, part.column("id"), n, digest, bands, sketch)
 
     return docs.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("t")).mapInArrow(sign, _SIGNED)
@@ -152,32 +172,31 @@ def _verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
 
 def _near(a, b, percent: int):
     """Sizes and sketches do not rule the pair out."""
-    least, most = F.least(a.n, b.n), F.greatest(a.n, b.n)
-    words = [
-        F.bit_count(F.conv(F.hex(F.substring(a.sketch, i, 4)), 16, 10).cast("bigint").bitwiseXOR(F.conv(F.hex(F.substring(b.sketch, i, 4)), 16, 10).cast("bigint")))
-        for i in range(1, SKETCH_BITS // 8, 4)
-    ]
-    return (100 * least >= percent * most) & (sum(words[1:], words[0]) <= most_bits(percent / 100 - SKETCH_MARGIN))
+    n, m = a.n.cast("double"), b.n.cast("double")
+    bits = F.aggregate(F.zip_with(a.sketch, b.sketch, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
+    limit = most_bits(n, m, percent, F.least, F.greatest, F.sqrt)
+    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (bits <= limit)
 
 
 def _cross_pairs(mixed: DataFrame, percent: int, closest: bool) -> DataFrame:
     """Pairs of unlike components in buckets ``(bucket, id, component, outside, n, sketch, members, outsiders)``.
 
-    ``closest``: of each other component, only the member with the most similar sketch.
+    ``closest``: for each row that is outside, only the member of another component with the most similar sketch.
     """
     rows = mixed.select("*", F.pmod(F.xxhash64("id"), _blocks(F.col("members"))).alias("i"), F.pmod(F.xxhash64("id"), _blocks(F.col("outsiders"))).alias("o"))
     every = rows.select("*", F.lit(0).alias("side"), F.explode(F.sequence(F.lit(0), _blocks(F.col("outsiders")) - 1)).alias("p"), F.col("i").cast("int").alias("q"))
     outside = rows.filter("outside").select("*", F.lit(1).alias("side"), F.col("o").cast("int").alias("p"), F.explode(F.sequence(F.lit(0), _blocks(F.col("members")) - 1)).alias("q"))
     cells = every.unionByName(outside).select(F.xxhash64("bucket", "p", "q").alias("cell"), "side", "id", "component", "n", "sketch")
     cells = cells.repartition("cell").sortWithinPartitions("cell")
-    schema, most = arrow_schema(T.StructType.fromDDL("a bigint, b bigint")), most_bits(percent / 100 - SKETCH_MARGIN)
+    found_schema = "id bigint, other bigint, bits int"
+    schema = arrow_schema(T.StructType.fromDDL(found_schema))
 
     def compare(parts):
         for rows in whole_groups(parts, "cell", 5_000):
             cell, side, ids, comp, n = (rows.column(c).to_numpy() for c in ("cell", "side", "id", "component", "n"))
-            sketch = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint64).reshape(len(ids), -1)
+            sketch = rows.column("sketch").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(ids), -1)
             cuts = [0, *(np.flatnonzero(cell[1:] != cell[:-1]) + 1), len(cell)]
-            found = []
+            left, right, differing = [], [], []
             for lo, hi in zip(cuts, cuts[1:]):
                 x = lo + np.flatnonzero(side[lo:hi] == 1)
                 y = lo + np.flatnonzero(side[lo:hi] == 0)
@@ -185,15 +204,21 @@ def _cross_pairs(mixed: DataFrame, percent: int, closest: bool) -> DataFrame:
                     near = y[comp[y] != comp[i]]
                     near = near[100 * np.minimum(n[near], n[i]) >= percent * np.maximum(n[near], n[i])]
                     bits = np.bitwise_count(sketch[near] ^ sketch[i]).sum(axis=1)
-                    near, bits = near[bits <= most], bits[bits <= most]
+                    possible = bits <= most_bits(float(n[i]), n[near].astype(float), percent)
+                    near, bits = near[possible], bits[possible]
                     if closest and len(near) > 1:
-                        order = np.lexsort((bits, comp[near]))
-                        near = near[order][np.append(True, np.diff(comp[near][order]) != 0)]
-                    found += [(min(ids[i], ids[j]), max(ids[i], ids[j])) for j in near]
-            found = sorted(set(found))
-            yield batch(schema, [f[0] for f in found], [f[1] for f in found])
+                        best = np.lexsort((ids[near], bits))[:1]
+                        near, bits = near[best], bits[best]
+                    left.append(np.full(len(near), ids[i]))
+                    right.append(ids[near])
+                    differing.append(bits)
+            if left:
+                yield batch(schema, np.concatenate(left), np.concatenate(right), np.concatenate(differing).astype(np.int32))
 
-    return cells.mapInArrow(compare, "a bigint, b bigint").filter("a < b").distinct()
+    found = cells.mapInArrow(compare, found_schema)
+    if closest:
+        found = found.groupBy("id").agg(F.min(F.struct("bits", "other")).alias("best")).select("id", "best.other")
+    return found.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).filter("a < b").distinct()
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -220,7 +245,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, key: str
     tried = keep(tried, "pairs")
     links = keep(_verified(tried, texts, words, percent), "links")
     joined = keep(components(links), "components")
-    for closest in (True, False):
+    for closest in [True] * CLOSEST_ROUNDS + [False]:
         # what remains: buckets of several components
         marked = buckets.join(joined.withColumnRenamed("node", "id"), "id", "left").select(
             "bucket", "id", "members", F.coalesce("component", "id").alias("component")
@@ -233,11 +258,17 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, key: str
             "bucket", "id", "component", "members", "n", "sketch",
             (F.col("component") != F.col("top.component")).alias("outside"), (F.col("all") - F.col("top.m")).alias("outsiders"),
         )
+        if closest:
+            # one bucket for each outsider, its largest
+            home = mixed.filter("outside").groupBy("id").agg(F.max(F.struct("members", "bucket")).alias("home"))
+            home = home.select("id", F.col("home.bucket").alias("home"))
+            mixed = mixed.join(home, "id", "left").withColumn("outside", F.col("outside") & (F.col("home") == F.col("bucket")))
+            mixed = mixed.join(home.select(F.col("home").alias("bucket")).distinct(), "bucket", "left_semi")
         pairs = _cross_pairs(mixed, percent, closest).join(tried.select("a", "b"), ["a", "b"], "left_anti")
         pairs = keep(candidates(pairs), "pairs")
-        more = keep(_verified(pairs, texts, words, percent), "links")
         if pairs.isEmpty():
-            break
+            continue
+        more = keep(_verified(pairs, texts, words, percent), "links")
         tried, links = tried.unionByName(pairs), links.unionByName(more)
         joined = keep(components(links), "components")
     joined = joined.select(F.col("node").alias("rep"), F.col("component").alias("c"))
