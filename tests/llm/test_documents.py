@@ -180,6 +180,24 @@ def test_chains_find_fuzzy_passages(documents, words):
     assert found[3, 1].agreeing == 89
 
 
+@pytest.mark.parametrize("step", [5, 6, 8, 10, 12, 20])
+def test_chains_find_passages_with_many_edits(documents, words, step):
+    """Fifty words with every ``step``-th changed, all of them."""
+    rows = []
+    for i in range(40):
+        passage = words(50 if step > 5 else 51, 1000 + i)
+        rows += [(2 * i, f"{words(60, 2000 + i)} {passage} {words(30, 3000 + i)}", "en"), (2 * i + 1, f"{words(40, 4000 + i)} {edited('qq ' + passage, step)[3:]} {words(50, 5000 + i)}", "en")]
+    found = {(r.doc_id, r.other_id) for r in chains.passages(documents(rows)).collect()}
+    want = set()
+    for i in range(40):
+        a, b = (rows[2 * i + k][1].split(" ") for k in (0, 1))
+        equal = np.array([x == y for x, y in zip(a[60:111], b[40:91])])
+        ends = np.append(0, np.cumsum(equal))
+        if any(5 * (ends[e] - ends[s]) >= 4 * (e - s) for s in range(len(equal)) for e in range(s + 50, len(equal) + 1) if equal[s] and equal[e - 1]):
+            want.add((2 * i + 1, 2 * i))
+    assert found == want and (len(want) == 40 or step == 5)
+
+
 def test_fenwick_chains_equal_all_predecessors():
     pick = np.random.default_rng(4)
     for _ in range(60):
