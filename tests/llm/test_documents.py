@@ -180,6 +180,15 @@ def test_chains_find_fuzzy_passages(documents, words):
     assert found[3, 1].agreeing == 89
 
 
+def test_chains_meet_every_earlier_holder(documents, words):
+    """The first holders of all seeds hold pieces shorter than a passage; the whole is only in two later documents."""
+    passage = words(150, 50).split(" ")
+    rows = [(i + 1, f"{words(60, i)} {' '.join(passage[25 * i : 25 * i + 45])} {words(60, 20 + i)}", "en") for i in range(5)]
+    rows += [(8, f"{words(40, 31)} {' '.join(passage)} {words(30, 32)}", "en"), (9, f"{words(20, 33)} {' '.join(passage)} {words(70, 34)}", "en")]
+    found = {(r.doc_id, r.other_id): r for r in chains.passages(documents(rows)).collect()}
+    assert (found[9, 8].start, found[9, 8].end, found[9, 8].other_start, found[9, 8].agreeing) == (20, 170, 40, 150)
+
+
 @pytest.mark.parametrize("step", [5, 6, 8, 10, 12, 20])
 def test_chains_find_passages_with_many_edits(documents, words, step):
     """Fifty words with every ``step``-th changed, all of them."""
