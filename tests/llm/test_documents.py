@@ -259,6 +259,30 @@ def test_segmentations_are_distinct_and_decode(documents, corpus):
     assert len(by[31]) == 1 and by[31][0].inclusion == 1.0 and len(by[20]) == 3
 
 
+@pytest.mark.parametrize("text", ["a  b", "  a", "x   ", "▁ y", "q▁  z"])
+def test_pieces_of_several_spaces_are_drawn(text):
+    """All segmentations of a text with runs of spaces, and their probabilities."""
+    vocabulary = pieces.Vocabulary.of(public_tokenizers.path("piece_bpe_32k.model"))
+    raw = (" " * vocabulary.prefix + text).replace(" ", "▁").encode()
+    from sentencepiece import sentencepiece_model_pb2
+
+    model = sentencepiece_model_pb2.ModelProto()
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as file:
+        model.ParseFromString(file.read())
+    known = {p.piece.encode(): i for i, p in enumerate(model.pieces) if p.type in (1, 4)}
+    want, todo = {}, [(0, ())]
+    while todo:
+        at, ids = todo.pop()
+        if at == len(raw):
+            want[ids] = sum(vocabulary.weight[i] for i in ids)
+        todo += [(e, (*ids, known[raw[at:e]])) for e in range(at + 1, len(raw) + 1) if raw[at:e] in known]
+    total = np.logaddexp.reduce(list(want.values()))
+    (drawn,) = pieces.sample(vocabulary, [text], ["1"], len(want) + 5, 1)
+    found = {tuple(x[0]): x[1] for x in drawn}
+    assert any("▁▁" in model.pieces[i].piece for ids in want for i in ids)
+    assert set(found) == set(want) and all(v == pytest.approx(want[k] - total) for k, v in found.items())
+
+
 def test_samples_follow_the_lattice_without_replacement():
     """First draws have the lattice's probabilities, and inverse inclusion scores are unbiased."""
     vocabulary = pieces.Vocabulary.of(public_tokenizers.path("piece_bpe_32k.model"))
