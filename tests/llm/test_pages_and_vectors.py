@@ -15,6 +15,15 @@ def test_blocks_survive_broken_markup():
     assert pages.blocks(None) == pages.blocks("") == pages.blocks("<script>x") == []
 
 
+@pytest.mark.parametrize(
+    "middle, said",
+    [('<svg class="i"/>', []), ('<svg-icon name="x"></svg-icon>', []), ("<svg viewBox='0'><title>no</title></svg>", []), ("<iframe src=x>", []),
+     ("<object-view/>", []), ("<script>a<b</script >", []), ("<script-x></script-x>", []), ("<select><option>no</select>", []), ('<svg d="a>b"><text>no</text></svg>', [])],
+)
+def test_text_goes_on_behind_skipped_elements(middle, said):
+    assert [b.text for b in pages.blocks(f"<p>One</p>{middle}<p>Two</p><p>Three</p>")] == ["One", *said, "Two", "Three"]
+
+
 def test_main_text_of_unseen_layouts(spark):
     prose = [f"Sentence number {i} of the article tells something, and it goes on for a good while longer." for i in range(12)]
     article = "".join(f"<p>{p}</p>" for p in prose[:4])

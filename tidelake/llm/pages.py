@@ -29,7 +29,9 @@ from pyspark.sql import types as T
 SAMPLE_PAGES, COMPOSED_PAGES = 300, 500
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|$)"
-    r"|<(script|style|noscript|template|textarea|select|svg|iframe|object)\b[^>]*>.*?(?:</\1\s*>|$)"
+    r"|<(script|style)(?=[\s/>])[^>]*>.*?(?:</\1(?=[\s/>])[^>]*>|$)"
+    r"|<svg(?=[\s/>])(?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+(?<=/)>"
+    r"|<(?P<kind>noscript|template|textarea|select|svg|iframe|object)(?=[\s/>])(?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+>.*?</(?P=kind)(?=[\s/>])[^>]*>"
     r"|<(/?)([a-zA-Z][\w:-]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)>?"
     r"|<[!?][^>]*>?",
     re.S | re.I,
@@ -90,7 +92,7 @@ def blocks(page: str | None) -> list[Block]:
         if token.start() > at:
             say(page[at : token.start()])
         at = token.end()
-        tag = token[3]
+        tag = token[4]
         if tag is None:
             continue
         tag = tag.lower()
@@ -98,7 +100,7 @@ def blocks(page: str | None) -> list[Block]:
             if tag == "hr":
                 flush()
             pieces.append(" ")
-        elif token[2]:
+        elif token[3]:
             for depth in range(len(stack) - 1, -1, -1):
                 if stack[depth][0] == tag:
                     close(depth)
@@ -118,7 +120,7 @@ def blocks(page: str | None) -> list[Block]:
                         break
                     if stack[depth][0] in _SCOPES and tag != "body":
                         break
-            named = " ".join(a or b or c for a, b, c in _NAMED.findall(token[4])) if token[4] else ""
+            named = " ".join(a or b or c for a, b, c in _NAMED.findall(token[5])) if token[5] else ""
             stack.append((tag, named))
     if at < len(page):
         say(page[at:])
