@@ -168,6 +168,22 @@ def test_templates_catch_new_values_but_not_inconsistent_ones(spark, documents):
     assert templates.matches(documents(rows), items.limit(0)).count() == 0
 
 
+def test_templates_catch_values_that_coincide_and_longer_names(spark, documents):
+    """Unlike values that become equal, a name of two words; number-dense and short items as they are, and with other numbers."""
+    fruit = "when anna has 3 apples and 5 pears in one basket then how many pieces of fruit are there"
+    sum_ = "Evaluate 3 plus 14 minus 2 times 77 over 9 for 1 2 3"
+    name = "yesterday Alice went to town with Bob and they saw Alice there"
+    items = spark.createDataFrame([(1, fruit), (2, sum_), (3, name), (4, "Define 7 entropy now")], "item_id bigint, text string")
+    other = sum_.replace("14", "15").replace("77", "8").replace("9", "4")
+    rows = [
+        (1, fruit.replace("3", "4").replace("5", "4"), "en"), (2, "so " + sum_ + " then", "en"), (3, other, "en"),
+        (4, name.replace("Alice", "Mary Ann"), "en"), (5, "please define 7 entropy now", "en"), (6, "define 8 entropy now", "en"),
+        (7, "Compute 3 over 14 plus 2 plus 77 over 9 for 1 2 3", "en"),
+    ]
+    found = {(r.doc, r.item) for r in templates.matches(documents(rows), items).collect()}
+    assert found == {(1, 1), (2, 2), (3, 2), (4, 3), (5, 4)}
+
+
 def test_chains_find_fuzzy_passages(documents, words):
     passage = words(90, 1)
     dropped = " ".join(w for k, w in enumerate(passage.split(" ")) if k != 45)

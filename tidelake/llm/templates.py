@@ -1,18 +1,18 @@
 """Benchmark decontamination by template windows.
 
 Words lose their outer punctuation; numbers, capitalised words (names) and units after a number become typed
-placeholders, all other words are compared in lower case. A second reading takes names as words, for copies in another
-case. Windows of ``WINDOW`` words are hashed and joined with those
+placeholders, all other words are compared in lower case. Other readings take successive names as one, take names as
+words (for copies in another case), and take every word as it is. Windows of ``WINDOW`` words are hashed and joined with those
 of the benchmark. Windows on one diagonal form a match; its slots must be filled consistently: equal values of the
-item stay equal in the document and unlike ones unlike, so a re-parameterised question is caught and a chance
-agreement of placeholders is not.
+item stay equal in the document, so a re-parameterised question is caught and a chance agreement of placeholders is not.
+Unlike values may become equal.
 
-A window counts only with ``LITERALS`` words that are no placeholder. Items shorter than a window are
-one window of their own length. A bitmap of ``FILTER_BITS`` bits, filled from all benchmark windows, keeps other
+A window counts alone with ``LITERALS`` words that are no placeholder. Windows with ``FEW`` count as a run of all the item's
+windows, or of ``WINDOW`` of them. Items shorter than a window are one window of their own length; those under ``SHORTEST``
+words match only as they are. A bitmap of ``FILTER_BITS`` bits, filled from all benchmark windows, keeps other
 windows of the documents out of the join; its size does not depend on either table.
 
-Defined cases: null, empty or punctuation-only texts and items match nothing, as do items with too few words that are
-no placeholder; null ids of documents or items are ignored; rows that repeat an id count as one; an empty
+Defined cases: null, empty or punctuation-only texts and items match nothing; null ids of documents or items are ignored; rows that repeat an id count as one; an empty
 table on either side gives an empty result; other columns pass through.
 """
 
@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from tidelake.llm.shared import arrow_schema, batch, keep, mix
 
-WINDOW, LITERALS, SHORTEST = 10, 6, 5
+WINDOW, LITERALS, FEW, SHORTEST = 10, 6, 3, 5
 FILTER_BITS = 22
 CACHE_ENTRIES = 400_000
 _NUMBER = re.compile(r"[-+−]?[$€£¥]?[0-9][0-9.,:/]*(?:%|st|nd|rd|th)?")
@@ -41,6 +41,8 @@ UNITS = frozenset(
     "months year years percent degree degrees dollar dollars euro euros cent cents kmh mph w kw v hz".split()
 )
 _LITERAL, _NUM, _NAME, _UNIT, _NONE = range(5)
+#: Added to the kind of a word that punctuation follows.
+_STOP = 8
 
 
 class Reader:
@@ -60,12 +62,12 @@ class Reader:
         if _NUMBER.fullmatch(core):
             return 3, xxhash.xxh3_64_intdigest(core.replace(",", "").encode()) | 1, _NUM
         if core[0].isupper() and not (len(core) > 1 and core.isupper()):
-            return 5, own, _NAME
+            return 5, own, _NAME + _STOP * (not word[-1].isalnum())
         return own, own, _UNIT if low in UNITS else _LITERAL
 
-    def read(self, text: str | None) -> list[tuple[np.ndarray, np.ndarray]]:
-        """``(template, slot)`` of each word, with names as placeholders and, if there are names, once more with
-        names as words; slot 0 marks a word that is no placeholder."""
+    def read(self, text: str | None) -> list[tuple[np.ndarray, np.ndarray, bool]]:
+        """``(template, slot, folded)`` of each word: with names as placeholders, with successive names as one, with names
+        as words, and with every word as it is, so far as these differ; slot 0 marks a word that is no placeholder."""
         words = (text or "").split()
         new = set(words).difference(self.known)
         if new:
@@ -76,13 +78,21 @@ class Reader:
             self.known.update(zip(new, range(at, at + len(new))))
         rows = self.table[np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))]
         rows = rows[rows[:, 2] != _NONE]
-        template, slot, kind = rows[:, 0].copy(), rows[:, 1].copy(), rows[:, 2]
+        template, slot, kind = rows[:, 0].copy(), rows[:, 1].copy(), rows[:, 2] % _STOP
         unit = (kind == _UNIT) & np.append(False, kind[:-1] == _NUM) if len(kind) else np.zeros(0, bool)
         template[unit] = 7
         slot[(kind == _LITERAL) | ((kind == _UNIT) & ~unit)] = 0
         name = kind == _NAME
-        plain = np.where(name, slot, template), np.where(name, np.uint64(0), slot)
-        return [(template, slot), plain] if name.any() else [plain]
+        plain = np.where(name, slot, template), np.where(name, np.uint64(0), slot), False
+        found = [(template, slot, False)] if name.any() else []
+        again = np.append(False, name[1:] & name[:-1] & (rows[:-1, 2] < _STOP)) if len(name) else name
+        if again.any():
+            begin = np.flatnonzero(~again)
+            found.append((template[begin], np.add.reduceat(slot, begin), True))
+        found.append(plain)
+        if plain[1].any():
+            found.append((np.where(slot != 0, rows[:, 1], template), np.zeros(len(rows), np.uint64), False))
+        return found
 
     def _grown(self, more: np.ndarray) -> np.ndarray:
         """The table with more rows, in a buffer that doubles."""
@@ -94,21 +104,22 @@ class Reader:
         return self._buffer[: at + len(more)]
 
 
-def windows(template: np.ndarray, slot: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """``(hash, place)`` of the windows of ``length`` words with enough literal words."""
+def windows(template: np.ndarray, slot: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(hash, place, alone)`` of the windows of ``length`` words with some literal words, and which have enough to count alone."""
     count = len(template) - length + 1
     if count < 1:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
+        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, bool)
     total = np.full(count, length, np.uint64)
     for i in range(length):
         total = total * np.uint64(0x9E3779B97F4A7C15) + template[i : i + count]
         total ^= total >> np.uint64(29)
     literal = np.append(0, np.cumsum(slot == 0))
-    place = np.flatnonzero(literal[length:] - literal[:-length] >= min(LITERALS, -(-length * LITERALS // WINDOW)))
-    return mix(total[place]), place
+    literal = literal[length:] - literal[:-length]
+    place = np.flatnonzero(literal >= (length if length < SHORTEST else -(-length * FEW // WINDOW)))
+    return mix(total[place]), place, literal[place] >= min(LITERALS, -(-length * LITERALS // WINDOW))
 
 
-_ROW = "h bigint, id bigint, place int, size int, slots array<bigint>"
+_ROW = "h bigint, id bigint, place int, size int, slots array<bigint>, folded boolean, alone boolean"
 
 
 def _rows(named: DataFrame, sizes, keep_hash=None) -> DataFrame:
@@ -119,20 +130,21 @@ def _rows(named: DataFrame, sizes, keep_hash=None) -> DataFrame:
         reader = Reader()
         for part in parts:
             for k in range(0, part.num_rows, 1024):
-                some, out = part.slice(k, 1024), [[], [], [], [], []]
+                some, out = part.slice(k, 1024), [[] for _ in schema]
                 for id_, text in zip(some.column("id").to_pylist(), some.column("t").to_pylist()):
                     if id_ is None:
                         continue
                     readings = reader.read(text)
-                    for size, (template, slot) in product(sizes or [min(WINDOW, len(readings[0][0]))], readings):
-                        if size < SHORTEST:
+                    for size, (template, slot, folded) in product(sizes or [None], readings):
+                        size = size or min(WINDOW, len(template))
+                        if not size:
                             continue
-                        h, place = windows(template, slot, size)
+                        h, place, alone = windows(template, slot, size)
                         if keep_hash is not None:
                             near = keep_hash(h)
-                            h, place = h[near], place[near]
-                        for x, p in zip(h.astype(np.int64).tolist(), place.tolist()):
-                            for column, value in zip(out, (x, id_, p, size, slot[p : p + size].astype(np.int64))):
+                            h, place, alone = h[near], place[near], alone[near]
+                        for x, p, y in zip(h.astype(np.int64).tolist(), place.tolist(), alone.tolist()):
+                            for column, value in zip(out, (x, id_, p, size, slot[p : p + size].astype(np.int64), folded, y)):
                                 column.append(value)
                 yield batch(schema, *out)
 
@@ -157,19 +169,21 @@ def matches(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: st
         return np.flatnonzero(shared.value[at >> 5] >> (at & 31).astype(np.uint32) & 1)
 
     named = docs.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("t"))
-    found = _rows(named, sizes or [WINDOW], near).withColumnRenamed("id", "doc")
-    asked_ = asked.select("h", "size", F.col("id").alias("item"), F.col("place").alias("item_place"), F.col("slots").alias("item_slots"))
+    found = _rows(named, sizes or [WINDOW], near).withColumnsRenamed({"id": "doc", "folded": "doc_folded"}).drop("alone")
+    asked_ = asked.select("h", "size", "folded", "alone", F.col("id").alias("item"), F.col("place").alias("item_place"), F.col("slots").alias("item_slots"))
     met = found.join(asked_, ["h", "size"])
     pairs = F.filter(F.arrays_zip(F.col("item_slots").alias("v"), F.col("slots").alias("u")), lambda p: p.v != 0)
-    met = met.select("doc", "item", (F.col("place") - F.col("item_place")).alias("diagonal"), "item_place", pairs.alias("pairs"))
+    met = met.select("doc", "item", (F.col("place") - F.col("item_place")).alias("diagonal"), F.struct("folded", "item_place").alias("item_place"), "folded", "doc_folded", "alone", pairs.alias("pairs"))
     # an item's windows bound what one group collects
-    runs = met.groupBy("doc", "item", "diagonal").agg(
-        F.collect_set("item_place").alias("places"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs")
+    runs = met.groupBy("doc", "item", "folded", "doc_folded", "diagonal").agg(
+        F.collect_set("item_place").alias("places"), F.max("alone").alias("alone"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs")
     )
-    given, taken = (F.size(F.array_distinct(F.transform("pairs", lambda p: p[side]))) for side in ("v", "u"))
-    runs = runs.filter((F.size("pairs") == given) & (F.size("pairs") == taken))
+    given = F.size(F.array_distinct(F.transform("pairs", lambda p: p.v)))
+    of = asked.groupBy(F.col("id").alias("item"), "folded").agg(F.count_distinct("place").alias("of"))
+    runs = runs.filter(F.size("pairs") == given).join(of, ["item", "folded"])
+    runs = runs.filter(F.col("alone") | (F.size("places") >= F.least("of", F.lit(WINDOW))))
     runs = runs.withColumn("same", F.forall("pairs", lambda p: p.v == p.u))
-    total = asked.groupBy(F.col("id").alias("item")).agg(F.count_distinct("place").alias("of_windows"))
+    total = asked.groupBy(F.col("id").alias("item")).agg(F.count_distinct("folded", "place").alias("of_windows"))
     merged = runs.groupBy("doc", "item").agg(
         F.size(F.array_distinct(F.flatten(F.collect_set("places")))).alias("windows"), F.max("same").alias("same_values")
     )
