@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelake.llm import caps, chains, language, minhash, pages, pieces, quality, suffixes, templates, tokens
+from tidelake.llm import caps, chains, language, merges, minhash, pages, pieces, quality, runs, suffixes, talks, templates, tokens
 from tidelake.llm.shared import held_out, table
 
 
@@ -73,7 +73,23 @@ def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_minhash, op2_pages, op3_templates, op4_chains, op5_caps, op6_language, op7_pieces, op8_quality, op9_token_files, op10_suffix_array)
-}
+def op11_talks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return talks.summaries(table(spark, sf_dir, "conversations"), damage=True)
+
+
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.digest(runs.planted(table(spark, sf_dir, "documents")), least=12)
+    return found.withColumnRenamed("id", "doc_id")
+
+
+def op13_merges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = merges.digests(table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
+_OPERATORS = (
+    *(op1_minhash, op2_pages, op3_templates, op4_chains, op5_caps, op6_language, op7_pieces, op8_quality, op9_token_files, op10_suffix_array),
+    *(op11_talks, op12_runs, op13_merges),
+)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _OPERATORS}
 ORACLE_SQL: dict[str, str] = {}
