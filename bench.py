@@ -37,7 +37,7 @@ def run_query(spark, name: str, folder: str) -> float:
 def run_job(spark, folder: str) -> tuple[float, int]:
     """Gate, bronze, silver, gold, report and layout over CSV copies of the nine sources."""
     work = scratch_folder(spark, "bench-job")
-    tables, records = DriverTables(spark, folder, number_lines=True), 0
+    tables, records = DriverTables(spark, folder), 0
     for name, source in SOURCES.items():
         frame = tables[f"br_{name}"].select(*source.columns)
         text = frame.select(*[frame[c].cast("string").alias(c) for c in frame.columns])

@@ -9,15 +9,68 @@ from __future__ import annotations
 
 import re
 
-from tidelake.contracts import (
-    DELAY_BANDS,
-    GRAINS,
-    ORDER_STATUS_ROWS,
-    ORDER_STATUSES,
-    QUALITY_RULES,
-    STATE_CODES,
+# Stated here once more, so that a wrong value or rule on the other side shows.
+CALENDAR = ("1995-01-01", "2001-12-31")
+FIRST_BATCH, SECOND_BATCH = "1995-01-01", "1998-06-01"
+ORDER_STATUSES = ("approved", "canceled", "created", "delivered", "invoiced", "processing", "shipped", "unavailable")
+ORDER_STATUS_ROWS = (
+    ("created", 1, False, "Order record created"),
+    ("approved", 2, False, "Payment approved"),
+    ("invoiced", 3, False, "Invoice issued"),
+    ("processing", 4, False, "Being prepared by seller"),
+    ("shipped", 5, False, "Handed to carrier"),
+    ("delivered", 6, True, "Received by customer"),
+    ("canceled", 7, True, "Cancelled before delivery"),
+    ("unavailable", 8, True, "Item unavailable, not fulfilled"),
 )
-from tidelake.sources.driver_tables import CALENDAR, FIRST_BATCH, SECOND_BATCH
+STATE_CODES = (
+    "ac al am ap ba ce df es go ma mg ms mt pa pb pe pi pr rj rn ro rr rs sc se sp to"
+).split()
+DELAY_BANDS = (
+    ("<= -7", "7+ days early"), ("< 0", "Early"), ("= 0", "On the day"), ("<= 7", "1-7 days late"), ("<= 14", "8-14 days late"),
+)
+GRAINS = {
+    "sv_orders": ["order_id"], "sv_order_items": ["order_id", "order_item_id"], "sv_payments": ["order_id", "payment_sequential"],
+    "sv_reviews": ["review_id", "order_id"], "sv_customer_keys": ["customer_id"], "sv_customers": ["customer_unique_id"],
+    "sv_geolocation": ["zip_code_prefix"], "sv_sellers_history": ["seller_id", "__START_AT"],
+    "sv_products_history": ["product_id", "__START_AT"], "dim_seller": ["seller_sk"], "dim_product": ["product_sk"],
+    "dim_customer": ["customer_sk"], "bridge_customer_order": ["customer_id"], "fct_order_items": ["order_item_sk"],
+    "fct_payments": ["payment_sk"], "fct_reviews": ["review_sk"],
+}
+# Data set -> rule -> what must hold.
+RULES = {
+    "sv_orders": {
+        "valid_order_id": "order_id IS NOT NULL",
+        "valid_customer_id": "customer_id IS NOT NULL",
+        "known_status": "list_contains([" + ", ".join(f"'{s}'" for s in ORDER_STATUSES) + "], order_status)",
+        "delivery_after_purchase": "CASE WHEN order_delivered_customer_date IS NULL THEN true"
+        " ELSE order_delivered_customer_date >= order_purchase_timestamp END",
+        "carrier_after_approval": "NOT coalesce(order_delivered_carrier_date < order_approved_at, false)",
+        "delivered_has_date": "NOT (order_status = 'delivered' AND order_delivered_customer_date IS NULL)",
+    },
+    "sv_order_items": {
+        "valid_order_id": "order_id IS NOT NULL", "valid_item_seq": "order_item_id IS NOT NULL",
+        "non_negative_price": "NOT price < 0", "non_negative_freight": "NOT freight_value < 0",
+    },
+    "sv_payments": {
+        "valid_order_id": "order_id IS NOT NULL", "known_payment_type": "NOT payment_type = 'not_defined'",
+        "positive_value": "NOT payment_value <= 0",
+    },
+    "sv_reviews": {
+        "valid_review_id": "review_id IS NOT NULL", "valid_order_id": "order_id IS NOT NULL",
+        "score_in_range": "review_score IN (1, 2, 3, 4, 5)",
+    },
+    "sv_customer_keys": {"valid_customer_id": "customer_id IS NOT NULL", "valid_unique_id": "customer_unique_id IS NOT NULL"},
+    "dim_seller": {"unique_seller": "seller_id IS NOT NULL"},
+    "dim_product": {"unique_product": "product_id IS NOT NULL", "category_resolved": "category_en IS NOT NULL"},
+    "dim_customer": {"unique_person": "customer_unique_id IS NOT NULL"},
+    "fct_order_items": {
+        "valid_sk": "order_item_sk IS NOT NULL", "has_customer_sk": "customer_sk IS NOT NULL",
+        "non_negative_revenue": "NOT gross_revenue < 0",
+    },
+    "fct_payments": {"valid_sk": "payment_sk IS NOT NULL"},
+    "fct_reviews": {"valid_sk": "review_sk IS NOT NULL", "score_in_range": "review_score IN (1, 2, 3, 4, 5)"},
+}
 
 
 def near(value: str, digits: int) -> str:
@@ -70,6 +123,17 @@ def versions(source: str, key: str, tracked: str, order: str = "_ingested_at") -
         WHERE position = 1 OR content IS DISTINCT FROM previous"""
 
 
+def ordered_versions(source: str, key: str, tracked: str, order: str) -> str:
+    """Versions where several rows may have one order value: those go by content."""
+    return f"""
+        SELECT * EXCLUDE (content, position, previous), {order} AS "__START_AT",
+               lead({order}) OVER (PARTITION BY {key} ORDER BY {order}, content) AS "__END_AT"
+        FROM (SELECT *, row_number() OVER w AS position, lag(content) OVER w AS previous
+              FROM (SELECT DISTINCT *, row({tracked}) AS content FROM {source})
+              WINDOW w AS (PARTITION BY {key} ORDER BY {order}, content))
+        WHERE position = 1 OR content IS DISTINCT FROM previous"""
+
+
 CTES = {
     # ------------------------------------------------------------------ landing sources
     "br_orders": """
@@ -379,11 +443,11 @@ def _rule_rows() -> str:
         "fct_reviews": "order_date_key",
     }
     selects = []
-    for dataset, rules in QUALITY_RULES.items():
+    for dataset, rules in RULES.items():
         layer = "silver" if dataset.startswith("sv_") else "gold"
         stamp = stamps.get(dataset, "_ingested_at")
         source = dataset.replace("sv_customer_keys", "sv_customer_keys_raw")
-        for name, _, predicate in rules:
+        for name, predicate in rules.items():
             passed = f"coalesce({predicate}, false)"
             selects.append(
                 f"SELECT '{layer}' AS layer, '{dataset}' AS dataset, '{name}' AS expectation,"
@@ -513,6 +577,13 @@ RELATIONS = (
 )
 
 
+_SPOILED_ORDERS = """(SELECT CASE WHEN k % 110 = 1 THEN NULL ELSE order_id END AS order_id,
+                         CASE WHEN k % 70 = 5 THEN NULL ELSE customer_id END AS customer_id,
+                         CASE WHEN k % 90 = 7 THEN 'mystery' WHEN k % 95 = 9 THEN NULL ELSE order_status END AS order_status,
+                         * EXCLUDE (order_id, customer_id, order_status, k)
+                  FROM (SELECT *, CAST(order_id AS BIGINT) AS k FROM br_orders))"""
+
+
 def _statements() -> dict[str, str]:
     out = {
         name: table(name)
@@ -707,6 +778,21 @@ def _statements() -> dict[str, str]:
                      ELSE _ingested_at END AS _ingested_at)
             FROM br_orders""",
         "scd2_incremental": "SELECT * FROM sv_products_history",
+        "scd2_hot_key": ordered_versions(
+            "(SELECT CASE WHEN user_id % 3 = 0 THEN 0 ELSE user_id END AS user_id, event_type, ts FROM events)",
+            "user_id", "event_type", "ts",
+        ),
+        "scd2_three_batches": "SELECT arrangement, v.* FROM ("
+        + ordered_versions("(SELECT user_id, event_type, ts FROM events)", "user_id", "event_type", "ts")
+        + ") v, (VALUES ('in order'), ('reversed'), ('delivered twice')) AS a(arrangement)",
+        "stream_rule_counts": " UNION ALL ".join(
+            f"SELECT '{rule}' AS expectation, count(*) FILTER (WHERE coalesce({holds}, false)) AS passed,"
+            f" count(*) FILTER (WHERE NOT coalesce({holds}, false)) AS failed FROM {_SPOILED_ORDERS}"
+            for rule, holds in RULES["sv_orders"].items()
+        ),
+        "stream_spoiled_orders": f"""
+            SELECT order_id, customer_id, order_status FROM {_SPOILED_ORDERS}
+            WHERE order_id IS NOT NULL AND customer_id IS NOT NULL AND order_status IN ({_STATUSES})""",
         "stream_silver_orders": "SELECT * EXCLUDE (_source_file) FROM sv_orders",
         "mart_delivery_fanout_safe": f"""
             WITH scores AS (SELECT order_id, sum(review_score) AS score, count(review_score) AS n

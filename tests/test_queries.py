@@ -15,8 +15,8 @@ from tidelake.plans.catalogue import QUERIES
 FOLDER = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not FOLDER.exists(), reason="driver tables not present")
 RUNS_JOBS = {
-    "csv_ingest", "csv_drift", "csv_awkward_files", "csv_reviews", "scd2_incremental", "stream_silver_orders",
-    "layout_report",
+    "csv_ingest", "csv_drift", "csv_awkward_files", "csv_reviews", "scd2_incremental", "scd2_three_batches", "scd2_hot_key",
+    "stream_silver_orders", "stream_rule_counts", "stream_spoiled_orders", "layout_report",
 }
 
 
@@ -78,5 +78,5 @@ def test_scans_read_only_needed_columns(spark, capsys, name, table, wanted, unwa
 
 
 def test_filters_reach_the_scan(spark, capsys):
-    contract.queries()["sv_category_translation"](spark, str(FOLDER)).explain("formatted")
-    assert "Not(EqualTo(p_type,PROMO))" in capsys.readouterr().out
+    contract.queries()["q10_ontime_rate"](spark, str(FOLDER)).explain("formatted")
+    assert "PushedFilters: [IsNotNull(o_orderkey)" in capsys.readouterr().out

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidelake.functions.times import month_number
+from tidelake.operators.hotkeys import MAX_ROWS, SEGMENT, attach, carry, segment_by_rank
 from tidelake.operators.scd2 import END, START
 
 
@@ -17,50 +18,49 @@ def asof_join(
     key: str,
     moment: str,
     attributes: Sequence[str],
-    horizon: tuple[int, int],
     open_first: bool = True,
+    max_rows: int = MAX_ROWS,
 ) -> DataFrame:
     """Left join each fact to the version of ``key`` valid at ``moment``.
 
-    Versions are repeated per calendar month they touch, which turns the range condition into an
-    equality on (key, month) plus a residual: a hot key spreads over its months and no fact meets
-    more versions than its own month has. ``horizon`` is the first and last year with facts. Months
-    outside it fold onto the nearest edge on both sides, which preserves every match; it only
-    bounds how often an open version is repeated.
+    Facts and versions go into one timeline per key, on which every fact takes over the last version before it; the
+    versions of a key must not overlap, as those of a history do not. No row is repeated, however long a version is
+    valid, and each moves once. Timelines above ``max_rows`` rows are cut into segments, and one row for each segment carries
+    the last version on.
 
     Ingestion stamps usually start after the facts do. ``open_first`` therefore lets a key's first
     version reach back without limit.
     """
-    first, last = horizon[0] * 12 + 1, horizon[1] * 12 + 12
-
-    def month_of(column):
-        clamped = F.least(F.greatest(month_number(column), F.lit(first)), F.lit(last))
-        return F.when(column.isNotNull(), clamped)
-
+    held = F.struct(F.col(START).alias("start"), F.col(END).alias("end"), *[F.col(a).alias(f"a{i}") for i, a in enumerate(attributes)])
+    fact = F.struct(*facts.columns)
+    kinds = {"__fact": facts.select(fact).schema[0].dataType, "__version": versions.select(held).schema[0].dataType}
+    # a version counts from its very start: at equal times it goes first
     dated = versions.select(
-        F.col(key).alias("__key"), START, END, *[F.col(a).alias(f"__{a}") for a in attributes]
+        F.col(key).alias("__key"), F.col(START).alias("__at"), F.lit(0).alias("__kind"),
+        held.alias("__version"), F.lit(None).cast(kinds["__fact"]).alias("__fact"),
     )
-    starts = F.col(START)
+    stamped = facts.select(
+        F.col(key).alias("__key"), F.col(moment).alias("__at"), F.lit(1).alias("__kind"),
+        F.lit(None).cast(kinds["__version"]).alias("__version"), fact.alias("__fact"),
+    ).withColumn("__row", F.monotonically_increasing_id())
+    line = dated.withColumn("__row", F.lit(-1).cast("bigint")).unionByName(stamped)
+    line = segment_by_rank(line, ["__key"], ["__at", "__kind", "__row"], max_rows)
+    until = W.partitionBy("__key", SEGMENT).orderBy("__at", "__kind", "__row").rowsBetween(W.unboundedPreceding, 0)
+    line = line.withColumn("__last", F.last("__version", ignorenulls=True).over(until))
+    newest = F.max_by("__version", F.when(F.col("__kind") == 0, F.struct("__at", "__row")))
+    line = carry(line, ["__key"], newest, "__earlier", fill=True)
+    current = F.coalesce("__last", "__earlier")
+    found = line.filter("__kind = 1")
     if open_first:
-        origin = versions.groupBy(F.col(key).alias("__origin")).agg(F.min(START).alias("__first"))
-        dated = dated.join(origin, dated["__key"] == origin["__origin"], "left")
-        starts = F.when(F.col(START) > F.col("__first"), F.col(START))
-    dated = dated.select("*", starts.alias("__starts"))
-    spans = F.sequence(
-        F.coalesce(month_of(F.col("__starts")), F.lit(first)),
-        F.coalesce(month_of(F.col(END)), F.lit(last)),
-    )
-    dated = dated.select("*", F.explode(spans).alias("__version_month"))
-
-    stamped = facts.withColumn("__month", month_of(F.col(moment)))
-    valid = (
-        (F.col(key) == F.col("__key"))
-        & (F.col("__month") == F.col("__version_month"))
-        & (F.col("__starts").isNull() | (F.col(moment) >= F.col("__starts")))
-        & (F.col(END).isNull() | (F.col(moment) < F.col(END)))
-    )
-    return stamped.join(dated, valid, "left").select(
-        *facts.columns,
-        *[F.col(f"__{a}").alias(a) for a in attributes],
-        F.col(START).alias("version_start"),
+        first = versions.groupBy(F.col(key).alias("__key")).agg(F.min_by(held, START).alias("__first"))
+        found = attach(found, first, ["__key"])
+        current = F.coalesce(current, "__first")
+    found = found.withColumn("__found", current)
+    # the first version reaches back, so a start after the moment is no objection; an end before it always is
+    ended = F.col("__found.end").isNotNull() & (F.col("__at") >= F.col("__found.end"))
+    valid = F.col("__key").isNotNull() & F.col("__at").isNotNull() & ~ended
+    return found.select(
+        *[F.col(f"__fact.{c}").alias(c) for c in facts.columns],
+        *[F.when(valid, F.col(f"__found.a{i}")).alias(a) for i, a in enumerate(attributes)],
+        F.when(valid, F.col("__found.start")).alias("version_start"),
     )

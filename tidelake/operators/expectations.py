@@ -8,7 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tidelake.contracts import QUALITY_RULES
+from tidelake.plans.rules import QUALITY_RULES
 
 
 class Rule(NamedTuple):
@@ -58,18 +58,13 @@ def _counters(rules: Sequence[Rule]) -> list[Column]:
 
 
 def observed(
-    df: DataFrame, rules: Sequence[Rule], dataset: str
+    df: DataFrame, rules: Sequence[Rule], dataset: str, *more: Column
 ) -> tuple[DataFrame, Observation | None]:
-    """Attach counters that fill in when the frame is written."""
+    """Attach counters, and ``more`` aggregates, that fill in when the frame is written."""
     if not rules:
         return df, None
     observation = Observation(dataset)
-    return df.observe(observation, *_counters(rules)), observation
-
-
-def observed_stream(df: DataFrame, rules: Sequence[Rule], dataset: str) -> DataFrame:
-    """Streaming form: counters arrive with each micro-batch's progress under ``dataset``."""
-    return df.observe(dataset, *_counters(rules)) if rules else df
+    return df.observe(observation, *_counters(rules), *more), observation
 
 
 def outcomes(

@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidelake.session import scratch_folder
+
 MAX_ROWS = 2_000_000
 SEGMENT = "__segment"
 
@@ -77,39 +79,44 @@ def number_rows(
     return numbered.select(*df.columns, position.cast("int").alias(name))
 
 
-def segment_by_time(
-    df: DataFrame, keys: Sequence[str], clock: Column, max_rows: int, slices: int = 8
-) -> DataFrame:
-    """Add the time segment of each row of a heavy key.
+def segment_by_rank(df: DataFrame, keys: Sequence[str], order: Sequence[str], max_rows: int) -> DataFrame:
+    """Add the segment of each row of a heavy key: consecutive ranks in ``order``, about half of ``max_rows`` each.
 
-    Segment limits are equal slices between a key's first and last second: a pure function of the
-    data, so a recomputed stage cuts at the same places. Activity is rarely even over time, hence
-    several slices for each one that an even spread would need.
+    Spark's range exchange samples the rows of heavy keys and cuts them at quantiles of all order columns at once, so
+    equal time stamps are cut by what follows them and bursts get as many segments as they have rows. Rows equal in all
+    columns, which no cut can part, are made one before. Sampled limits are no pure function of the data:
+    the cut rows are written once, and whatever is computed again reads them. Without heavy keys nothing is written or joined.
     """
-    timed = df.withColumn("__clock", clock)
-    heavy = heavy_keys(
-        timed, keys, max_rows, F.min("__clock").alias("__from"), F.max("__clock").alias("__to")
-    )
-    width = F.expr(f"(__to - __from) div (__segments * {slices}) + 1")
-    limits = heavy.withColumn("__width", width).drop("__to", "__segments")
-    return attach(timed, limits, keys).select(
-        *df.columns, F.expr("(__clock - __from) div __width").alias(SEGMENT)
-    )
+    spark = df.sparkSession
+    heavy = heavy_keys(df, keys, max_rows, F.count("*").alias("__size"))
+    total = heavy.agg(F.sum("__size")).first()[0]
+    if not total:
+        return df.withColumn(SEGMENT, F.lit(None).cast("long"))
+    marked = attach(df, heavy.drop("__segments"), keys)
+    ordinary = marked.filter("__size IS NULL").drop("__size").withColumn(SEGMENT, F.lit(None).cast("long"))
+    cuts = -(-2 * total // max_rows)
+    dealt = marked.filter("__size IS NOT NULL").drop("__size").dropDuplicates().repartitionByRange(cuts, *keys, *order)
+    path = scratch_folder(spark, "hot-keys")
+    dealt.withColumn(SEGMENT, F.spark_partition_id().cast("long")).write.parquet(path)
+    return ordinary.unionByName(spark.read.parquet(path))
 
 
 def carry(
-    rows: DataFrame, keys: Sequence[str], summary: Column, name: str, backwards: bool = False
+    rows: DataFrame, keys: Sequence[str], summary: Column, name: str, backwards: bool = False, fill: bool = False
 ) -> DataFrame:
     """Attach to each segment's rows the summary of the nearest earlier segment of the key.
 
-    With ``backwards`` the nearest later one. Rows of ordinary keys get NULL.
+    With ``backwards`` the nearest later one; with ``fill`` the nearest whose summary is not NULL. Rows of
+    ordinary keys get NULL.
     """
     order = F.col(SEGMENT).desc() if backwards else F.col(SEGMENT).asc()
+    others = W.partitionBy(*keys).orderBy(order)
+    nearest = F.last("__summary", ignorenulls=True).over(others.rowsBetween(W.unboundedPreceding, -1))
     carried = (
         rows.filter(F.col(SEGMENT).isNotNull())
         .groupBy(*keys, SEGMENT)
         .agg(summary.alias("__summary"))
-        .withColumn(name, F.lag("__summary").over(W.partitionBy(*keys).orderBy(order)))
+        .withColumn(name, nearest if fill else F.lag("__summary").over(others))
         .drop("__summary")
     )
     return attach(rows, carried, [*keys, SEGMENT])

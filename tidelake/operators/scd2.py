@@ -9,8 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidelake.contracts import UNTRACKED_COLUMNS
-from tidelake.functions.times import clock_seconds
-from tidelake.operators.hotkeys import MAX_ROWS, SEGMENT, carry, segment_by_time
+from tidelake.operators.hotkeys import MAX_ROWS, SEGMENT, carry, segment_by_rank
 
 START, END = "__START_AT", "__END_AT"
 
@@ -32,6 +31,8 @@ def history(
 
     By default every column but the keys, the sequence and ``exclude`` is tracked. The sequence
     column is carried along; name it in ``track`` to open a version on every delivery.
+
+    Keys are counted when this is called, as those above ``max_rows`` rows are cut into segments.
     """
     carried = [c for c in log.columns if c not in exclude]
     tracked = list(track) if track is not None else [
@@ -40,7 +41,7 @@ def history(
     others = [c for c in carried if c not in keys and c not in tracked and c != sequence]
 
     rows = log.select(*carried, F.struct(*tracked).alias("__content"))
-    rows = segment_by_time(rows, keys, clock_seconds(log, sequence), max_rows)
+    rows = segment_by_rank(rows, keys, [sequence, "__content", *others], max_rows)
     within = W.partitionBy(*keys, SEGMENT).orderBy(sequence, "__content", *others)
 
     rows = rows.withColumn("__before", F.lag("__content").over(within))

@@ -14,14 +14,17 @@ from tidelake.contracts import GRAINS, SILVER_FIELDS
 from tidelake.functions.text import normalise_city
 from tidelake.operators.asof import asof_join
 from tidelake.operators.conform import MALFORMED, conform, split_malformed
-from tidelake.operators.integrity import grain_report, orphan_keys, union_all
+from tidelake.operators.integrity import Relation, grain_report, orphan_report, union_all
 from tidelake.operators.layout import optimise
 from tidelake.operators.scd2 import changed_keys, history, sequence_ties
 from tidelake.plans import analytics, dq, security
 from tidelake.plans.gold import calendar_days
 from tidelake.plans.lake import Lake
 from tidelake.session import scratch_folder, tune
-from tidelake.sources.driver_tables import CALENDAR, FIRST_BATCH, HORIZON, SECOND_BATCH, DriverTables
+from tidelake.sources.commits import CommittedTable
+from tidelake.sources.driver_tables import CALENDAR, FIRST_BATCH, SECOND_BATCH, DriverTables
+from tidelake.sources.eventlog import EventLog
+from tidelake.sources.inference import InferredSchema
 from tidelake.sources.landing import SOURCES
 from tidelake.sources.tables import Tables
 from tidelake.streaming.bronze import ingest, ingest_by_position, read_bronze
@@ -31,29 +34,24 @@ from tidelake.streaming.silver import refresh
 Query = Callable[[SparkSession, str], DataFrame]
 REGION = ("NATION_3", "NATION_7")
 RELATIONS = (
-    ("lines without order", "sv_order_items", "order_id", "sv_orders", "order_id"),
-    ("lines without customer", "fct_order_items", "customer_sk", "dim_customer", "customer_sk"),
-    ("lines without seller", "fct_order_items", "seller_sk", "dim_seller", "seller_sk"),
-    ("lines without product", "fct_order_items", "product_sk", "dim_product", "product_sk"),
-    ("lines without date", "fct_order_items", "order_date_key", "dim_date", "date_key"),
-    ("lines without status", "fct_order_items", "order_status", "dim_order_status",
-     "order_status"),
-    ("payments without order", "sv_payments", "order_id", "sv_orders", "order_id"),
-    ("reviews without order", "sv_reviews", "order_id", "sv_orders", "order_id"),
-    ("customers without place", "sv_customers", "zip_code_prefix", "sv_geolocation",
-     "zip_code_prefix"),
-    ("sellers without place", "dim_seller", "zip_code_prefix", "sv_geolocation",
-     "zip_code_prefix"),
+    Relation("lines without order", "sv_order_items", "order_id", "sv_orders", "order_id"),
+    Relation("lines without customer", "fct_order_items", "customer_sk", "dim_customer", "customer_sk"),
+    Relation("lines without seller", "fct_order_items", "seller_sk", "dim_seller", "seller_sk"),
+    Relation("lines without product", "fct_order_items", "product_sk", "dim_product", "product_sk"),
+    Relation("lines without date", "fct_order_items", "order_date_key", "dim_date", "date_key"),
+    Relation("lines without status", "fct_order_items", "order_status", "dim_order_status", "order_status"),
+    Relation("payments without order", "sv_payments", "order_id", "sv_orders", "order_id"),
+    Relation("reviews without order", "sv_reviews", "order_id", "sv_orders", "order_id"),
+    Relation("customers without place", "sv_customers", "zip_code_prefix", "sv_geolocation", "zip_code_prefix"),
+    Relation("sellers without place", "dim_seller", "zip_code_prefix", "sv_geolocation", "zip_code_prefix"),
 )
 
 
-def driver_lake(
-    spark: SparkSession, folder: str, number_lines: bool = False, fanout_safe: bool = False
-) -> Lake:
-    """The lake over the driver tables. Only line-level tables need lines numbered."""
+def driver_lake(spark: SparkSession, folder: str, fanout_safe: bool = False) -> Lake:
+    """The lake over the driver tables."""
     return Lake(
         tune(spark),
-        DriverTables(spark, folder, number_lines),
+        DriverTables(spark, folder),
         calendar=CALENDAR,
         min_seller_lines=600,
         fanout_safe=fanout_safe,
@@ -79,9 +77,9 @@ def _placed(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.round(F.col(c) + 1e-9, 6) for c in coordinates})
 
 
-def _table(name: str, number_lines: bool = False) -> Query:
+def _table(name: str) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        return plain(_placed(driver_lake(spark, folder, number_lines)[name]))
+        return plain(_placed(driver_lake(spark, folder)[name]))
 
     return query
 
@@ -102,14 +100,18 @@ def _widget(build: Callable[..., DataFrame], tables: tuple[str, ...], *spec, **o
     return query
 
 
+def _recorded_lake(spark: SparkSession, folder: str) -> tuple[Lake, EventLog]:
+    """Every data set with rules stored once, with its counts in an event log."""
+    work = scratch_folder(spark, "recorded")
+    log = EventLog(spark, f"{work}/log")
+    return dq.recorded(driver_lake(spark, folder), log, work, undated=CALENDAR[1][:8] + "01"), log
+
+
 def _expectation_report(spark: SparkSession, folder: str) -> DataFrame:
-    lake = driver_lake(spark, folder, number_lines=True)
-    return dq.expectation_report(
-        {
-            layer: lambda layer=layer: dq.derived_events(lake, layer, undated=CALENDAR[1][:8] + "01")
-            for layer in ("silver", "gold")
-        }
-    )
+    _, log = _recorded_lake(spark, folder)
+    report = dq.expectation_report({layer: lambda layer=layer: log.read(layer) for layer in ("silver", "gold")})
+    seen = F.convert_timezone(None, F.lit("UTC"), F.col("last_seen").cast("timestamp_ntz"))
+    return report.withColumn("last_seen", seen)
 
 
 def _quality_summary(spark: SparkSession, folder: str) -> DataFrame:
@@ -117,26 +119,20 @@ def _quality_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _grains(spark: SparkSession, folder: str) -> DataFrame:
-    lake = driver_lake(spark, folder, number_lines=True)
+    lake, _ = _recorded_lake(spark, folder)
     return union_all([grain_report(lake[name], name, keys) for name, keys in GRAINS.items()])
 
 
 def _orphans(spark: SparkSession, folder: str) -> DataFrame:
-    lake = driver_lake(spark, folder)
-    return union_all(
-        [
-            orphan_keys(lake[fact], lake[dimension], key, relation, other)
-            for relation, fact, key, dimension, other in RELATIONS
-        ]
-    )
+    return orphan_report(RELATIONS, driver_lake(spark, folder).__getitem__)
 
 
 def _asof_seller(spark: SparkSession, folder: str) -> DataFrame:
-    lake = driver_lake(spark, folder, number_lines=True)
+    lake = driver_lake(spark, folder)
     lines = lake["fct_order_items"].select("order_item_sk", "seller_id", "order_purchase_timestamp")
     joined = asof_join(
         lines, lake["sv_sellers_history"], "seller_id", "order_purchase_timestamp",
-        ["seller_city", "seller_state"], HORIZON,
+        ["seller_city", "seller_state"],
     )
     return joined.drop("order_purchase_timestamp")
 
@@ -266,6 +262,33 @@ def _csv_reviews(spark: SparkSession, folder: str) -> DataFrame:
     return stored.select("review_id", "order_id", "review_score", "review_comment_message")
 
 
+def _csv_inferred(spark: SparkSession, folder: str) -> DataFrame:
+    """Payments landed three times, each time with wider values; the types that hold after each landing, and the rows under them."""
+    payments = _as_text(DriverTables(tune(spark), folder)["br_payments"])
+    work, source = scratch_folder(spark, "csv-inferred"), SOURCES["payments"]
+    number = F.regexp_replace("order_id", "^x", "").cast("bigint")
+    landing = F.when(F.col("order_id").startswith("x"), F.lit(2)).otherwise(number % 3)
+    value = F.when(landing == 0, F.col("payment_value").cast("double").cast("bigint").cast("string")).when(
+        (landing == 2) & (number % 5 == 0), F.lit("n/a")
+    ).otherwise(F.col("payment_value"))
+    shaped = payments.withColumns({"landing": landing, "payment_value": value})
+    schema = InferredSchema(spark, f"{work}/schema", source.columns)
+    found = []
+    for part in range(3):
+        shaped.filter(F.col("landing") == part).select(*source.columns).write.option("header", True).csv(f"{work}/landing/payments/{part}")
+        ingest(
+            spark, f"{work}/landing", source, f"{work}/bronze", f"{work}/checkpoint", learn=schema.learn
+        ).awaitTermination()
+        typed = schema.typed(read_bronze(spark, source, f"{work}/bronze"))
+        types = {f.name: f.dataType.simpleString() for f in typed.schema}
+        found.append(typed.agg(F.count("*").alias("rows")).select(
+            F.lit(part).alias("landing"), F.inline(F.array(*[
+                F.struct(F.lit(c).alias("column_name"), F.lit(types[c]).alias("type")) for c in source.columns
+            ])), "rows",
+        ))
+    return union_all(found)
+
+
 def _malformed_orders(spark: SparkSession, folder: str) -> DataFrame:
     """Orders with unreadable dates, set aside with the names of the columns at fault."""
     tables = DriverTables(tune(spark), folder)
@@ -304,7 +327,7 @@ def _incremental_history(spark: SparkSession, folder: str) -> DataFrame:
     tables = DriverTables(tune(spark), folder)
     work = scratch_folder(spark, "history")
     log = tables["br_products"].drop("_source_file", "_source_system")
-    table = HistoryTable(spark, work, ["product_id"], "_ingested_at", buckets=8)
+    table = HistoryTable(spark, work, ["product_id"], "_ingested_at")
     for day in (SECOND_BATCH, FIRST_BATCH):
         batch = log.filter(F.col("_ingested_at") == F.lit(day).cast("timestamp_ntz"))
         batch.write.mode("append").parquet(f"{work}/changes")
@@ -313,6 +336,73 @@ def _incremental_history(spark: SparkSession, folder: str) -> DataFrame:
     return table.read()
 
 
+def _three_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """User status from events in three batches by time: in order, reversed, and with the middle one delivered twice."""
+    events = DriverTables(tune(spark), folder).table("events").select("user_id", "event_type", "ts")
+    clock = F.col("ts").cast("timestamp").cast("double")
+    first, last = events.agg(F.min(clock), F.max(clock)).first()
+    third = F.least(F.floor((clock - first) * 3 / (last - first)), F.lit(2))
+    found = []
+    for arrangement, order in (("in order", (0, 1, 2)), ("reversed", (2, 1, 0)), ("delivered twice", (0, 1, 1, 2))):
+        table = HistoryTable(spark, scratch_folder(spark, "batches"), ["user_id"], "ts", base_every=2)
+        for number, part in enumerate(order):
+            batch = events.filter(third == part)
+            table.apply(batch, number)
+            table.apply(batch, number)  # a replay
+        found.append(table.read().select(F.lit(arrangement).alias("arrangement"), "*"))
+    return union_all(found)
+
+
+def _hot_key(spark: SparkSession, folder: str) -> DataFrame:
+    """User status where a third of all events are one user's, cut into segments."""
+    events = DriverTables(tune(spark), folder).table("events")
+    user = F.when(F.col("user_id") % 3 == 0, F.lit(0)).otherwise(F.col("user_id"))
+    return history(events.select(user.alias("user_id"), "event_type", "ts"), ["user_id"], "ts", max_rows=500)
+
+
+def _spoiled_orders(tables: DriverTables) -> DataFrame:
+    """Text orders of which some break each rule that drops rows."""
+    key = F.expr("cast(order_id as bigint)")
+    status = F.when(key % 90 == 7, F.lit("mystery")).when(key % 95 != 9, F.col("order_status"))
+    return _as_text(tables["br_orders"]).withColumns(
+        {
+            "_key": key,
+            "customer_id": F.when(key % 70 != 5, F.col("customer_id")),
+            "order_status": status,
+            "order_id": F.when(key % 110 != 1, F.col("order_id")),
+            "_ingested_at": F.col("_ingested_at").cast("timestamp"),
+            "_rescued_data": F.lit(None).cast("string"),
+        }
+    )
+
+
+def _refreshed_twice(spark: SparkSession, folder: str) -> str:
+    """Spoiled orders committed to bronze as two batches, silver refreshed after each; the silver folder."""
+    work, source = scratch_folder(spark, "silver-counts"), SOURCES["orders"]
+    orders = _spoiled_orders(DriverTables(tune(spark), folder))
+    bronze = CommittedTable(spark, f"{work}/bronze/br_orders")
+    columns = [f.name for f in T.StructType.fromDDL(source.bronze_schema).fields]
+    for number in range(2):
+        bronze.append(orders.filter(F.col("_key") % 2 == number).select(*columns), number)
+        refresh(spark, "sv_orders", f"{work}/bronze", f"{work}/silver", f"{work}/checkpoint").awaitTermination()
+    return f"{work}/silver"
+
+
+def _stream_rule_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Expectation counts of a silver stream over two runs, as its manifests hold them."""
+    counted = CommittedTable(spark, _refreshed_twice(spark, folder)).counts()
+    rule, outcome = F.split_part("counter", F.lit("__"), F.lit(1)), F.split_part("counter", F.lit("__"), F.lit(2))
+    return counted.groupBy(rule.alias("expectation")).agg(
+        F.sum(F.when(outcome == "passed", F.col("n"))).alias("passed"),
+        F.sum(F.when(outcome == "failed", F.col("n"))).alias("failed"),
+    )
+
+
+def _stream_spoiled_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """What the drop rules leave of the spoiled orders."""
+    return CommittedTable(spark, _refreshed_twice(spark, folder)).read().select("order_id", "customer_id", "order_status")
+
+
 def _streamed_orders(spark: SparkSession, folder: str) -> DataFrame:
     """Orders through bronze text columns and the streaming silver transform."""
     tables = DriverTables(tune(spark), folder)
@@ -327,7 +417,7 @@ def _streamed_orders(spark: SparkSession, folder: str) -> DataFrame:
     refresh(
         spark, "sv_orders", f"{work}/bronze", f"{work}/silver", f"{work}/checkpoint"
     ).awaitTermination()
-    stored = spark.read.parquet(f"{work}/silver").drop("_source_file")
+    stored = CommittedTable(spark, f"{work}/silver").read().drop("_source_file")
     return stored.select(
         *[
             F.col(f.name).cast("timestamp_ntz").alias(f.name)
@@ -344,7 +434,7 @@ LAYOUT_TABLES = ("fct_order_items", "fct_payments", "fct_reviews")
 def _layout(spark: SparkSession, folder: str) -> DataFrame:
     """The three fact tables published, rewritten by their clustering columns and analysed, in a
     namespace of their own; with the rows of each table after the step."""
-    lake = driver_lake(spark, folder, number_lines=True)
+    lake = driver_lake(spark, folder)
     root = scratch_folder(spark, "layout")
     tables = Tables(spark, root, f"layout_{uuid.uuid4().hex}")
     for name in LAYOUT_TABLES:
@@ -380,8 +470,8 @@ QUERIES: dict[str, Query] = {
             "v_fct_reviews_secure",
         )
     },
-    "sv_order_items": _table("sv_order_items", number_lines=True),
-    "fct_order_items": _table("fct_order_items", number_lines=True),
+    "sv_order_items": _table("sv_order_items"),
+    "fct_order_items": _table("fct_order_items"),
     "dim_date": _order_calendar,
     "q01_monthly_report": _report(analytics.monthly_report, "mart_monthly_revenue"),
     "q02_seller_states": _report(analytics.seller_states, "mart_seller_scorecard"),
@@ -437,16 +527,21 @@ QUERIES: dict[str, Query] = {
     ),
     "scd2_sequence_ties": _sequence_ties,
     "scd2_incremental": _incremental_history,
+    "scd2_three_batches": _three_batches,
+    "scd2_hot_key": _hot_key,
     "normalise_city": _cities,
     "v_dim_customer_regional": _regional,
     "review_text_masked": _report(security.review_text_masked, "sv_reviews"),
     "mart_delivery_fanout_safe": _fanout_safe,
     "csv_ingest": _csv_ingest,
     "csv_drift": _csv_drift,
+    "csv_inferred": _csv_inferred,
     "csv_awkward_files": _csv_awkward_files,
     "csv_reviews": _csv_reviews,
     "malformed_orders": _malformed_orders,
     "newest_orders": _newest_orders,
     "stream_silver_orders": _streamed_orders,
+    "stream_rule_counts": _stream_rule_counts,
+    "stream_spoiled_orders": _stream_spoiled_orders,
     "layout_report": _layout,
 }

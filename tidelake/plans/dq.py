@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime, timezone
 
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
@@ -13,11 +15,11 @@ from tidelake.contracts import (
     EXPECTATION_EVENT,
     EXPECTATION_PATH,
     EXPECTATION_SCHEMA,
-    QUALITY_RULES,
 )
-from tidelake.operators.expectations import rules_for, tally
+from tidelake.operators.expectations import drop_failing, guard, observed, outcomes, rules_for
 from tidelake.operators.integrity import union_all
 from tidelake.plans.lake import Lake
+from tidelake.sources.eventlog import EventLog
 
 logger = logging.getLogger(__name__)
 
@@ -84,25 +86,36 @@ def _month(column: str) -> Column:
     return F.trunc(F.to_date(column), "month").cast("timestamp_ntz")
 
 
-def derived_events(lake: Lake, layer: str, undated: str) -> DataFrame:
-    """Event log of a layer computed from its data, one update per data set and month.
+#: Data sets with rules by stage: those of one stage only need earlier ones. The spine has none, but three facts read it.
+STAGES = (
+    ("sv_orders", "sv_order_items", "sv_payments", "sv_reviews", "sv_customer_keys"),
+    ("dim_seller", "dim_product", "dim_customer", "bridge_customer_order"),
+    ("order_spine",),
+    ("fct_order_items", "fct_payments", "fct_reviews"),
+)
+
 
-    Stands in for a stored log when the data sets exist but their runs were not recorded. Data
-    sets without a date are one update at ``undated``.
+def recorded(lake: Lake, log: EventLog, folder: str, undated: str) -> Lake:
+    """Store every data set with rules once and record its counts while its rows are written; the lake of what is stored.
+
+    Counts carry the last month of the data as the time of the run; data sets without a date are dated ``undated``.
     """
-    prefix = "sv_" if layer == "silver" else ("dim_", "fct_")
-    events = []
-    for dataset in QUALITY_RULES:
-        if not dataset.startswith(prefix):
-            continue
-        frame = lake.before_rules(dataset)
-        dated = [
-            c for c in ("_ingested_at", "valid_from", "order_date_key") if c in frame.columns
-        ]
-        run = _month(dated[0]) if dated else F.lit(undated).cast("timestamp_ntz")
-        events.append(tally(frame, rules_for(dataset), dataset, run))
-    quality = F.struct(F.struct(F.col("expectations")).alias("data_quality"))
-    details = F.to_json(F.struct(quality.alias("flow_progress")))
-    return union_all(events).select(
-        "timestamp", F.lit(EXPECTATION_EVENT).alias("event_type"), details.alias("details")
-    )
+    stored = lake
+    for stage in STAGES:
+        with ThreadPoolExecutor(len(stage)) as pool:
+            jobs = {name: pool.submit(_store, stored, name, log, f"{folder}/{name}", undated) for name in stage}
+            stored = stored.with_tables({name: job.result() for name, job in jobs.items()})
+    return stored
+
+
+def _store(lake: Lake, name: str, log: EventLog, folder: str, undated: str) -> DataFrame:
+    frame, rules = lake.before_rules(name), rules_for(name)
+    dated = [c for c in ("_ingested_at", "valid_from", "order_date_key") if c in frame.columns]
+    run = F.max(_month(dated[0])) if dated else F.first(F.lit(undated).cast("timestamp_ntz"))
+    counted, observation = observed(frame, rules, name, run.alias("__run"))
+    guard(drop_failing(counted, rules), rules, name).write.parquet(folder)
+    if observation is not None:
+        found = observation.get
+        at = found["__run"] or datetime.fromisoformat(undated)
+        log.append("silver" if name.startswith("sv_") else "gold", outcomes(found, rules, name), at.replace(tzinfo=timezone.utc), name)
+    return lake.spark.read.parquet(folder)

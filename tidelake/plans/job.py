@@ -13,9 +13,10 @@ from tidelake.plans.dq import expectation_report, stamped_report
 from tidelake.plans.lake import GOLD_STAGES, Lake
 from tidelake.plans.security import create_views
 from tidelake.session import size_shuffles
+from tidelake.sources.commits import BATCH, CommittedTable
 from tidelake.sources.landing import SOURCES, landed_bytes, require_landing
 from tidelake.sources.tables import Tables
-from tidelake.streaming.bronze import ingest_all, read_bronze, stream_bronze
+from tidelake.streaming.bronze import follow_bronze, ingest_all, read_bronze
 from tidelake.streaming.history import HistoryTable
 from tidelake.streaming.silver import FEEDS, refresh_all
 
@@ -56,29 +57,29 @@ class Job:
         ingest_all(self.spark, self.landing, f"{self.root}/bronze", self.checkpoints)
         for source in SOURCES:
             name = f"br_{source}"
-            self.tables.attach("bronze", name, self.tables.folder("bronze", name), True)
+            self._attach_committed("bronze", name)
 
     def silver(self) -> None:
         """All streams side by side, then the tables that are recomputed in full."""
         histories = {}
         for dataset, (source, key) in HISTORIES.items():
-            feed = stream_bronze(
-                self.spark, SOURCES[source], self.tables.folder("bronze", f"br_{source}")
-            )
             table = HistoryTable(
                 self.spark, self.tables.folder("silver", dataset), [key], "_ingested_at"
             )
-            query = table.follow(feed, f"{self.checkpoints}/{dataset}")
-            histories[dataset] = (query, table.folder)
+            query = follow_bronze(
+                self.spark, SOURCES[source], self.tables.folder("bronze", f"br_{source}"),
+                table.apply, f"{self.checkpoints}/{dataset}", dataset,
+            )
+            histories[dataset] = (query, table)
         refresh_all(
             self.spark, f"{self.root}/bronze", f"{self.root}/silver", self.checkpoints,
             self.tables.log,
         )
         for dataset in FEEDS:
-            self.tables.attach("silver", dataset, self.tables.folder("silver", dataset))
-        for dataset, (query, folder) in histories.items():
+            self._attach_committed("silver", dataset)
+        for dataset, (query, table) in histories.items():
             query.awaitTermination()
-            self.tables.attach("silver", dataset, folder, True)
+            self.tables.show("silver", dataset, table.sql())
         self._publish("silver", RECOMPUTED, self._bronze_frames())
 
     def gold(self) -> None:
@@ -88,7 +89,7 @@ class Job:
         facts look them up.
         """
         stored = {
-            name: self.tables.read("silver", name)
+            name: self.tables.read("silver", name).drop(BATCH)
             for name in (*FEEDS, *HISTORIES, *RECOMPUTED)
         }
         dimensions, facts, marts = GOLD_STAGES
@@ -99,6 +100,10 @@ class Job:
             stored |= {name: self.tables.read(layer, name) for name in stage}
         create_views(self.spark, self.region, *map(self.tables.schema, ("gold", "security")))
 
+    def _attach_committed(self, layer: str, name: str) -> None:
+        folder = self.tables.folder(layer, name)
+        self.tables.attach(layer, name, folder, CommittedTable(self.spark, folder).partitions())
+
     def _publish(self, layer: str, names: tuple[str, ...], inputs: dict[str, DataFrame]) -> None:
         """Publish tables that do not depend on each other as concurrent jobs."""
         lake = Lake(self.spark, inputs, calendar=self.calendar)
@@ -113,7 +118,12 @@ class Job:
 
     def report(self) -> DataFrame:
         """Refresh the expectation report table."""
-        logs = {layer: lambda layer=layer: self.tables.log.read(layer) for layer in ("silver", "gold")}
+        ops = self.tables.schema("ops")
+        self.tables.log.define(ops)
+        logs = {
+            layer: lambda layer=layer: self.spark.sql(f"SELECT * FROM {ops}.event_log('{layer}')")
+            for layer in ("silver", "gold")
+        }
         self.tables.publish("ops", "dq_expectation_report", stamped_report(expectation_report(logs)))
         return self.tables.read("ops", "dq_expectation_report")
 

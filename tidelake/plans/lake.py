@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import ChainMap
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -75,6 +76,10 @@ class Lake:
     ):
         self.spark = spark
         self._tables = tables
+        self._settings = {
+            "calendar": calendar, "min_seller_lines": min_seller_lines, "fanout_safe": fanout_safe,
+            "newest_orders_only": newest_orders_only,
+        }
         self._built: dict[str, DataFrame] = {}
         self._registered = False
         self.calendar = calendar
@@ -90,6 +95,10 @@ class Lake:
             self._built[name] = self._tables[name] if given else self._build(name)
         return self._built[name]
 
+    def with_tables(self, tables: Mapping[str, DataFrame]) -> Lake:
+        """The same lake with more data sets given."""
+        return Lake(self.spark, ChainMap(dict(tables), self._tables), **self._settings)
+
     def _build(self, name: str) -> DataFrame:
         if name == "dim_date":
             return gold.dim_date(self.spark, self.calendar)

@@ -5,11 +5,15 @@ contributes every pair. The numbers over those pairs are sums of products, so no
 formed: reviews are reduced to one row per order, lines to one row per order and group, and the
 two meet one-to-one with the other side's count as weight. The first reduction combines before the
 shuffle, which also tames an order that holds a large share of all lines.
+
+Distinct orders are counted without expanding or moving order rows once more: while rows still lie together by order, one
+row of each (order, group) is flagged, and the flags add up like any other total.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidelake.functions.flags import mean, percentage
@@ -35,6 +39,11 @@ def line_rollup(lines: DataFrame, *keys: str | Column) -> DataFrame:
     )
 
 
+def _first_of(*group: str) -> Column:
+    """1 on one row of each group, which must be fine enough to fit a task: an order within something."""
+    return (F.row_number().over(W.partitionBy(*group).orderBy(F.lit(0))) == 1).cast("int")
+
+
 def review_totals(reviews: DataFrame) -> DataFrame:
     """Reviews to one row per order."""
     return reviews.groupBy("order_id").agg(
@@ -59,16 +68,6 @@ def _review_score(fanout_safe: bool) -> Column:
     return F.round(mean(F.sum(F.col("score") * copies), F.sum(F.col("scored") * copies)), 2)
 
 
-def _line_score(fanout_safe: bool) -> Column:
-    """Mean score over line and review pairs at line grain.
-
-    Fan-out safe: the mean over a seller's lines of their order's mean score.
-    """
-    if fanout_safe:
-        return F.round(F.avg(F.try_divide("score", "scored")), 2)
-    return F.round(mean(F.sum("score"), F.sum("scored")), 2)
-
-
 def delivery_performance(
     lines: DataFrame, customers: DataFrame, reviews: DataFrame, fanout_safe: bool = False
 ) -> DataFrame:
@@ -80,10 +79,11 @@ def delivery_performance(
     month = month_label(F.col("order_purchase_timestamp")).alias("year_month")
     orders = line_rollup(lines.filter("is_delivered"), "customer_sk", month)
     states = customers.select("customer_sk", "customer_state")
+    # the join by order comes last, so that its partitioning serves the flag
     joined = (
-        orders.join(review_totals(reviews), "order_id", "left")
-        .join(states, "customer_sk", "left")
-        .withColumn("weight", _weight(fanout_safe))
+        orders.join(states, "customer_sk", "left")
+        .join(review_totals(reviews), "order_id", "left")
+        .withColumns({"weight": _weight(fanout_safe), "first": _first_of("order_id", "customer_state", "year_month")})
     )
 
     def weighted(column: str) -> Column:
@@ -91,7 +91,7 @@ def delivery_performance(
 
     return joined.groupBy("customer_state", "year_month").agg(
         weighted("lines").alias("line_items"),
-        F.count_distinct("order_id").alias("orders"),
+        F.sum("first").alias("orders"),
         _money(weighted("gross")).alias("gmv"),
         F.round(mean(weighted("days"), weighted("timed")), 1).alias("avg_delivery_days"),
         F.round(mean(weighted("delay"), weighted("compared")), 1).alias("avg_delay_days"),
@@ -109,47 +109,34 @@ def seller_scorecard(
 ) -> DataFrame:
     """Per current seller with at least ``min_lines`` lines; fan-out as in the delivery mart.
 
-    Lines look up their order's review totals, many to one. They are grouped by the short natural
-    key; the surrogate key is formed per seller afterwards, when one row per seller meets the
-    dimension.
+    Lines are reduced per (order, seller, product) once, look up their order's review totals, and roll up to
+    (seller, product) and seller, so distinct orders and products are plain sums. They are grouped by the short natural
+    key; the surrogate key is formed per seller afterwards, when one row per seller meets the dimension.
     """
-    weighed = lines.join(review_totals(reviews), "order_id", "left").withColumns(
-        {"weight": _weight(fanout_safe), "lines": F.lit(1)}
+    parts = line_rollup(lines, "seller_id", "product_id").join(review_totals(reviews), "order_id", "left")
+    parts = parts.withColumns({"weight": _weight(fanout_safe), "first": _first_of("order_id", "seller_id")})
+    score = F.try_divide("score", "scored") if fanout_safe else F.col("score")
+    scored = score.isNotNull().cast("int") if fanout_safe else F.col("scored")
+
+    totals = ("lines", "gross", "price", "priced", "days", "timed", "late")
+    products = parts.groupBy("seller_id", "product_id").agg(
+        *[F.sum(F.col(c) * F.col("weight")).alias(c) for c in totals],
+        F.sum("first").alias("orders"),
+        F.sum(score * F.col("lines")).alias("score"),
+        F.sum(scored * F.col("lines")).alias("scored"),
     )
-
-    def weighted(column: Column | str) -> Column:
-        value = F.col(column) if isinstance(column, str) else column
-        return F.sum(value * F.col("weight"))
-
-    def known(column: str) -> Column:
-        return weighted(F.col(column).isNotNull().cast("int"))
-
-    item_price = (weighted("price") / F.nullif(known("price"), F.lit(0))).cast("decimal(14,6)")
-    late = F.coalesce(F.col("is_late_delivery"), F.lit(False)).cast("int")
-    scores = weighed.groupBy("seller_id").agg(
-        weighted("lines").alias("line_items"),
-        F.count_distinct("order_id").alias("orders"),
-        _money(weighted("gross_revenue")).alias("gmv"),
+    item_price = (F.sum("price") / F.nullif(F.sum("priced"), F.lit(0))).cast("decimal(14,6)")
+    scores = products.groupBy("seller_id").agg(
+        F.sum("lines").alias("line_items"),
+        F.sum("orders").alias("orders"),
+        F.count("product_id").alias("distinct_products"),
+        _money(F.sum("gross")).alias("gmv"),
         F.round(item_price, 2).cast("decimal(11,2)").alias("avg_item_price"),
-        F.round(mean(weighted("delivery_days"), known("delivery_days")), 1).alias(
-            "avg_delivery_days"
-        ),
-        F.round(percentage(weighted(late), weighted("lines")), 2).alias("late_pct"),
-        _line_score(fanout_safe).alias("avg_review_score"),
-    )
-    # A second distinct count in the aggregate above would expand every line with all its totals;
-    # two narrow columns on their own are cheaper to deduplicate.
-    products = (
-        lines.select("seller_id", "product_id")
-        .distinct()
-        .groupBy("seller_id")
-        .agg(F.count("product_id").alias("distinct_products"))
-    )
-    keyed = (
-        scores.filter(F.col("line_items") >= min_lines)
-        .join(products, "seller_id")
-        .withColumn("seller_sk", surrogate_key("seller_id"))
+        F.round(mean(F.sum("days"), F.sum("timed")), 1).alias("avg_delivery_days"),
+        F.round(percentage(F.sum("late"), F.sum("lines")), 2).alias("late_pct"),
+        F.round(mean(F.sum("score"), F.sum("scored")), 2).alias("avg_review_score"),
     )
+    keyed = scores.filter(F.col("line_items") >= min_lines).withColumn("seller_sk", surrogate_key("seller_id"))
     described = sellers.select("seller_sk", "seller_id", "seller_city", "seller_state")
     return described.join(keyed.drop("seller_id"), "seller_sk").select(
         *described.columns, "line_items", "orders", "distinct_products", "gmv", "avg_item_price",
@@ -160,13 +147,16 @@ def seller_scorecard(
 def monthly_revenue(lines: DataFrame, customers: DataFrame) -> DataFrame:
     """Per month: volume, revenue, share of lines bought by repeat customers, order value."""
     month = month_label(F.col("order_purchase_timestamp")).alias("year_month")
-    orders = line_rollup(lines, "customer_sk", month).join(
-        customers.select("customer_sk", "is_repeat_customer"), "customer_sk", "left"
+    orders = line_rollup(lines, "customer_sk", month).withColumn("first", _first_of("order_id", "year_month"))
+    people = (
+        orders.join(customers.select("customer_sk", "is_repeat_customer"), "customer_sk", "left")
+        .groupBy("customer_sk", "year_month", "is_repeat_customer")
+        .agg(*[F.sum(c).alias(c) for c in ("lines", "gross", "price", "freight", "first")])
     )
     repeat_lines = F.sum(F.when(F.col("is_repeat_customer"), F.col("lines")).otherwise(0))
-    totals = orders.groupBy("year_month").agg(
-        F.count_distinct("order_id").alias("orders"),
-        F.count_distinct("customer_sk").alias("customers"),
+    totals = people.groupBy("year_month").agg(
+        F.sum("first").alias("orders"),
+        F.count("customer_sk").alias("customers"),
         F.sum("lines").alias("line_items"),
         _money(F.sum("gross")).alias("gmv"),
         _money(F.sum("price")).alias("product_revenue"),

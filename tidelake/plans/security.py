@@ -7,8 +7,7 @@ from collections.abc import Collection
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelake.contracts import ID_MASK_SUFFIX
-from tidelake.functions.masks import mask_coordinate, mask_customer_id, mask_free_text
+from tidelake.functions.masks import define, mask_coordinate, mask_customer_id, mask_free_text
 
 
 def customer_secure(customers: DataFrame, cleared: bool = False) -> DataFrame:
@@ -45,18 +44,18 @@ def customer_regional(customers: DataFrame, states: Collection[str]) -> DataFram
 def create_views(
     spark: SparkSession, region: Collection[str], layer: str = "gold", into: str = "security"
 ) -> None:
-    """The secure views as catalog views, for readers who query by SQL.
+    """The secure views as catalog views, for readers who query by SQL, and the masks as functions beside them.
 
     The catalog knows no reader groups, so grant ``into`` to everyone and ``layer`` only to
     cleared readers. ``region`` is the set of states the regional view shows.
     """
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {into}")
+    define(spark, into)
     people = spark.table(f"{layer}.dim_customer").columns
     masks = {
-        "customer_unique_id": f"concat(left(customer_unique_id, 4), '{ID_MASK_SUFFIX}')",
-        "customer_latitude": "round(customer_latitude, 1)",
-        "customer_longitude": "round(customer_longitude, 1)",
+        "customer_unique_id": "mask_id", "customer_latitude": "mask_coordinate", "customer_longitude": "mask_coordinate",
     }
+    masks = {column: f"{into}.{mask}({column})" for column, mask in masks.items()}
     shown = ", ".join(f"{masks.get(c, c)} AS {c}" for c in people)
     scores = ", ".join(reviews_secure(spark.table(f"{layer}.fct_reviews")).columns)
     states = ", ".join("'" + state.replace("'", "\\'") + "'" for state in region)

@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelake.contracts import QUARANTINE_REASONS, SILVER_FIELDS
+from tidelake.contracts import SILVER_FIELDS
 from tidelake.functions.keys import surrogate_key
 from tidelake.operators.collapse import centroid_with_mode, latest_by_key
 from tidelake.operators.conform import conform
 from tidelake.operators.expectations import drop_failing, rules_for
 from tidelake.operators.quarantine import quarantine
 from tidelake.operators.scd2 import history
+from tidelake.plans.rules import QUARANTINE_REASONS
 
 
 def typed_orders(bronze: DataFrame) -> DataFrame:

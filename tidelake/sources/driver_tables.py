@@ -21,7 +21,6 @@ PAYMENT_TYPES = {
 }
 FIRST_BATCH, SECOND_BATCH = "1995-01-01", "1998-06-01"
 CALENDAR = ("1995-01-01", "2001-12-31")
-HORIZON = (1995, 2001)
 
 
 def _days(count: Column | int, hours: Column | int = 0) -> Column:
@@ -39,16 +38,11 @@ def _batch(day: str) -> Column:
 
 
 class DriverTables:
-    """Landing sources by name, e.g. ``DriverTables(spark, folder)["br_orders"]``.
+    """Landing sources by name, e.g. ``DriverTables(spark, folder)["br_orders"]``."""
 
-    ``number_lines=False`` leaves order lines with their own line number, which repeats within an
-    order; reports that never look at the line number save the numbering pass.
-    """
-
-    def __init__(self, spark: SparkSession, folder: str, number_lines: bool = True):
+    def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
-        self.number_lines = number_lines
         self.sources: dict[str, Callable[[], DataFrame]] = {
             "br_orders": self.orders,
             "br_order_items": self.order_items,
@@ -98,15 +92,12 @@ class DriverTables:
 
     def order_items(self) -> DataFrame:
         lines = self.table("lineitem")
-        if self.number_lines:
-            digest = [
-                F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string"),
-                F.col("l_linenumber").cast("string"), F.to_date("l_shipdate").cast("string"),
-            ]
-            ties = [c for c in lines.columns if c != "l_orderkey"]
-            lines = number_rows(lines, ["l_orderkey"], digest, ties, "line_id")
-        else:
-            lines = lines.withColumn("line_id", F.col("l_linenumber"))
+        digest = [
+            F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string"),
+            F.col("l_linenumber").cast("string"), F.to_date("l_shipdate").cast("string"),
+        ]
+        ties = [c for c in lines.columns if c != "l_orderkey"]
+        lines = number_rows(lines, ["l_orderkey"], digest, ties, "line_id")
         price = F.col("l_extendedprice").cast("decimal(10,2)")
         return self._audited(
             lines, F.col("l_shipdate"), "lineitem",

@@ -21,15 +21,25 @@ class EventLog:
         self.folder = folder
 
     def append(
-        self, layer: str, expectations: Sequence[dict], at: datetime | None = None
+        self, layer: str, expectations: Sequence[dict], at: datetime | None = None, name: str | None = None
     ) -> None:
-        """Record the outcome of one update, in a folder of its own: updates run side by side."""
+        """Record the outcome of one update, in a folder of its own: updates run side by side.
+
+        An update with a ``name`` that is recorded again replaces what it recorded before.
+        """
         details = {"flow_progress": {"data_quality": {"expectations": list(expectations)}}}
         stamp = at or datetime.now(timezone.utc)
         row = (layer, stamp, EXPECTATION_EVENT, json.dumps(details))
         entry = self.spark.createDataFrame([row], SCHEMA).coalesce(1)
-        entry.write.json(f"{self.folder}/{uuid.uuid4().hex}")
+        entry.write.mode("overwrite").json(f"{self.folder}/{name or uuid.uuid4().hex}")
 
     def read(self, layer: str) -> DataFrame:
         logged = self.spark.read.schema(SCHEMA).option("recursiveFileLookup", True).json(self.folder)
         return logged.filter(F.col("layer") == layer).drop("layer")
+
+    def define(self, schema: str) -> None:
+        """Make the log a table function: ``SELECT * FROM <schema>.event_log('silver')``."""
+        columns = "timestamp TIMESTAMP, event_type STRING, details STRING"
+        self.spark.sql(f"""CREATE OR REPLACE FUNCTION {schema}.event_log(of_layer STRING) RETURNS TABLE({columns})
+            COMMENT 'Expectation outcomes of all updates of a layer'
+            RETURN SELECT to_timestamp(timestamp), event_type, details FROM json.`{self.folder}/*` WHERE layer = of_layer""")

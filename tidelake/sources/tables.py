@@ -9,7 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from tidelake.operators.expectations import Rule, drop_failing, guard, observed, outcomes, rules_for
 from tidelake.sources.eventlog import EventLog
 
-LAYERS = ("bronze", "silver", "gold", "ops")
+DESCRIPTIONS = {
+    "bronze": "Rows as landed, all columns text, with the file and time they came by; append-only",
+    "silver": "Typed rows under expectations; append-only",
+    "gold": "Star schema and marts, recomputed in full",
+    "ops": "Reports and helper tables",
+}
+LAYERS = tuple(DESCRIPTIONS)
 
 
 def _bare(folder: str) -> str:
@@ -70,17 +76,32 @@ class Tables:
         df.write.mode("overwrite").parquet(target)
         self._point(layer, name, target)
 
-    def attach(self, layer: str, name: str, folder: str, partitioned: bool = False) -> None:
-        """Register an append-only folder as a table, or pick up what was appended to it."""
+    def attach(self, layer: str, name: str, folder: str, partitions: Sequence[str] | None = None) -> None:
+        """Register an append-only folder as a table, or pick up what was appended to it.
+
+        ``partitions`` (``column=value``) are those that the table shall show; others in the folder stay out.
+        """
         table = f"{self.schema(layer)}.{name}"
         if self.exists(layer, name) and _bare(self._location(table)) != _bare(folder):
             self.spark.sql(f"DROP TABLE {table}")
         if not self.exists(layer, name):
-            self.spark.catalog.createTable(table, path=folder, source="parquet")
-        if partitioned:
-            self.spark.catalog.recoverPartitions(table)
+            self.spark.catalog.createTable(table, path=folder, source="parquet", description=DESCRIPTIONS[layer])
+            self.spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('quality' = '{layer}')")
+        if partitions is not None:
+            shown = {r.partition for r in self.spark.sql(f"SHOW PARTITIONS {table}").collect()}
+            new = [p.split("=", 1) for p in partitions if p not in shown]
+            for i in range(0, len(new), 500):
+                added = " ".join(f"PARTITION ({column} = '{value}')" for column, value in new[i : i + 500])
+                self.spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {added}")
         self.spark.catalog.refreshTable(table)
 
+    def show(self, layer: str, name: str, statement: str) -> None:
+        """Make a view under the table's name, or move it on to another state: one metadata call."""
+        view = f"{self.schema(layer)}.{name}"
+        comment = DESCRIPTIONS[layer].replace("'", "''")
+        self.spark.sql(f"CREATE OR REPLACE VIEW {view} COMMENT '{comment}' TBLPROPERTIES ('quality' = '{layer}') AS {statement}")
+        self.spark.catalog.refreshTable(view)
+
     def _idle_folder(self, layer: str, name: str) -> str:
         base = self.folder(layer, name)
         if not self.exists(layer, name):

@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidelake.contracts import RESCUE_COLUMN
+from tidelake.sources.commits import BATCH, ONE_RUN, CommittedTable
 from tidelake.sources.drift import read_by_name
 from tidelake.sources.landing import FILE_OPTIONS, FILE_SCHEMA, SOURCES, Source, with_audit
 
-BATCH = "batch_id"
-ONE_RUN = {"availableNow": True}
-
 
 def ingest(
     spark: SparkSession,
@@ -22,13 +22,15 @@ def ingest(
     checkpoint: str,
     trigger: dict | None = None,
     files_per_batch: int = 1000,
+    learn: Callable[[DataFrame], object] | None = None,
 ) -> StreamingQuery:
-    """Append files not seen before, matching columns by header name.
+    """Append files not seen before, matching columns by header name. ``learn`` gets each batch's rows before they count.
 
-    The stream carries file paths only; each batch reads its own new files. Rows are stored under
-    the batch that brought them and a replayed batch replaces its own rows, so a crash between
-    write and commit adds nothing twice.
+    The stream carries file paths only; each batch reads its own new files. Rows become visible by the
+    batch's manifest, after which running the batch again changes nothing: a crash at any point adds nothing twice,
+    neither for readers nor for streams that follow the table.
     """
+    table = CommittedTable(spark, target)
     files = (
         spark.readStream.format("binaryFile")
         .schema(FILE_SCHEMA)
@@ -38,15 +40,14 @@ def ingest(
     )
 
     def append(batch: DataFrame, batch_id: int) -> None:
+        if table.has(batch_id):
+            return
         rows = read_by_name(batch.sparkSession, source, batch)
         if rows is not None:
-            (
-                rows.withColumn(BATCH, F.lit(batch_id).cast("long"))
-                .write.partitionBy(BATCH)
-                .mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .parquet(target)
-            )
+            table.write(rows, batch_id)
+            if learn is not None:
+                learn(rows)
+        table.commit(batch_id)
 
     return (
         files.writeStream.foreachBatch(append)
@@ -92,15 +93,48 @@ def ingest_by_position(
 
 def read_bronze(spark: SparkSession, source: Source, folder: str) -> DataFrame:
     """Batch read of a bronze table under its declared columns."""
-    stored = spark.read.schema(source.bronze_schema).parquet(folder)
-    return stored.drop(BATCH)
+    if _by_manifest(spark, source, folder):
+        return CommittedTable(spark, folder).read(source.bronze_schema)
+    return spark.read.schema(source.bronze_schema).parquet(folder)
 
 
 def stream_bronze(spark: SparkSession, source: Source, folder: str) -> DataFrame:
-    """Stream of the rows appended to a bronze table: its change feed, as it only ever appends."""
+    """Stream of the files of a bronze folder, for tables of the positional ingest, whose sink logs its files itself."""
     return spark.readStream.schema(source.bronze_schema).parquet(folder).drop(BATCH)
 
 
+def follow_bronze(
+    spark: SparkSession,
+    source: Source,
+    folder: str,
+    handle: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    name: str | None = None,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Call ``handle(rows, id)`` with what is new in a bronze table: its change feed, as it only ever appends.
+
+    Batches of the by-name ingest are followed by their manifests, so that none is seen twice or in part.
+    """
+    if _by_manifest(spark, source, folder):
+        return CommittedTable(spark, folder).follow(source.bronze_schema, handle, checkpoint, name, trigger)
+    writer = stream_bronze(spark, source, folder).writeStream.foreachBatch(handle)
+    writer = writer.queryName(name) if name else writer
+    return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or ONE_RUN)).start()
+
+
+def _by_manifest(spark: SparkSession, source: Source, folder: str) -> bool:
+    """Whether a table has manifests, or nothing yet; files without any come from the positional ingest."""
+    if CommittedTable(spark, folder).exists():
+        return True
+    try:
+        return not spark.read.schema(source.bronze_schema).parquet(folder).inputFiles()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return True
+
+
 def start_all(
     spark: SparkSession,
     landing: str,

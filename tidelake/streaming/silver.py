@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from collections import Counter
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidelake.operators.expectations import drop_failing, guard, observed_stream, outcomes, rules_for
+from tidelake.operators.expectations import drop_failing, guard, observed, outcomes, rules_for
 from tidelake.plans import silver
+from tidelake.sources.commits import CommittedTable
 from tidelake.sources.eventlog import EventLog
 from tidelake.sources.landing import SOURCES
-from tidelake.streaming.bronze import ONE_RUN, stream_bronze
+from tidelake.streaming.bronze import follow_bronze
 
 FEEDS = {
     "sv_orders": "orders",
@@ -23,13 +23,13 @@ FEEDS = {
 }
 
 
-def transform(dataset: str, feed: DataFrame) -> DataFrame:
-    """Streaming plan of a silver table: typed, counted, then rid of rows its rules drop."""
+def transform(dataset: str, rows: DataFrame) -> tuple[DataFrame, Observation | None]:
+    """A batch of a silver table: typed, counted, then rid of rows its rules drop."""
     if dataset == "sv_quarantine_orders":
-        return silver.quarantined_orders(feed)
+        return silver.quarantined_orders(rows), None
     rules = rules_for(dataset)
-    counted = observed_stream(silver.ROW_WISE[dataset](feed), rules, dataset)
-    return guard(drop_failing(counted, rules), rules, dataset)
+    counted, observation = observed(silver.ROW_WISE[dataset](rows), rules, dataset)
+    return guard(drop_failing(counted, rules), rules, dataset), observation
 
 
 def refresh(
@@ -39,43 +39,41 @@ def refresh(
     target: str,
     checkpoint: str,
     trigger: dict | None = None,
+    log: EventLog | None = None,
 ) -> StreamingQuery:
-    """Append what is new in bronze. Clean rows and quarantine are two streams of one feed."""
-    source = SOURCES[FEEDS[dataset]]
-    feed = stream_bronze(spark, source, f"{bronze}/br_{source.name}")
-    return (
-        transform(dataset, feed)
-        .writeStream.format("parquet")
-        .outputMode("append")
-        .queryName(dataset)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or ONE_RUN))
-        .start(target)
-    )
+    """Append what is new in bronze. Clean rows and quarantine are two streams of one feed.
+
+    Expectation counts are taken while the rows are written and stand in the batch's manifest; the event log
+    gets them under the batch's own name, so neither a restart nor a replay loses or doubles them.
+    """
+    source, table = SOURCES[FEEDS[dataset]], CommittedTable(spark, target)
+
+    def append(rows: DataFrame, batch_id: int) -> None:
+        if table.has(batch_id):
+            return
+        frame, observation = transform(dataset, rows)
+        table.write(frame, batch_id)
+        found = observation.get if observation else {}
+        if log is not None and found:
+            log.append("silver", outcomes(found, rules_for(dataset), dataset), name=f"{dataset}-{batch_id}")
+        table.commit(batch_id, found)
+
+    return follow_bronze(spark, source, f"{bronze}/br_{source.name}", append, checkpoint, dataset, trigger)
 
 
-def counts(query: StreamingQuery, dataset: str) -> dict[str, int]:
-    """Expectation counters of all batches this run of the query went through."""
-    total: Counter[str] = Counter()
-    for progress in query.recentProgress:
-        row = progress["observedMetrics"].get(dataset)
-        if row is not None:
-            total.update(row.asDict() if hasattr(row, "asDict") else dict(row))
-    return dict(total)
+def counts(spark: SparkSession, target: str) -> dict[str, int]:
+    """Expectation counters of all batches of a table, whichever runs brought them."""
+    found = CommittedTable(spark, target).counts().groupBy("counter").agg(F.sum("n").alias("n"))
+    return {r.counter: r.n for r in found.collect()}
 
 
 def refresh_all(
     spark: SparkSession, bronze: str, silver_root: str, checkpoints: str, log: EventLog | None = None
 ) -> None:
     """Bring all row-wise tables up to date and log their expectation counts."""
-    queries = {
-        dataset: refresh(
-            spark, dataset, bronze, f"{silver_root}/{dataset}", f"{checkpoints}/{dataset}"
-        )
+    queries = [
+        refresh(spark, dataset, bronze, f"{silver_root}/{dataset}", f"{checkpoints}/{dataset}", log=log)
         for dataset in FEEDS
-    }
-    for dataset, query in queries.items():
+    ]
+    for query in queries:
         query.awaitTermination()
-        found = counts(query, dataset)
-        if log is not None and found:
-            log.append("silver", outcomes(found, rules_for(dataset), dataset))
