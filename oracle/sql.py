@@ -577,6 +577,52 @@ RELATIONS = (
 )
 
 
+# Columns of the landed files.
+SOURCE_COLUMNS = {
+    "orders": "order_id customer_id order_status order_purchase_timestamp order_approved_at order_delivered_carrier_date"
+    " order_delivered_customer_date order_estimated_delivery_date",
+    "order_items": "order_id order_item_id product_id seller_id shipping_limit_date price freight_value",
+    "customers": "customer_id customer_unique_id customer_zip_code_prefix customer_city customer_state",
+    "sellers": "seller_id seller_zip_code_prefix seller_city seller_state",
+    "products": "product_id product_category_name product_name_lenght product_description_lenght product_photos_qty product_weight_g"
+    " product_length_cm product_height_cm product_width_cm",
+    "payments": "order_id payment_sequential payment_type payment_installments payment_value",
+    "reviews": "review_id order_id review_score review_comment_title review_comment_message review_creation_date review_answer_timestamp",
+    "geolocation": "geolocation_zip_code_prefix geolocation_lat geolocation_lng geolocation_city geolocation_state",
+    "category_translation": "product_category_name product_category_name_english",
+}
+
+
+def _digits(text: str) -> str:
+    """The first eight hexadecimal digits of a digest as a number."""
+    return f"CAST('0x' || substr(md5(CAST({text} AS VARCHAR)), 1, 8) AS BIGINT)"
+
+
+def _digest(source: str, columns: str) -> str:
+    whole = "concat_ws('|', " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in columns.split()) + ")"
+    return f"SELECT '{source}' AS source, count(*) AS rows, CAST(sum({_digits(whole)}) AS BIGINT) AS digest FROM br_{source}"
+
+
+def _inferred() -> str:
+    """Types after each of three landings: whole numbers, then decimals, then texts among the values."""
+    landed = """(SELECT *, CASE WHEN part = 0 THEN CAST(CAST(trunc(payment_value) AS BIGINT) AS VARCHAR)
+                              WHEN part = 2 AND k % 5 = 0 THEN 'n/a' ELSE CAST(payment_value AS VARCHAR) END AS amount
+                  FROM (SELECT *, CASE WHEN order_id LIKE 'x%' THEN 2 ELSE CAST(ltrim(order_id, 'x') AS BIGINT) % 3 END AS part,
+                               CAST(ltrim(order_id, 'x') AS BIGINT) AS k FROM br_payments))"""
+    columns = {
+        "order_id": "order_id", "payment_sequential": "payment_sequential", "payment_type": "payment_type",
+        "payment_installments": "payment_installments", "payment_value": "amount",
+    }
+    return " UNION ALL ".join(
+        f"""SELECT {last} AS landing, '{name}' AS column_name,
+                   CASE WHEN bool_and(regexp_full_match(CAST({source} AS VARCHAR), '[0-9]+')) THEN 'bigint'
+                        WHEN bool_and(regexp_full_match(CAST({source} AS VARCHAR), '[0-9]+([.][0-9]+)?')) THEN 'decimal(38,9)'
+                        ELSE 'string' END AS type,
+                   count(*) AS rows FROM {landed} WHERE part <= {last}"""
+        for last in range(3) for name, source in columns.items()
+    )
+
+
 _SPOILED_ORDERS = """(SELECT CASE WHEN k % 110 = 1 THEN NULL ELSE order_id END AS order_id,
                          CASE WHEN k % 70 = 5 THEN NULL ELSE customer_id END AS customer_id,
                          CASE WHEN k % 90 = 7 THEN 'mystery' WHEN k % 95 = 9 THEN NULL ELSE order_status END AS order_status,
@@ -777,6 +823,67 @@ def _statements() -> dict[str, str]:
                 CASE WHEN CAST(order_id AS BIGINT) % 9 = 0 THEN _ingested_at + INTERVAL 1 DAY
                      ELSE _ingested_at END AS _ingested_at)
             FROM br_orders""",
+        "csv_inferred": _inferred(),
+        "csv_all_sources": " UNION ALL ".join(_digest(name, columns) for name, columns in SOURCE_COLUMNS.items()),
+        "csv_audit": """
+            SELECT 'sellers' AS _source_system, count(*) AS rows, count(*) AS with_file, count(*) AS with_time FROM br_sellers""",
+        "landing_gate": "SELECT * FROM (VALUES ('orders', 5::BIGINT), ('sellers', 0), ('products', -1)) AS v(source, files)",
+        "drop_rules": " UNION ALL ".join(
+            f"SELECT '{dataset}' AS dataset, '{column}' AS column_name, count(*) FILTER (WHERE {_digits(column)} % 50 <> 0) AS kept,"
+            f" 0::BIGINT AS without FROM {_before_rules(dataset)}"
+            for dataset, column in (
+                ("sv_order_items", "order_id"), ("sv_order_items", "order_item_id"), ("sv_payments", "order_id"),
+                ("sv_reviews", "review_id"), ("sv_reviews", "order_id"), ("sv_customer_keys", "customer_id"),
+                ("sv_customer_keys", "customer_unique_id"),
+            )
+        ),
+        "fail_rules": " UNION ALL ".join(
+            f"SELECT '{dataset}' AS dataset, '{rule}' AS expectation, 'refused' AS outcome, count(*) AS rows FROM {dataset}"
+            for dataset, rule in (
+                ("dim_seller", "unique_seller"), ("dim_product", "unique_product"), ("dim_customer", "unique_person"),
+                ("fct_order_items", "valid_sk"), ("fct_payments", "valid_sk"), ("fct_reviews", "valid_sk"),
+            )
+        ),
+        "null_keys": " UNION ALL ".join(
+            f"SELECT '{dataset}' AS dataset, count({what}) AS rows FROM {source} WHERE {_digits(key)} % 4 <> 0"
+            for dataset, source, key, what in (
+                ("sv_category_translation", "br_category_translation", "product_category_name", "*"),
+                ("sv_geolocation", "br_geolocation", "geolocation_zip_code_prefix", "DISTINCT geolocation_zip_code_prefix"),
+                ("sv_customers", "br_customers", "customer_unique_id", "DISTINCT customer_unique_id"),
+            )
+        ),
+        "stream_quarantine": """
+            SELECT 'sv_orders' AS "table", 'clean' AS reason, count(*) AS rows FROM sv_orders
+            UNION ALL SELECT 'sv_quarantine_orders', _quarantine_reason, count(*) FROM sv_quarantine_orders GROUP BY 2""",
+        "report_order": " UNION ALL ".join(
+            f"SELECT '{report}' AS report, CAST(row_number() OVER (ORDER BY {order}) AS INT) AS position, {key} AS key FROM ({source})"
+            for report, source, key, order in (
+                ("months", "SELECT * FROM mart_monthly_revenue WHERE orders > 100", "year_month", "year_month"),
+                ("delays", _DELAY_SCORE, "delay_bucket", "sort_key"),
+                ("states", _STATE_REVENUE, "customer_state", "gmv DESC, customer_state"),
+                ("state tile", _STATE_REVENUE, "customer_state", "gmv DESC, customer_state"),
+                ("worst sellers", _WORST, "seller_id", "late_pct DESC, seller_id"),
+                ("seller table", _WORST, "seller_id", "avg_delivery_days NULLS FIRST, avg_review_score NULLS FIRST, seller_id"),
+                ("changes", """SELECT product_id || '@' || CAST(CAST("__START_AT" AS DATE) AS VARCHAR) AS k, product_id, "__START_AT"
+                    FROM sv_products_history WHERE product_id IN (
+                        SELECT product_id FROM sv_products_history GROUP BY product_id HAVING count(*) > 1)
+                    ORDER BY product_id, "__START_AT" LIMIT 40""", "k", 'product_id, "__START_AT"'),
+            )
+        ),
+        "layout_skipping": " UNION ALL ".join(
+            f"SELECT '{layout}' AS layout, '{kind}' AS filter, {skips} AS skips_half, count(*) FILTER (WHERE {hit}) AS rows FROM fct_order_items"
+            for layout, kind, skips in (("ranges", "month", True), ("ranges", "seller", False), ("curve", "month", True), ("curve", "seller", True))
+            for hit in ["order_purchase_timestamp BETWEEN TIMESTAMP '1996-03-01' AND TIMESTAMP '1996-04-01'" if kind == "month" else "seller_id = '7'"]
+        ),
+        "sql_views": """
+            SELECT customer_state, left(min(customer_unique_id), 4) || '***REDACTED***' AS first_person, count(DISTINCT order_id) AS orders
+            FROM fct_order_items f JOIN dim_customer c ON c.customer_sk = f.customer_sk GROUP BY customer_state""",
+        "asof_hot_key": f"""
+            WITH log AS (SELECT event_id, CASE WHEN user_id % 3 = 0 THEN 0 ELSE user_id END AS user_id, event_type, ts FROM events),
+            held AS ({ordered_versions("(SELECT user_id, event_type, ts FROM log)", "user_id", "event_type", "ts")})
+            SELECT l.event_id, l.user_id, l.ts - INTERVAL 1 DAY AS asked_at, h.event_type, h."__START_AT" AS version_start
+            FROM log l LEFT JOIN held h ON h.user_id = l.user_id AND l.ts - INTERVAL 1 DAY >= h."__START_AT"
+             AND (h."__END_AT" IS NULL OR l.ts - INTERVAL 1 DAY < h."__END_AT")""",
         "scd2_incremental": "SELECT * FROM sv_products_history",
         "scd2_hot_key": ordered_versions(
             "(SELECT CASE WHEN user_id % 3 = 0 THEN 0 ELSE user_id END AS user_id, event_type, ts FROM events)",

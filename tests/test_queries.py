@@ -16,7 +16,8 @@ FOLDER = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not FOLDER.exists(), reason="driver tables not present")
 RUNS_JOBS = {
     "csv_ingest", "csv_drift", "csv_awkward_files", "csv_reviews", "scd2_incremental", "scd2_three_batches", "scd2_hot_key",
-    "stream_silver_orders", "stream_rule_counts", "stream_spoiled_orders", "layout_report",
+    "stream_silver_orders", "stream_rule_counts", "stream_spoiled_orders", "layout_report", "csv_inferred", "csv_all_sources", "csv_audit",
+    "landing_gate", "stream_quarantine", "fail_rules", "layout_skipping", "dq_expectation_report", "q07_quality_summary", "grain_report",
 }
 
 

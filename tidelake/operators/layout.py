@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 from os.path import commonprefix
 
 from pyspark.errors import PySparkException
@@ -50,7 +52,7 @@ def curve_place(df: DataFrame, columns: Sequence[str], bits: int = RANK_BITS) ->
     for i, number in enumerate(numbers):
         limits = sorted(set(cuts[f"c{i}"] or []))
         known = F.array(*[F.lit(x) for x in limits]) if limits else F.array().cast("array<double>")
-        bucket = F.coalesce(F.size(F.filter(known, lambda x, n=number: x <= n)), F.lit(0))
+        bucket = F.coalesce(F.size(F.filter(known, partial(operator.ge, number))), F.lit(0))
         for bit in range(bits):
             place = place.bitwiseOR(F.shiftleft(F.shiftright(bucket, bit).bitwiseAND(1), bit * len(columns) + len(columns) - 1 - i))
     return place

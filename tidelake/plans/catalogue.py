@@ -17,7 +17,8 @@ from tidelake.operators.conform import MALFORMED, conform, split_malformed
 from tidelake.operators.integrity import Relation, grain_report, orphan_report, union_all
 from tidelake.operators.layout import optimise
 from tidelake.operators.scd2 import changed_keys, history, sequence_ties
-from tidelake.plans import analytics, dq, security
+from tidelake.plans import analytics, awkward, dq, security
+from tidelake.plans.awkward import as_text
 from tidelake.plans.gold import calendar_days
 from tidelake.plans.lake import Lake
 from tidelake.session import scratch_folder, tune
@@ -171,15 +172,11 @@ def _cities(spark: SparkSession, folder: str) -> DataFrame:
     return named.withColumn("clean", normalise_city(F.col("city")))
 
 
-def _as_text(df: DataFrame) -> DataFrame:
-    return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
-
-
 def _csv_ingest(spark: SparkSession, folder: str) -> DataFrame:
     """All orders written as CSV, landed by the incremental ingest and read back from bronze."""
     tables = DriverTables(tune(spark), folder)
     work, source = scratch_folder(spark, "csv-ingest"), SOURCES["orders"]
-    orders = _as_text(tables["br_orders"].select(*source.columns))
+    orders = as_text(tables["br_orders"].select(*source.columns))
     orders.write.option("header", True).csv(f"{work}/landing/orders")
     for _ in range(2):  # the second run finds nothing new
         ingest(
@@ -194,7 +191,7 @@ def _csv_awkward_files(spark: SparkSession, folder: str) -> DataFrame:
     tables = DriverTables(tune(spark), folder)
     work, source = scratch_folder(spark, "csv-awkward"), SOURCES["sellers"]
     target = f"{work}/landing/sellers"
-    sellers = _as_text(tables["br_sellers"].select(*source.columns))
+    sellers = as_text(tables["br_sellers"].select(*source.columns))
     number = F.col("seller_id").cast("long") % 4
     header = ",".join(source.columns)
 
@@ -226,7 +223,7 @@ def _csv_drift(spark: SparkSession, folder: str) -> DataFrame:
     """Seller files in three shapes: as declared, reordered with an extra column, one missing."""
     tables = DriverTables(tune(spark), folder)
     work, source = scratch_folder(spark, "csv-drift"), SOURCES["sellers"]
-    sellers = _as_text(tables["br_sellers"].select(*source.columns))
+    sellers = as_text(tables["br_sellers"].select(*source.columns))
     number = F.col("seller_id").cast("long")
     shapes = {
         0: sellers,
@@ -252,7 +249,7 @@ def _csv_reviews(spark: SparkSession, folder: str) -> DataFrame:
     tables = DriverTables(tune(spark), folder)
     work, source = scratch_folder(spark, "csv-reviews"), SOURCES["reviews"]
     text = F.concat(F.col("review_comment_message"), F.lit(',\n"second line"'))
-    reviews = _as_text(tables["br_reviews"].select(*source.columns))
+    reviews = as_text(tables["br_reviews"].select(*source.columns))
     spread = reviews.withColumn("review_comment_message", text)
     spread.write.options(header=True, quoteAll=True, escape='"').csv(f"{work}/landing/reviews")
     ingest_by_position(
@@ -264,7 +261,7 @@ def _csv_reviews(spark: SparkSession, folder: str) -> DataFrame:
 
 def _csv_inferred(spark: SparkSession, folder: str) -> DataFrame:
     """Payments landed three times, each time with wider values; the types that hold after each landing, and the rows under them."""
-    payments = _as_text(DriverTables(tune(spark), folder)["br_payments"])
+    payments = as_text(DriverTables(tune(spark), folder)["br_payments"])
     work, source = scratch_folder(spark, "csv-inferred"), SOURCES["payments"]
     number = F.regexp_replace("order_id", "^x", "").cast("bigint")
     landing = F.when(F.col("order_id").startswith("x"), F.lit(2)).otherwise(number % 3)
@@ -292,7 +289,7 @@ def _csv_inferred(spark: SparkSession, folder: str) -> DataFrame:
 def _malformed_orders(spark: SparkSession, folder: str) -> DataFrame:
     """Orders with unreadable dates, set aside with the names of the columns at fault."""
     tables = DriverTables(tune(spark), folder)
-    text = _as_text(tables["br_orders"])
+    text = as_text(tables["br_orders"])
     key = F.expr("cast(order_id as bigint)")
     spoiled = text.withColumns(
         {
@@ -364,7 +361,7 @@ def _spoiled_orders(tables: DriverTables) -> DataFrame:
     """Text orders of which some break each rule that drops rows."""
     key = F.expr("cast(order_id as bigint)")
     status = F.when(key % 90 == 7, F.lit("mystery")).when(key % 95 != 9, F.col("order_status"))
-    return _as_text(tables["br_orders"]).withColumns(
+    return as_text(tables["br_orders"]).withColumns(
         {
             "_key": key,
             "customer_id": F.when(key % 70 != 5, F.col("customer_id")),
@@ -446,6 +443,13 @@ def _layout(spark: SparkSession, folder: str) -> DataFrame:
     return spark.createDataFrame(named, "table string, step string, status string, rows bigint")
 
 
+def _over_lake(build: Callable[[SparkSession, str, Lake], DataFrame]) -> Query:
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        return build(spark, folder, driver_lake(spark, folder))
+
+    return query
+
+
 def _regional(spark: SparkSession, folder: str) -> DataFrame:
     lake = driver_lake(spark, folder)
     return _placed(security.customer_regional(lake["dim_customer"], REGION))
@@ -544,4 +548,10 @@ QUERIES: dict[str, Query] = {
     "stream_rule_counts": _stream_rule_counts,
     "stream_spoiled_orders": _stream_spoiled_orders,
     "layout_report": _layout,
+    **{f.__name__: f for f in (
+        awkward.csv_all_sources, awkward.csv_audit, awkward.landing_gate, awkward.null_keys, awkward.stream_quarantine, awkward.asof_hot_key,
+    )},
+    **{f.__name__: _over_lake(f) for f in (
+        awkward.drop_rules, awkward.fail_rules, awkward.report_order, awkward.layout_skipping, awkward.sql_views,
+    )},
 }
