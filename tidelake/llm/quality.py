@@ -18,8 +18,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidelake.llm.shared import keep
+
 #: Bound of the training sample: about so many labelled rows of each label, by hash.
 ROWS_PER_LABEL = 4_000
+#: Bytes of text that the sample may hold at most; longer texts make it fewer rows.
+SAMPLE_BYTES = 64 << 20
 DICTIONARY_BYTES = 32 << 10
 LEVEL = 3
 #: Long training texts are cut into pieces of this size, so that each is one example; none is dropped.
@@ -86,8 +90,16 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
     if len(sizes) < 2:
         return Model(b"", b"", base)
     share = F.coalesce(*[F.when(F.col("y") == y, F.lit(min(1.0, ROWS_PER_LABEL / n))) for y, n in sizes.items()])
-    marks = marks.filter(F.pmod(F.xxhash64("k", F.lit(8)), F.lit(1 << 20)) < share * (1 << 20))
-    picked = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).filter("t <> ''").join(marks, "k")
+    place = F.pmod(F.xxhash64("k", F.lit(8)), F.lit(1 << 20))
+    marks = marks.filter(place < share * (1 << 20))
+    # the same test on the documents, with the larger share: no more than the sample moves
+    largest = max(min(1.0, ROWS_PER_LABEL / n) for n in sizes.values())
+    texts = docs.select(F.col(key).cast(marks.schema["k"].dataType).alias("k"), F.col(text).alias("t"))
+    picked = keep(texts.filter("t <> ''").filter(place < largest * (1 << 20)).join(marks, "k").withColumn("place", place), "labelled-sample")
+    held = picked.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
+    if held > SAMPLE_BYTES:  # long texts: fewer of both labels
+        part = share * (SAMPLE_BYTES / held)
+        picked = picked.filter(F.col("place") < part * (1 << 20))
     rows = sorted(picked.select("k", "t", "y", F.pmod(F.xxhash64("k", F.lit(9)), F.lit(2)).alias("h")).collect())
     halves = {(y, h): [r.t for r in rows if (r.y, r.h) == (y, h)] for y in (0, 1) for h in (0, 1)}
     if not all(halves[y, h] for y in (0, 1) for h in (0, 1)):
@@ -103,7 +115,8 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:
-    """All rows and columns, with the probability of a good label."""
+    """All rows and columns, with the probability of a good label; a column of that name is replaced."""
+    docs = docs.drop(out)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # two dictionaries of DICTIONARY_BYTES
     schema = T.StructType([*docs.schema, T.StructField(out, T.DoubleType())])
 
