@@ -3,34 +3,51 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidelake.llm import language, minhash, pieces, suffixes, templates
 from tidelake.llm.shared import keep, table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a recognised language; those without a letter or with an uncertain prediction go."""
-    found = language.identify(docs, language.train(docs))
-    return found.filter(language.certain(found)).select(*docs.columns)
+    """Documents with a recognised language; those without a letter or with an uncertain prediction go.
+
+    Null and empty texts go; repeated rows are judged alike; columns pass through under any name; an empty table stays empty.
+    """
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "text")
+    found = language.identify(rows, language.train(docs))
+    return found.filter(language.certain(found)).select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: five-word shingles, similarity 0.8 or more."""
+    """One document of each group of near-duplicates: five-word shingles, similarity 0.8 or more.
+
+    Null and empty texts and rows without an id stay; of rows with one id and text one stays; an empty table stays empty.
+    """
     return minhash.deduplicate(docs, words=5, percent=80)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later copies of passages of 200 bytes and more are cut out of the texts; ``n_chars`` follows."""
+    """Later copies of passages of 200 bytes and more are cut out of the texts; ``n_chars`` follows.
+
+    Every row stays, null and short texts as they are; of equal copies the one with the smallest id is the first.
+    """
     return suffixes.remove_repeats(docs, length=200, size="n_chars")
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without passages of the benchmark, re-parameterised ones included."""
+    """Documents without passages of the benchmark, re-parameterised ones included.
+
+    Null and empty texts and rows without an id stay; an empty benchmark removes nothing.
+    """
     return templates.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def segmentations(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Two distinct sampled segmentations of each document: piece ids and scores."""
+    """Two distinct sampled segmentations of each document: piece ids and scores.
+
+    A null text counts as empty and has one segmentation, without pieces; fewer than two where a text has no second.
+    """
     import public_tokenizers
 
     found = pieces.segmentations(docs, public_tokenizers.path("piece_bpe_32k.model"), k=2)
