@@ -43,6 +43,8 @@ SKETCH_BITS = 2048
 #: Standard deviations by which a sketch may miss the threshold.
 SKETCH_MARGIN = 5.0
 BLOCK = 256
+#: Ids of eight bytes that are broadcast at most.
+BROADCAST_IDS = 500_000
 #: Rounds in which each document outside its bucket's largest component is compared with one other.
 CLOSEST_ROUNDS = 2
 
@@ -135,31 +137,35 @@ def _blocks(n, size: int = BLOCK):
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` that are links. Each task streams a leader's text and then its members'."""
-    sizes = pairs.groupBy("a").agg(F.count("*").alias("m"))
-    pairs = pairs.join(sizes, "a").select("a", "b", "da", "db", F.pmod(F.xxhash64("b"), _blocks(F.col("m"))).alias("block"))
+    """The pairs ``(a, b)`` that are links. Each task streams a leader's text and then its members'.
+
+    A leader is told by its class digest as well as its id, as rows may share an id.
+    """
+    sizes = pairs.groupBy("a", "da").agg(F.count("*").alias("m"))
+    block = F.pmod(F.xxhash64("b"), _blocks(F.col("m"))).alias("block")
+    pairs = pairs.join(sizes, ["a", "da"]).select("a", "da", "b", "db", block)
     wanted = (
-        pairs.select("a", "block", F.col("a").alias("id"), F.col("da").alias("digest"), F.lit(0).alias("role"))
+        pairs.select("a", "da", "block", F.col("a").alias("id"), F.col("da").alias("digest"), F.lit(0).alias("role"))
         .distinct()
-        .unionByName(pairs.select("a", "block", F.col("b").alias("id"), F.col("db").alias("digest"), F.lit(1).alias("role")))
+        .unionByName(pairs.select("a", "da", "block", F.col("b").alias("id"), F.col("db").alias("digest"), F.lit(1).alias("role")))
     )
-    # the class digest tells rows apart that share an id
-    rows = docs.join(wanted, "id").select("a", "block", "role", "id", "digest", "t")
-    rows = rows.repartition("a", "block").sortWithinPartitions("a", "block", "role")
+    wanted = keep(wanted, "wanted-texts")
+    rows = _only(docs, wanted.select("id").distinct()).join(wanted, "id").select("a", "da", "block", "role", "id", "digest", "t")
+    rows = rows.repartition("a", "da", "block").sortWithinPartitions("a", "da", "block", "role")
     schema = arrow_schema(T.StructType.fromDDL("a bigint, b bigint"))
 
     def check(parts):
         leader, at = None, None
         for part in parts:
             linked = []
-            for a, block, role, b, digest, t in zip(*(part.column(c).to_pylist() for c in ("a", "block", "role", "id", "digest", "t"))):
-                if role and (a, block) != at:
+            for a, da, block, role, b, digest, t in zip(*(part.column(c).to_pylist() for c in ("a", "da", "block", "role", "id", "digest", "t"))):
+                if role and (a, da, block) != at:
                     continue
                 found = shingles(t, words)
                 if xxhash.xxh3_128_digest(found.tobytes()) != digest:
                     continue
                 if not role:
-                    leader, at = found, (a, block)
+                    leader, at = found, (a, da, block)
                     continue
                 place = np.minimum(np.searchsorted(leader, found), len(leader) - 1)
                 both = int((leader[place] == found).sum())
@@ -170,6 +176,12 @@ def _verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
     return rows.mapInArrow(check, "a bigint, b bigint")
 
 
+def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The documents of these ids, without moving the others if the ids are few enough to be handed to every task."""
+    ids = keep(ids, "wanted-ids")
+    return docs.join(F.broadcast(ids), "id", "left_semi") if ids.count() <= BROADCAST_IDS else docs
+
+
 def _near(a, b, percent: int):
     """Sizes and sketches do not rule the pair out."""
     n, m = a.n.cast("double"), b.n.cast("double")
@@ -226,13 +238,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, key: str
     signed = keep(signatures(docs, words, key, text), "signatures")
     classes = signed.filter("digest IS NOT NULL AND id IS NOT NULL").groupBy("digest").agg(F.min("id").alias("rep"))
     classes = keep(classes, "classes")
-    ones = signed.join(classes.select("digest", F.col("rep").alias("id")), ["digest", "id"], "left_semi")
-    ones = keep(ones.dropDuplicates(["digest"]), "representatives")
+    ones = signed.join(classes.select("digest", F.col("rep").alias("id")), ["digest", "id"], "left_semi").dropDuplicates(["digest", "id"])
     texts = docs.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("t"))
     buckets = ones.select("id", F.explode("bands").alias("bucket"))
     led = buckets.groupBy("bucket").agg(F.min("id").alias("a"), F.count("*").alias("members")).filter("members > 1")
     buckets = keep(buckets.join(led, "bucket"), "buckets")
-    sketches = ones.select("id", "digest", "n", "sketch")
+    # sketches of those that share a bucket, which few do
+    shared = ones.select("id", "digest", "n", "sketch").join(buckets.select("id").distinct(), "id", "left_semi")
+    sketches = keep(shared, "sketches")
 
     def candidates(pairs: DataFrame) -> DataFrame:
         a = sketches.select(F.col("id").alias("a"), F.col("digest").alias("da"), F.struct("n", "sketch").alias("xa"))
@@ -279,9 +292,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, key: str
 
 
 def deduplicate(docs: DataFrame, words: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents without later members of a group; rows that share an id stay or go together, except that a
-    row stays if any row of its id is kept."""
-    found = keep(near_duplicates(docs, words, percent, key, text), "near-duplicates")
-    staying = found.filter("kept").select(F.col("id").alias(key)).distinct()
-    going = found.filter("NOT kept").select(F.col("id").alias(key)).distinct().join(staying, key, "left_anti")
-    return docs.join(going, key, "left_anti").select(*docs.columns)
+    """The documents without later members of a group. Rows that share an id stay or go together, except that a
+    row stays if any row of its id is kept; of rows that share id and text one stays."""
+    found = near_duplicates(docs, words, percent, key, text)
+    marks = found.groupBy(F.col("id").alias("__id")).agg(F.bool_or("kept").alias("__kept"), F.count("*").alias("__rows"))
+    marks = keep(marks.filter("__id IS NOT NULL AND (NOT __kept OR __rows > 1)"), "near-duplicates")
+    marked = docs.join(marks, F.col(key) == F.col("__id"), "left").filter("coalesce(__kept, true)")
+    once = marked.filter("__rows IS NULL OR __rows = 1").select(*docs.columns)
+    return once.unionByName(marked.filter("__rows > 1").select(*docs.columns).dropDuplicates([key, text]))

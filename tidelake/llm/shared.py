@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,15 +19,40 @@ HELD_OUT_FOLDS = 5
 def keep(df: DataFrame, purpose: str) -> DataFrame:
     """Write to a new folder of the shared scratch location and read it back: lineage ends here."""
     spark = df.sparkSession
+    bound_batches(spark)
     path = scratch_folder(spark, purpose)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*frames: DataFrame) -> None:
+    """Remove what ``keep`` wrote, once nothing that is still to be computed reads it."""
+    for df in frames:
+        spark = df.sparkSession
+        for folder in {path.rsplit("/", 1)[0] for path in df.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: What Spark hands to a Python worker at once.
+BATCH_ROWS, BATCH_BYTES = 2_000, 8 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Keep the batches for Python workers small: texts may be long, and a worker holds several copies of a batch."""
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{name}"
+        held = spark.conf.get(key, None)
+        now = int(re.sub(r"\D", "", held)) if held else 0
+        if not held or now <= 0 or not held.isdigit() or now > most:
+            spark.conf.set(key, str(most))
+
+
 def held_out(key: str) -> Column:
     """The fold that no learner sees: crc32 of the id as text, modulo five, is zero. A null id is not held out."""
     remainder = F.crc32(F.col(key).cast("string").cast("binary")) % HELD_OUT_FOLDS
@@ -95,6 +121,7 @@ def components(links: DataFrame, left: str = "a", right: str = "b") -> DataFrame
 
     before = state(edges)
     while before[0]:
+        older = edges
         both = edges.unionByName(edges.select(F.col("u").alias("v"), F.col("v").alias("u")))
         least = both.groupBy("v").agg(F.least(F.min("u"), F.first("v")).alias("m"))
         large = both.filter("u > v").join(least, "v").select(F.col("u").alias("v"), F.col("m").alias("u"))
@@ -105,6 +132,7 @@ def components(links: DataFrame, left: str = "a", right: str = "b") -> DataFrame
             least.select("v", F.col("m").alias("u"))
         )
         edges = keep(small.filter("u < v").distinct(), "small-star")
+        discard(older, large)
         after = state(edges)
         if after == before:
             break
