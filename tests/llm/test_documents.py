@@ -69,6 +69,27 @@ def test_near_duplicate_groups_and_chains_of_links(documents, words):
     assert sorted(((r.id, r.n_shingles, r.component_id) for r in found), key=repr) == brute_components(rows, 2, 80)
 
 
+def test_rows_that_share_an_id_keep_their_links(documents, words):
+    a, b = words(100, 501), words(100, 502)
+
+    def other(text, i):
+        w = text.split(" ")
+        return " ".join([*w[:i], "zz", *w[i + 1 :]])
+
+    rows = [(1, a), (1, b), (2, other(a, 20)), (3, other(b, 30)), (4, other(a, 60)), (5, other(b, 70))]
+    rows = [(i, t, "en") for i, t in rows]
+    found = minhash.near_duplicates(documents(rows), words=5).collect()
+    assert sorted((r.id, r.n_shingles, r.component_id) for r in found) == brute_components(rows, 5, 80)
+    assert {r.component_id for r in found} == {1}
+
+
+def test_copies_under_one_id_go(documents, words):
+    a, b = words(80, 601), words(80, 602)
+    rows = [(1, a, "en"), (1, a, "en"), (2, a, "en"), (3, b, "en"), (3, b, "en"), (3, words(80, 603), "en"), (None, b, "en"), (4, None, "en"), (4, None, "en")]
+    kept = sorted(((r.doc_id, r.text) for r in minhash.deduplicate(documents(rows)).collect()), key=repr)
+    assert kept == sorted([(1, a), (3, b), (3, words(80, 603)), (None, b), (4, None)], key=repr)
+
+
 def test_deduplicate_keeps_columns(documents, corpus):
     docs = documents(corpus)
     kept = minhash.deduplicate(docs, words=5)
@@ -105,7 +126,9 @@ def test_repeated_bytes_equal_brute_force(documents, corpus, monkeypatch, hot):
     assert sorted(found, key=repr) == sorted(want, key=repr)
 
 
-def test_later_copies_go_and_the_first_stays(documents, words):
+@pytest.mark.parametrize("hot", [30_000, 1])
+def test_later_copies_go_and_the_first_stays(documents, words, monkeypatch, hot):
+    monkeypatch.setattr(suffixes, "HOT", hot)
     passage = words(80, 8)
     rows = [(1, words(30, 1) + passage, "en"), (2, passage + words(50, 2), "en"), (3, "ü" + passage + "ü" + words(9, 3), "en"), (4, None, None)]
     raw, cover = repeated(rows, 200, True)
@@ -151,7 +174,7 @@ def test_variable_length_codes():
         assert tokens.unpack(*tokens.pack(values[:n]), n).tolist() == values[:n].tolist()
 
 
-def test_templates_catch_new_values_but_not_inconsistent_ones(spark, documents):
+def test_templates_catch_new_values_where_runs_of_windows_are_consistent(spark, documents):
     item = "If Alice buys 12 apples for 3 dollars and gives 12 of them to her brother Bob then how many apples does Alice still have left"
     items = spark.createDataFrame([(7, item, 1), (8, None, 1), (9, "too short", 1), (None, item, 1)], "item_id bigint, text string, h int")
     swap = item.replace("Alice", "Carla").replace("12", "40").replace("Bob", "Dan").replace("dollars", "euros")
@@ -161,13 +184,35 @@ def test_templates_catch_new_values_but_not_inconsistent_ones(spark, documents):
         (10, "1 2 3 4 5 6 7 8 9 10 11 12 13 14", "en"),
     ]
     found = {(r.doc, r.item): r for r in templates.matches(documents(rows), items).collect()}
-    assert set(found) == {(1, 7), (2, 7), (3, 7)}
+    # one of two equal values changed: windows with either of them are consistent
+    assert set(found) == {(1, 7), (2, 7), (3, 7), (4, 7)}
     assert found[1, 7].same_values and found[1, 7].windows == found[1, 7].of_windows and not found[3, 7].same_values
     kept = templates.decontaminate(documents(rows), items)
-    assert {r.doc_id for r in kept.collect()} == {4, 5, 6, 10, None}
+    assert {r.doc_id for r in kept.collect()} == {5, 6, 10, None}
     assert templates.matches(documents(rows), items.limit(0)).count() == 0
 
 
+def test_templates_take_slots_by_runs_of_windows(spark, documents):
+    """Equal values that are far apart change independently; within one window they must not."""
+    far = "when 12 red boxes stand in a long row beside the old garden wall and later on 12 small birds come to sit there"
+    near = "if 12 plus 12 apples are put on the big table near the door then how many are there now"
+    items = spark.createDataFrame([(1, far), (2, near)], "item_id bigint, text string")
+    rows = [
+        (1, far.replace("12 red", "40 red").replace("12 small", "15 small"), "en"), (2, near.replace("12 plus 12", "9 plus 9"), "en"),
+        (3, "if 12 plus 13 apples are put", "en"), (4, near.replace("12 plus 12", "9 plus 8"), "en"),
+    ]
+    found = {(r.doc, r.item) for r in templates.matches(documents(rows), items).collect()}
+    # the windows of the last one that hold no number are copies as they are
+    assert found == {(1, 1), (2, 2), (4, 2)}
+
+
+def test_windows_are_told_apart_by_content_alone():
+    words = np.random.default_rng(1).integers(1, 1 << 63, 40, dtype=np.uint64)
+    none = np.zeros(120, np.uint64)
+    h, place, _ = templates.windows(np.concatenate([words, words, words]), none, 10)
+    assert (h[:30] == h[40:70]).all() and (h[:30] == h[80:110]).all() and len(set(h.tolist())) == 40 and place.tolist() == list(range(111))
+
+
 def test_templates_catch_values_that_coincide_and_longer_names(spark, documents):
     """Unlike values that become equal, a name of two words; number-dense and short items as they are, and with other numbers."""
     fruit = "when anna has 3 apples and 5 pears in one basket then how many pieces of fruit are there"

@@ -245,6 +245,13 @@ def planted_words(i, text):
     return words
 
 
+def test_planted_repetitions_of_odd_texts(documents):
+    hit = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 10 == 0]
+    rows = list(zip(hit, [None, "", " \n", "one", "one two three", "a b c d e f g h i j k l m n o p q r s t u v w x y z"], ["x"] * 6)) + [(None, "a b", "x")]
+    got = {r.doc_id: r.text for r in runs.planted(documents(rows)).collect()}
+    assert {i: WORD.findall(t or "") for i, t in got.items()} == {i: planted_words(i, t) if i is not None else ["a", "b"] for i, t, _ in rows}
+
+
 def test_query_12_equals_brute_force(spark):
     docs = pq.read_table(f"{SMALL}/documents.parquet").to_pylist()
     got = {r.doc_id: tuple(r)[1:] for r in queries.op12_runs(spark, SMALL).collect()}

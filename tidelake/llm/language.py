@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelake.llm.shared import arrow_schema, batch, mix
+from tidelake.llm.shared import arrow_schema, batch, mix, tidied
 
 BUCKET_BITS = 16
 LENGTHS = 3
@@ -94,7 +94,7 @@ def train(rows: DataFrame, text: str = "text", language: str = "lang", key: str
             yield batch(schema, [l] * len(seen), seen, n[seen])
 
     # at most 2**BUCKET_BITS rows for each language reach the driver
-    found = sample.select("t", "l").mapInArrow(count, "l string, b int, n bigint")
+    found = sample.select("t", "l").mapInArrow(tidied(count), "l string, b int, n bigint")
     found = found.groupBy("l", "b").agg(F.sum("n").alias("n")).toArrow()
     languages = sorted(sizes)
     matrix = np.zeros((1 << BUCKET_BITS, len(languages)))
@@ -106,7 +106,8 @@ def train(rows: DataFrame, text: str = "text", language: str = "lang", key: str
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text", out: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
-    """All rows and columns, with the predicted language and its probability."""
+    """All rows and columns, with the predicted language and its probability; columns of these names are replaced."""
+    docs = docs.drop(*out)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 2**BUCKET_BITS floats for each language
     schema = T.StructType([*docs.schema, T.StructField(out[0], T.StringType()), T.StructField(out[1], T.DoubleType())])
 
@@ -116,7 +117,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text", out: tuple[str,
             names, scores = pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())
             yield part.append_column(out[0], names).append_column(out[1], scores)
 
-    return docs.mapInArrow(predict, schema)
+    return docs.mapInArrow(tidied(predict), schema)
 
 
 def certain(found: DataFrame, least: float = 0.5) -> Column:

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelake.llm.shared import arrow_schema, batch, components, keep, mix, whole_groups
+from tidelake.llm.shared import arrow_schema, batch, components, keep, mix, small, tidied, whole_groups
 
 BANDS, ROWS = 24, 4
 SAMPLES = BANDS * ROWS
@@ -43,8 +43,6 @@ SKETCH_BITS = 2048
 #: Standard deviations by which a sketch may miss the threshold.
 SKETCH_MARGIN = 5.0
 BLOCK = 256
-#: Ids of eight bytes that are broadcast at most.
-BROADCAST_IDS = 500_000
 #: Rounds in which each document outside its bucket's largest component is compared with one other.
 CLOSEST_ROUNDS = 2
 
@@ -129,7 +127,7 @@ def signatures(docs: DataFrame, words: int, key: str = "doc_id", text: str = "te
                 sketch.append(odd_sketch(found))
             yield batch(schema, part.column("id"), n, digest, bands, sketch)
 
-    return docs.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("t")).mapInArrow(sign, _SIGNED)
+    return docs.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("t")).mapInArrow(tidied(sign), _SIGNED)
 
 
 def _blocks(n, size: int = BLOCK):
@@ -150,7 +148,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
         .unionByName(pairs.select("a", "da", "block", F.col("b").alias("id"), F.col("db").alias("digest"), F.lit(1).alias("role")))
     )
     wanted = keep(wanted, "wanted-texts")
-    rows = _only(docs, wanted.select("id").distinct()).join(wanted, "id").select("a", "da", "block", "role", "id", "digest", "t")
+    rows = docs.join(small(keep(wanted.select("id").distinct(), "wanted-ids")), "id", "left_semi").join(wanted, "id").select("a", "da", "block", "role", "id", "digest", "t")
     rows = rows.repartition("a", "da", "block").sortWithinPartitions("a", "da", "block", "role")
     schema = arrow_schema(T.StructType.fromDDL("a bigint, b bigint"))
 
@@ -173,13 +171,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
                     linked.append((a, b))
             yield batch(schema, [x[0] for x in linked], [x[1] for x in linked])
 
-    return rows.mapInArrow(check, "a bigint, b bigint")
-
-
-def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The documents of these ids, without moving the others if the ids are few enough to be handed to every task."""
-    ids = keep(ids, "wanted-ids")
-    return docs.join(F.broadcast(ids), "id", "left_semi") if ids.count() <= BROADCAST_IDS else docs
+    return rows.mapInArrow(tidied(check), "a bigint, b bigint")
 
 
 def _near(a, b, percent: int):
@@ -227,7 +219,7 @@ def _cross_pairs(mixed: DataFrame, percent: int, closest: bool) -> DataFrame:
             if left:
                 yield batch(schema, np.concatenate(left), np.concatenate(right), np.concatenate(differing).astype(np.int32))
 
-    found = cells.mapInArrow(compare, found_schema)
+    found = cells.mapInArrow(tidied(compare), found_schema)
     if closest:
         found = found.groupBy("id").agg(F.min(F.struct("bits", "other")).alias("best")).select("id", "best.other")
     return found.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).filter("a < b").distinct()
@@ -297,6 +289,6 @@ def deduplicate(docs: DataFrame, words: int = 5, percent: int = 80, key: str = "
     found = near_duplicates(docs, words, percent, key, text)
     marks = found.groupBy(F.col("id").alias("__id")).agg(F.bool_or("kept").alias("__kept"), F.count("*").alias("__rows"))
     marks = keep(marks.filter("__id IS NOT NULL AND (NOT __kept OR __rows > 1)"), "near-duplicates")
-    marked = docs.join(marks, F.col(key) == F.col("__id"), "left").filter("coalesce(__kept, true)")
+    marked = docs.join(small(marks), F.col(key) == F.col("__id"), "left").filter("coalesce(__kept, true)")
     once = marked.filter("__rows IS NULL OR __rows = 1").select(*docs.columns)
     return once.unionByName(marked.filter("__rows > 1").select(*docs.columns).dropDuplicates([key, text]))

@@ -366,7 +366,8 @@ def train(pages: DataFrame, key: str = "page_id", html: str = "html") -> Field:
 
 
 def extract(pages: DataFrame, field: Field, html: str = "html", out: str = "text") -> DataFrame:
-    """All rows and columns, with the main text."""
+    """All rows and columns, with the main text; a column of that name is replaced."""
+    pages = pages.drop(out)
     shared = pages.sparkSession.sparkContext.broadcast(field)  # a few thousand weights
     schema = T.StructType([*pages.schema, T.StructField(out, T.StringType())])
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +55,28 @@ def bound_batches(spark: SparkSession) -> None:
             spark.conf.set(key, str(most))
 
 
+def tidied(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """The work of a task, after which its worker gives free memory back: workers live on and serve later stages."""
+
+    def run(parts):
+        yield from work(parts)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+            libc.malloc_trim(0)
+
+    return run
+
+
+#: Ids of eight bytes that are broadcast at most.
+BROADCAST_IDS = 500_000
+
+
+def small(ids: DataFrame) -> DataFrame:
+    """A written table of ids, marked for broadcast if it is counted to be small enough."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
 def held_out(key: str) -> Column:
     """The fold that no learner sees: crc32 of the id as text, modulo five, is zero. A null id is not held out."""
     remainder = F.crc32(F.col(key).cast("string").cast("binary")) % HELD_OUT_FOLDS

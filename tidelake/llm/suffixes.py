@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelake.llm.shared import arrow_schema, batch, keep, mix, whole_groups
+from tidelake.llm.shared import arrow_schema, batch, keep, mix, tidied, whole_groups
 
 GRAM = 32
 #: So many different runs of one gram are compared in one task (about 20 MB).
@@ -135,12 +135,10 @@ def repeated_windows(group, position, before, after, context: list[bytes], lengt
         lcp = np.append(0, np.where(group[live[1:]] == group[live[:-1]], lcp, 0))
         if lcp.max() < length:
             continue
-        hit = factors(live, lcp, position, length) >= length if keep_first else np.zeros(n, bool)
-        if not keep_first:
-            equal = lcp == length
-            hit[live[equal]] = True
-            hit[live[np.append(equal[1:], False)]] = True
-        hit = np.flatnonzero(hit)
+        longest = factors(live, lcp, position, length)
+        if not keep_first:  # with places counted from the end, previous factors are next ones
+            longest = np.maximum(longest, factors(live, lcp, n - position, length))
+        hit = np.flatnonzero(longest >= length)
         rows.append(hit)
         offsets.append(np.full(len(hit), c))
     if not rows:
@@ -186,7 +184,7 @@ def _runs(rows: DataFrame, length: int) -> DataFrame:
                 joined = [np.concatenate(o) if o and isinstance(o[0], np.ndarray) else o for o in out]
                 yield batch(schema, *joined)
 
-    return rows.mapInArrow(find, _RUN)
+    return rows.mapInArrow(tidied(find), _RUN)
 
 
 def repeated_spans(docs: DataFrame, length: int = 200, keep_first: bool = True, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -241,7 +239,7 @@ def _by_suffixes(context: DataFrame, length: int, keep_first: bool) -> DataFrame
             end = np.append(begin[1:], len(row)) - 1 if len(begin) else begin
             yield batch(schema, ids.take(pa.array(row[begin])).combine_chunks(), t[row[begin]], start[begin], start[end] + length)
 
-    return context.repartition("h").sortWithinPartitions("h").mapInArrow(compare, _SPAN)
+    return context.repartition("h").sortWithinPartitions("h").mapInArrow(tidied(compare), _SPAN)
 
 
 def _by_windows(context: DataFrame, length: int, keep_first: bool) -> DataFrame:
@@ -283,7 +281,7 @@ def digest(docs: DataFrame, length: int = 200, keep_first: bool = False, key: st
                     column.append(value)
             yield batch(schema, part.column("id"), *found)
 
-    return cut_spans(rows.select("id", "t", "text"), spans).select("id", "text", "spans").mapInArrow(finish, out)
+    return cut_spans(rows.select("id", "t", "text"), spans).select("id", "text", "spans").mapInArrow(tidied(finish), out)
 
 
 def remove_repeats(docs: DataFrame, length: int = 200, key: str = "doc_id", text: str = "text", size: str | None = None) -> DataFrame:
@@ -313,4 +311,4 @@ def remove_repeats(docs: DataFrame, length: int = 200, key: str = "doc_id", text
             yield batch(schema, *(columns[c] for c in docs_columns))
 
     docs_columns = docs.columns
-    return cut_spans(rows.select("id", "t", "text", "row"), spans).select("row", "spans").mapInArrow(finish, kind)
+    return cut_spans(rows.select("id", "t", "text", "row"), spans).select("row", "spans").mapInArrow(tidied(finish), kind)

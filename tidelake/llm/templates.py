@@ -3,11 +3,11 @@
 Words lose their outer punctuation; numbers, capitalised words (names) and units after a number become typed
 placeholders, all other words are compared in lower case. Other readings take successive names as one, take names as
 words (for copies in another case), and take every word as it is. Windows of ``WINDOW`` words are hashed and joined with those
-of the benchmark. Windows on one diagonal form a match; its slots must be filled consistently: equal values of the
+of the benchmark. Windows on one diagonal form a match; slots must be filled consistently within a run of windows: equal values of the
 item stay equal in the document, so a re-parameterised question is caught and a chance agreement of placeholders is not.
-Unlike values may become equal.
+Unlike values may become equal, and values that are apart may change independently of one another.
 
-A window counts alone with ``LITERALS`` words that are no placeholder. Windows with ``FEW`` count as a run of all the item's
+A window counts alone with ``LITERALS`` words that are no placeholder. Windows with ``FEW`` count as a consistent run of all the item's
 windows, or of ``WINDOW`` of them. Items shorter than a window are one window of their own length; those under ``SHORTEST``
 words match only as they are. A bitmap of ``FILTER_BITS`` bits, filled from all benchmark windows, keeps other
 windows of the documents out of the join; its size does not depend on either table.
@@ -23,11 +23,11 @@ from itertools import product
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelake.llm.shared import arrow_schema, batch, keep, mix
+from tidelake.llm.shared import arrow_schema, batch, keep, mix, small, tidied
 
 WINDOW, LITERALS, FEW, SHORTEST = 10, 6, 3, 5
 FILTER_BITS = 22
@@ -104,15 +104,29 @@ class Reader:
         return self._buffer[: at + len(more)]
 
 
+_BASE = 0x9E3779B97F4A7C15
+_POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _powers(count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse modulo 2^64, which an odd base has."""
+    if count > len(_POWERS[0]):
+        for i, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            factors = np.full(2 * count, base, np.uint64)
+            factors[0] = 1
+            _POWERS[i] = np.cumprod(factors, dtype=np.uint64)
+    return _POWERS[0][:count], _POWERS[1][:count]
+
+
 def windows(template: np.ndarray, slot: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(hash, place, alone)`` of the windows of ``length`` words with some literal words, and which have enough to count alone."""
     count = len(template) - length + 1
     if count < 1:
         return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, bool)
-    total = np.full(count, length, np.uint64)
-    for i in range(length):
-        total = total * np.uint64(0x9E3779B97F4A7C15) + template[i : i + count]
-        total ^= total >> np.uint64(29)
+    # a polynomial in an odd base, by prefix sums: all windows in a few operations
+    power, inverse = _powers(len(template))
+    prefix = np.append(np.uint64(0), np.cumsum(template * power, dtype=np.uint64))
+    total = (prefix[length:] - prefix[:-length]) * inverse[:count] + np.uint64(length)
     literal = np.append(0, np.cumsum(slot == 0))
     literal = literal[length:] - literal[:-length]
     place = np.flatnonzero(literal >= (length if length < SHORTEST else -(-length * FEW // WINDOW)))
@@ -148,7 +162,7 @@ def _rows(named: DataFrame, sizes, keep_hash=None) -> DataFrame:
                                 column.append(value)
                 yield batch(schema, *out)
 
-    return named.mapInArrow(find, _ROW)
+    return named.mapInArrow(tidied(find), _ROW)
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
@@ -173,16 +187,19 @@ def matches(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: st
     asked_ = asked.select("h", "size", "folded", "alone", F.col("id").alias("item"), F.col("place").alias("item_place"), F.col("slots").alias("item_slots"))
     met = found.join(asked_, ["h", "size"])
     pairs = F.filter(F.arrays_zip(F.col("item_slots").alias("v"), F.col("slots").alias("u")), lambda p: p.v != 0)
-    met = met.select("doc", "item", (F.col("place") - F.col("item_place")).alias("diagonal"), F.struct("folded", "item_place").alias("item_place"), "folded", "doc_folded", "alone", pairs.alias("pairs"))
-    # an item's windows bound what one group collects
+    met = met.select("doc", "item", (F.col("place") - F.col("item_place")).alias("diagonal"), "folded", "doc_folded", "alone", "item_place", pairs.alias("pairs"))
+    # a window that contradicts itself is none; an item's windows bound what one group collects
+    met = met.filter(_consistent(F.col("pairs")))
     runs = met.groupBy("doc", "item", "folded", "doc_folded", "diagonal").agg(
-        F.collect_set("item_place").alias("places"), F.max("alone").alias("alone"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs")
+        F.sort_array(F.collect_set(F.struct("item_place", "pairs"))).alias("windows"), F.max("alone").alias("alone")
     )
-    given = F.size(F.array_distinct(F.transform("pairs", lambda p: p.v)))
     of = asked.groupBy(F.col("id").alias("item"), "folded").agg(F.count_distinct("place").alias("of"))
-    runs = runs.filter(F.size("pairs") == given).join(of, ["item", "folded"])
-    runs = runs.filter(F.col("alone") | (F.size("places") >= F.least("of", F.lit(WINDOW))))
-    runs = runs.withColumn("same", F.forall("pairs", lambda p: p.v == p.u))
+    runs = runs.join(of, ["item", "folded"]).withColumn("need", F.least("of", F.lit(WINDOW)).cast("int"))
+    begins = F.sequence(F.lit(1), F.size("windows") - F.col("need") + 1)
+    some = F.exists(begins, lambda i: _consistent(F.flatten(F.transform(F.slice("windows", i, F.col("need")), lambda w: w.pairs))))
+    runs = runs.filter(F.col("alone") | F.when(F.size("windows") >= F.col("need"), some).otherwise(False))
+    runs = runs.withColumn("same", F.forall("windows", lambda w: F.forall(w.pairs, lambda p: p.v == p.u)))
+    runs = runs.withColumn("places", F.transform("windows", lambda w: F.struct(F.col("folded").alias("folded"), w.item_place.alias("item_place"))))
     total = asked.groupBy(F.col("id").alias("item")).agg(F.count_distinct("folded", "place").alias("of_windows"))
     merged = runs.groupBy("doc", "item").agg(
         F.size(F.array_distinct(F.flatten(F.collect_set("places")))).alias("windows"), F.max("same").alias("same_values")
@@ -190,7 +207,13 @@ def matches(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: st
     return merged.join(total, "item").select("doc", "item", "windows", "of_windows", "same_values")
 
 
+def _consistent(pairs: Column) -> Column:
+    """Whether equal values of the item stand for equal values of the document."""
+    distinct = F.array_distinct(pairs)
+    return F.size(distinct) == F.size(F.array_distinct(F.transform(distinct, lambda p: p.v)))
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents without those that hold a passage of the benchmark."""
-    found = matches(docs, benchmark, key, text).select(F.col("doc").alias(key)).distinct()
-    return docs.join(found, key, "left_anti").select(*docs.columns)
+    found = keep(matches(docs, benchmark, key, text).select(F.col("doc").alias(key)).distinct(), "documents-with-items")
+    return docs.join(small(found), key, "left_anti").select(*docs.columns)
