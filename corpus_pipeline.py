@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelake.llm import language, minhash, pieces, suffixes, templates
-from tidelake.llm.shared import keep, table
+from tidelake.llm.shared import bound_batches, keep, table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -14,6 +14,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Null and empty texts go; repeated rows are judged alike; columns pass through under any name; an empty table stays empty.
     """
+    bound_batches(spark)
     rows = docs.select(F.struct(*docs.columns).alias("row"), "text")
     found = language.identify(rows, language.train(docs))
     return found.filter(language.certain(found)).select("row.*")
@@ -50,6 +51,7 @@ def segmentations(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """
     import public_tokenizers
 
+    bound_batches(spark)
     found = pieces.segmentations(docs, public_tokenizers.path("piece_bpe_32k.model"), k=2)
     return found.withColumnRenamed("id", "doc_id").drop("decoded")
 

@@ -14,6 +14,7 @@ def customer_secure(customers: DataFrame, cleared: bool = False) -> DataFrame:
     """Customers with a shortened person id and coarse coordinates unless ``cleared``."""
     if cleared:
         return customers
+    define(customers.sparkSession)
     return customers.withColumns(
         {
             "customer_unique_id": mask_customer_id(F.col("customer_unique_id")),
@@ -32,6 +33,7 @@ def review_text_masked(reviews: DataFrame, cleared: bool = False) -> DataFrame:
     """Silver reviews with their text hidden but its presence visible."""
     if cleared:
         return reviews
+    define(reviews.sparkSession)
     texts = ("review_comment_title", "review_comment_message")
     return reviews.withColumns({c: mask_free_text(F.col(c)) for c in texts})
 
