@@ -118,10 +118,10 @@ class Job:
 
     def report(self) -> DataFrame:
         """Refresh the expectation report table."""
-        ops = self.tables.schema("ops")
-        self.tables.log.define(ops)
+        self.tables.log.define(self.tables.schema("ops"))
+        self.tables.log.define()
         logs = {
-            layer: lambda layer=layer: self.spark.sql(f"SELECT * FROM {ops}.event_log('{layer}')")
+            layer: lambda layer=layer: self.spark.sql(f"SELECT * FROM event_log('{layer}')")
             for layer in ("silver", "gold")
         }
         self.tables.publish("ops", "dq_expectation_report", stamped_report(expectation_report(logs)))

@@ -37,9 +37,14 @@ class EventLog:
         logged = self.spark.read.schema(SCHEMA).option("recursiveFileLookup", True).json(self.folder)
         return logged.filter(F.col("layer") == layer).drop("layer")
 
-    def define(self, schema: str) -> None:
-        """Make the log a table function: ``SELECT * FROM <schema>.event_log('silver')``."""
+    def define(self, schema: str | None = None) -> None:
+        """Make the log a table function: ``SELECT * FROM event_log('silver')``.
+
+        For the session, or in a schema of the catalog, where it is found once that is the current one (Spark takes no
+        schema before the name of a table function).
+        """
+        target = f"FUNCTION {schema}.event_log" if schema else "TEMPORARY FUNCTION event_log"
         columns = "timestamp TIMESTAMP, event_type STRING, details STRING"
-        self.spark.sql(f"""CREATE OR REPLACE FUNCTION {schema}.event_log(of_layer STRING) RETURNS TABLE({columns})
+        self.spark.sql(f"""CREATE OR REPLACE {target}(of_layer STRING) RETURNS TABLE({columns})
             COMMENT 'Expectation outcomes of all updates of a layer'
             RETURN SELECT to_timestamp(timestamp), event_type, details FROM json.`{self.folder}/*` WHERE layer = of_layer""")
