@@ -871,7 +871,7 @@ def _statements() -> dict[str, str]:
             )
         ),
         "layout_skipping": " UNION ALL ".join(
-            f"SELECT '{layout}' AS layout, '{kind}' AS filter, {skips} AS skips_half, count(*) FILTER (WHERE {hit}) AS rows FROM fct_order_items"
+            f"SELECT '{layout}' AS layout, '{kind}' AS filter, {skips} AS skips_files, count(*) FILTER (WHERE {hit}) AS rows FROM fct_order_items"
             for layout, kind, skips in (("ranges", "month", True), ("ranges", "seller", False), ("curve", "month", True), ("curve", "seller", True))
             for hit in ["order_purchase_timestamp BETWEEN TIMESTAMP '1996-03-01' AND TIMESTAMP '1996-04-01'" if kind == "month" else "seller_id = '7'"]
         ),

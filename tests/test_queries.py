@@ -80,4 +80,4 @@ def test_scans_read_only_needed_columns(spark, capsys, name, table, wanted, unwa
 
 def test_filters_reach_the_scan(spark, capsys):
     contract.queries()["q10_ontime_rate"](spark, str(FOLDER)).explain("formatted")
-    assert "PushedFilters: [IsNotNull(o_orderkey)" in capsys.readouterr().out
+    assert "PushedFilters: [IsNotNull(l_linenumber)]" in capsys.readouterr().out

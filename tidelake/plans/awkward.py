@@ -210,7 +210,7 @@ def layout_skipping(spark: SparkSession, folder: str, lake: Lake) -> DataFrame:
         for kind, column, least, most in (("month", "order_purchase_timestamp", *month), ("seller", "seller_id", F.lit("7"), F.lit("7"))):
             files = files_touched(stored, column, least, most).first()
             rows = stored.agg(F.count_if(F.col(column).between(least, most)).alias("rows"))
-            skips = F.lit(files.touched * 2 < files.files).alias("skips_half")
+            skips = F.lit(files.touched < files.files).alias("skips_files")
             found.append(rows.select(F.lit(layout).alias("layout"), F.lit(kind).alias("filter"), skips, "rows"))
     return union_all(found)
 

@@ -48,11 +48,13 @@ RELATIONS = (
 )
 
 
-def driver_lake(spark: SparkSession, folder: str, fanout_safe: bool = False) -> Lake:
-    """The lake over the driver tables."""
+def driver_lake(
+    spark: SparkSession, folder: str, number_lines: bool = False, fanout_safe: bool = False
+) -> Lake:
+    """The lake over the driver tables. Only line-level tables need lines numbered."""
     return Lake(
         tune(spark),
-        DriverTables(spark, folder),
+        DriverTables(spark, folder, number_lines),
         calendar=CALENDAR,
         min_seller_lines=600,
         fanout_safe=fanout_safe,
@@ -78,9 +80,9 @@ def _placed(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.round(F.col(c) + 1e-9, 6) for c in coordinates})
 
 
-def _table(name: str) -> Query:
+def _table(name: str, number_lines: bool = False) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        return plain(_placed(driver_lake(spark, folder)[name]))
+        return plain(_placed(driver_lake(spark, folder, number_lines)[name]))
 
     return query
 
@@ -105,7 +107,7 @@ def _recorded_lake(spark: SparkSession, folder: str) -> tuple[Lake, EventLog]:
     """Every data set with rules stored once, with its counts in an event log."""
     work = scratch_folder(spark, "recorded")
     log = EventLog(spark, f"{work}/log")
-    return dq.recorded(driver_lake(spark, folder), log, work, undated=CALENDAR[1][:8] + "01"), log
+    return dq.recorded(driver_lake(spark, folder, number_lines=True), log, work, undated=CALENDAR[1][:8] + "01"), log
 
 
 def _expectation_report(spark: SparkSession, folder: str) -> DataFrame:
@@ -129,7 +131,7 @@ def _orphans(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _asof_seller(spark: SparkSession, folder: str) -> DataFrame:
-    lake = driver_lake(spark, folder)
+    lake = driver_lake(spark, folder, number_lines=True)
     lines = lake["fct_order_items"].select("order_item_sk", "seller_id", "order_purchase_timestamp")
     joined = asof_join(
         lines, lake["sv_sellers_history"], "seller_id", "order_purchase_timestamp",
@@ -431,7 +433,7 @@ LAYOUT_TABLES = ("fct_order_items", "fct_payments", "fct_reviews")
 def _layout(spark: SparkSession, folder: str) -> DataFrame:
     """The three fact tables published, rewritten by their clustering columns and analysed, in a
     namespace of their own; with the rows of each table after the step."""
-    lake = driver_lake(spark, folder)
+    lake = driver_lake(spark, folder, number_lines=True)
     root = scratch_folder(spark, "layout")
     tables = Tables(spark, root, f"layout_{uuid.uuid4().hex}")
     for name in LAYOUT_TABLES:
@@ -443,9 +445,9 @@ def _layout(spark: SparkSession, folder: str) -> DataFrame:
     return spark.createDataFrame(named, "table string, step string, status string, rows bigint")
 
 
-def _over_lake(build: Callable[[SparkSession, str, Lake], DataFrame]) -> Query:
+def _over_lake(build: Callable[[SparkSession, str, Lake], DataFrame], number_lines: bool) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        return build(spark, folder, driver_lake(spark, folder))
+        return build(spark, folder, driver_lake(spark, folder, number_lines))
 
     return query
 
@@ -474,8 +476,8 @@ QUERIES: dict[str, Query] = {
             "v_fct_reviews_secure",
         )
     },
-    "sv_order_items": _table("sv_order_items"),
-    "fct_order_items": _table("fct_order_items"),
+    "sv_order_items": _table("sv_order_items", number_lines=True),
+    "fct_order_items": _table("fct_order_items", number_lines=True),
     "dim_date": _order_calendar,
     "q01_monthly_report": _report(analytics.monthly_report, "mart_monthly_revenue"),
     "q02_seller_states": _report(analytics.seller_states, "mart_seller_scorecard"),
@@ -551,7 +553,6 @@ QUERIES: dict[str, Query] = {
     **{f.__name__: f for f in (
         awkward.csv_all_sources, awkward.csv_audit, awkward.landing_gate, awkward.null_keys, awkward.stream_quarantine, awkward.asof_hot_key,
     )},
-    **{f.__name__: _over_lake(f) for f in (
-        awkward.drop_rules, awkward.fail_rules, awkward.report_order, awkward.layout_skipping, awkward.sql_views,
-    )},
+    **{f.__name__: _over_lake(f, True) for f in (awkward.drop_rules, awkward.fail_rules, awkward.layout_skipping)},
+    **{f.__name__: _over_lake(f, False) for f in (awkward.report_order, awkward.sql_views)},
 }
