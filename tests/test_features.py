@@ -110,6 +110,22 @@ def test_both_columns_of_a_curve_let_files_be_skipped(spark, tmp_path):
     assert cluster(unknown, ["x", "y"]).count() == 3 and cluster(unknown.limit(0), ["x", "y"]).count() == 0
 
 
+def test_a_place_on_the_curve_takes_one_comparison_for_each_bit(spark, capsys):
+    df = spark.range(5000).selectExpr("CASE WHEN id % 50 > 0 THEN xxhash64(id) % 1000 / 7 END AS x", "pow(id % 300, 3) AS y", "id")
+    place = curve_place(df, ["x", "y"])
+    shares = [i / 64 for i in range(1, 64)]
+    cuts = [sorted(set(c)) for c in df.agg(*[F.percentile_approx(c, shares, 1024) for c in "xy"]).first()]
+    for x, y, found in df.select("x", "y", place).collect():
+        expected = 0
+        for i, (value, limits) in enumerate(zip((x, y), cuts)):
+            bucket = 0 if value is None else sum(value >= c for c in limits)
+            expected |= sum((bucket >> bit & 1) << (2 * bit + 1 - i) for bit in range(6))
+        assert found == expected
+    cluster(df, ["x", "y"], files=4).explain("extended")
+    plan = capsys.readouterr().out
+    assert "lambda" not in plan and "__place" in plan
+
+
 def test_orphans_of_all_relations_in_one_pass(spark, rows):
     frames = {
         "f": spark.createDataFrame([("a", 1), ("x", 2), ("x", None), (None, 9)], "k string, n int"),
