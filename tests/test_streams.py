@@ -214,3 +214,11 @@ def test_no_segment_of_a_hot_key_is_large(spark, kind):
     assert all(x[2] < y[1] for x, y in zip(found, found[1:]))
     cut, whole = (history(log, ["k"], "at", max_rows=n) for n in (5000, 10**6))
     assert cut.exceptAll(whole).isEmpty() and whole.exceptAll(cut).isEmpty()
+
+
+def test_short_segments_cost_no_partition_each(spark):
+    log = spark.range(40_000).selectExpr("'hot' AS k", "timestamp_seconds(1500000000 + id % 900) AS at", "md5(cast(id AS string)) AS v")
+    rows = hotkeys.segment_by_rank(log, ["k"], ["at", "v"], 100)
+    assert len(rows.inputFiles()) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sizes = rows.groupBy(hotkeys.SEGMENT).count().agg(F.max("count"), F.sum("count"), F.count("*")).first()
+    assert sizes[0] <= 50 and sizes[1] == 40_000 and sizes[2] >= 800
