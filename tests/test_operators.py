@@ -118,6 +118,13 @@ def test_sequence_ties_are_reported(spark, rows):
     assert rows(sequence_ties(log, ["k"], "at"), "k", "variants") == [("b", 2)]
 
 
+def test_rows_without_heavy_keys_are_numbered_in_one_move(spark, capsys):
+    df = spark.range(100).selectExpr("id % 30 AS k", "id AS v")
+    number_rows(df, ["k"], [F.col("v").cast("string")], ["v"], "n").explain("simple")
+    plan = capsys.readouterr().out
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+
+
 def test_row_numbers_do_not_depend_on_segmentation(spark, rows):
     data = [("hot" if i % 3 else f"k{i % 5}", i) for i in range(300)] + [(None, i) for i in range(9)]
     df = spark.createDataFrame(data, "k string, v int")
