@@ -12,6 +12,7 @@ from tidelake.operators import rules
 from tidelake.operators.expectations import Rule
 from tidelake.operators.integrity import Relation, orphan_report
 from tidelake.operators.layout import cluster, curve_place, files_touched
+from tidelake.session import tune
 from tidelake.sources.eventlog import EventLog
 from tidelake.sources.inference import InferredSchema, possible
 
@@ -126,6 +127,14 @@ def test_a_place_on_the_curve_takes_one_comparison_for_each_bit(spark, capsys):
     assert "lambda" not in plan and "__place" in plan
 
 
+def test_shuffle_files_go_with_their_statement(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    before = files.getAllFiles().size()
+    df = tune(spark).range(10_000).groupBy((F.col("id") % 7).alias("k")).count()
+    assert df.agg(F.sum("count")).first()[0] == 10_000 and files.getAllFiles().size() <= before
+    assert sorted(df.collect()) == sorted(df.collect()) and len(df.collect()) == 7
+
+
 def test_orphans_of_all_relations_in_one_pass(spark, rows):
     frames = {
         "f": spark.createDataFrame([("a", 1), ("x", 2), ("x", None), (None, 9)], "k string, n int"),
