@@ -13,6 +13,7 @@ from tidelake.operators.expectations import Rule
 from tidelake.operators.integrity import Relation, orphan_report
 from tidelake.operators.layout import cluster, curve_place, files_touched
 from tidelake.session import tune
+from tidelake.sources import driver_tables
 from tidelake.sources.eventlog import EventLog
 from tidelake.sources.inference import InferredSchema, possible
 
@@ -135,6 +136,16 @@ def test_shuffle_files_go_with_their_statement(spark):
     assert sorted(df.collect()) == sorted(df.collect()) and len(df.collect()) == 7
 
 
+def test_shuffles_are_sized_by_the_driver_tables(spark, monkeypatch):
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    monkeypatch.setattr(driver_tables, "PARTITION_BYTES", 4096)
+    try:
+        driver_tables.DriverTables(spark, SMALL)
+        assert int(spark.conf.get(key)) > 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    finally:
+        spark.conf.unset(key)
+
+
 def test_orphans_of_all_relations_in_one_pass(spark, rows):
     frames = {
         "f": spark.createDataFrame([("a", 1), ("x", 2), ("x", None), (None, 9)], "k string, n int"),
