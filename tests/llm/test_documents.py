@@ -268,6 +268,34 @@ def test_chains_find_passages_with_many_edits(documents, words, step):
     assert found == want and (len(want) == 40 or step == 5)
 
 
+def test_chains_find_shifted_passages_of_repetitive_texts(documents):
+    """Nearly every word triple of two texts occurs many times in both, at other places and in another number."""
+    pick = np.random.default_rng(7)
+    passage, before, after = (" ".join(pick.choice(["to", "be", "or"], n)) for n in (60, 400, 500))
+    rows = [(1, f"{before} {passage} first", "en"), (2, f"{passage} second {after}", "en")]
+    found = [r for r in chains.passages(documents(rows)).collect() if (r.doc_id, r.other_id) == (2, 1)]
+    assert any(r.start == 0 and r.other_start == 400 and r.end >= 60 and r.agreeing >= 60 for r in found)
+
+
+@pytest.mark.parametrize("block", [1, 50, 1 << 18])
+def test_runs_hold_all_matches_in_blocks_of_any_size(monkeypatch, block):
+    monkeypatch.setattr(chains, "BLOCK", block)
+    pick = np.random.default_rng(block)
+    for size in (0, 2, 3, 40, 150):
+        a, b = (pick.integers(0, 3, n).astype(np.uint64) for n in (size, 90))
+        for other in (b, None):
+            held = b if other is not None else a
+            pairs = [(i, j) for i in range(size - 2) for j in range(len(held) - 2 if other is not None else i) if (a[i : i + 3] == held[j : j + 3]).all()]
+            want = {}
+            for i, j in pairs:  # by place
+                on = want.setdefault(i - j, [])
+                if on and i - on[-1][1] <= chains.JOIN_GAP:
+                    on[-1][1:] = [i, on[-1][2] + 1]
+                else:
+                    on.append([i, i, 1])
+            assert chains.runs(chains.shared(a, other)) == sorted((s, e + 1, d, n) for d, on in want.items() for s, e, n in on)
+
+
 def test_fenwick_chains_equal_all_predecessors():
     pick = np.random.default_rng(4)
     for _ in range(60):
