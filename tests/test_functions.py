@@ -5,10 +5,11 @@ from pyspark.sql import functions as F
 
 from tidelake.functions.bands import customer_segment, delay_bucket, size_bucket
 from tidelake.functions.flags import freight_share, late_by_calendar, late_by_clock
-from tidelake.functions.keys import surrogate_key
+from tidelake.functions.keys import packed_key, surrogate_key
 from tidelake.functions.masks import mask_coordinate, mask_customer_id, mask_free_text
 from tidelake.functions.text import normalise_city
 from tidelake.functions.times import clock_seconds, month_label
+from tidelake.plans.analytics import star_report
 
 
 def one(spark, schema, values, column):
@@ -100,3 +101,24 @@ def test_time_helpers_for_both_stamp_types(spark, kind):
     df = spark.sql(f"SELECT CAST('2018-03-05 01:02:03.5' AS {kind}) AS ts")
     got = df.select(month_label(F.col("ts")), clock_seconds(df, "ts")).first()
     assert tuple(got) == ("2018-03", 1520211723)
+
+
+def test_packed_keys_are_short_and_tell_all_keys_apart(spark):
+    sk = "SELECT sha2('a', 256) AS k UNION ALL SELECT sha2('b', 256)"
+    odd = "VALUES ('7'), (''), (upper(sha2('a', 256))), ('0g'), ('ab'), (repeat('x', 32)), (repeat('é', 32)), (CAST(NULL AS STRING))"
+    keys = spark.sql(f"{sk} UNION ALL {odd}").select("k", packed_key("k").alias("packed")).collect()
+    assert all((r.k is None) == (r.packed is None) for r in keys)
+    assert len({bytes(r.packed) for r in keys if r.k is not None}) == len(keys) - 1
+    assert [len(r.packed) for r in keys[:2]] == [32, 32]
+
+
+def test_star_report_moves_keys_as_bytes(spark):
+    """The dimensions meet the lines by packed keys, and keys that are no digests still meet."""
+    lines = spark.sql("SELECT sha2('s', 256) AS seller_sk, 'p' AS product_sk, CAST(NULL AS STRING) AS customer_sk, date'2020-01-02' AS order_date_key,"
+                      " CAST(3 AS DECIMAL(10,2)) AS gross_revenue, 4 AS delivery_days")
+    report = star_report(
+        lines, spark.sql("SELECT 'c' AS customer_sk, 'SP' AS customer_state"), spark.sql("SELECT sha2('s', 256) AS seller_sk, 'RJ' AS seller_state"),
+        spark.sql("SELECT 'p' AS product_sk, 'toys' AS category_en"), spark.sql("SELECT date'2020-01-02' AS date_key, '2020-01' AS year_month"),
+    )
+    assert [tuple(r)[:5] for r in report.collect()] == [(None, "RJ", "toys", "2020-01", 1)]
+    assert report._jdf.queryExecution().analyzed().toString().count("unhex(") >= 6
