@@ -222,3 +222,17 @@ def test_short_segments_cost_no_partition_each(spark):
     assert len(rows.inputFiles()) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
     sizes = rows.groupBy(hotkeys.SEGMENT).count().agg(F.max("count"), F.sum("count"), F.count("*")).first()
     assert sizes[0] <= 50 and sizes[1] == 40_000 and sizes[2] >= 800
+
+
+def test_history_reads_its_log_for_late_rows_only(spark, tmp_path, monkeypatch):
+    table = HistoryTable(spark, str(tmp_path), ["k"], "at")
+    built, derive = [], table._history
+    monkeypatch.setattr(table, "_history", lambda rows: built.append(rows) or derive(rows))
+    read = []
+    for number, rows in enumerate([[("a", 1, "x"), ("b", 1, "x")], [("a", 3, "y")], [("a", 2, "z"), ("b", 4, "y")]]):
+        built.clear()
+        table.apply(spark.createDataFrame(rows, "k string, at int, v string"), number)
+        read.append(sum("/log" in f and f"batch_id={number}" not in f for df in built for f in df.inputFiles()))
+    assert read[:2] == [0, 0] and read[2] > 0
+    found = {(r.k, r.v, r["__START_AT"], r["__END_AT"]) for r in table.read().collect()}
+    assert found == {("a", "x", 1, 2), ("a", "z", 2, 3), ("a", "y", 3, None), ("b", "x", 1, 4), ("b", "y", 4, None)}

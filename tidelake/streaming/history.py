@@ -103,7 +103,7 @@ class HistoryTable:
             return
         touched = rows.groupBy(*self.keys).agg(F.min(self.sequence).alias("__first"), F.max(self.sequence).alias("__newest"))
         if at is None:
-            late, whole = None, True
+            late, whole = 0, True
             versions = self._with_last(self._history(rows), touched)
         else:
             late, versions = self._continued(rows, touched, at, batch_id)
@@ -114,7 +114,7 @@ class HistoryTable:
         kind = F.when(F.col(END).isNull(), "open").otherwise("closed")
         written = versions.withColumn(KIND, kind).write.partitionBy(KIND).mode("overwrite")
         written.parquet(f"{self.folder}/{BATCH}={batch_id}")
-        self.commits.commit(batch_id, {"rows": 1, "base": int(whole), "late": 0 if late is None else late.count()})
+        self.commits.commit(batch_id, {"rows": 1, "base": int(whole), "late": late})
 
     def _stored(self, df: DataFrame, folder: str, batch_id: int) -> DataFrame:
         """Write a batch's part of a folder and read it again, in the session that plans adaptively."""
@@ -129,26 +129,31 @@ class HistoryTable:
         newest = seen.select(*self.keys, F.col("__newest").alias(LAST))
         return attach(versions, newest, self.keys)
 
-    def _continued(self, rows: DataFrame, touched: DataFrame, at: Standing, batch_id: int) -> tuple[DataFrame, DataFrame]:
-        """Keys with late rows, and the versions of all touched keys that this batch writes."""
+    def _continued(self, rows: DataFrame, touched: DataFrame, at: Standing, batch_id: int) -> tuple[int, DataFrame]:
+        """How many keys have late rows, and the versions of all touched keys that this batch writes.
+
+        Without late rows the log is not read, and nothing is marked.
+        """
         state = self.spark.sql(self._open(at)).drop(BATCH, KIND)
         held = attach(state, touched, self.keys).filter("__first IS NOT NULL")
         late = self._stored(held.filter(F.col(LAST) >= F.col("__first")).select(*self.keys), self.late_folder, batch_id)
+        late_keys = late.count()
         marked = late.withColumn("__late", F.lit(True))
 
-        carried = [c for c in state.columns if c not in (START, END, LAST)]
-        seeds = attach(held, marked, self.keys).filter("__late IS NULL")
-        seeds = seeds.select(*[F.col(START).alias(c) if c == self.sequence else F.col(c) for c in carried])
-        fresh = attach(rows, marked, self.keys).filter("__late IS NULL").select(*carried)
-        continued = self._history(seeds.unionByName(fresh))
+        def in_time(df: DataFrame) -> DataFrame:
+            return attach(df, marked, self.keys).filter("__late IS NULL") if late_keys else df
 
-        log = self.spark.read.parquet(self.log_folder).filter(F.col(BATCH) <= batch_id)
-        again = attach(log, marked, self.keys).filter("__late").select(*rows.columns)
-        derived = self._history(again)
+        carried = [c for c in state.columns if c not in (START, END, LAST)]
+        seeds = in_time(held).select(*[F.col(START).alias(c) if c == self.sequence else F.col(c) for c in carried])
+        versions = self._history(seeds.unionByName(in_time(rows).select(*carried)))
+        if late_keys:
+            log = self.spark.read.parquet(self.log_folder).filter(F.col(BATCH) <= batch_id)
+            again = attach(log, marked, self.keys).filter("__late").select(*rows.columns)
+            versions = versions.unionByName(self._history(again))
 
         seen = attach(touched, held.select(*self.keys, LAST), self.keys)
         seen = seen.withColumn("__newest", F.greatest("__newest", LAST)).drop(LAST)
-        return late, self._with_last(continued.unionByName(derived), seen)
+        return late_keys, self._with_last(versions, seen)
 
     def follow(self, feed: DataFrame, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
         """Keep the history up to date from a stream of change rows."""
