@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import time
 import zlib
 from itertools import combinations
 
@@ -372,6 +373,38 @@ def test_pieces_of_several_spaces_are_drawn(text):
     assert set(found) == set(want) and all(v == pytest.approx(want[k] - total) for k, v in found.items())
 
 
+def test_stretches_equal_all_pairs():
+    """The longest stretch by all pairs of words, on one diagonal and on several."""
+
+    def slow(p, q, least, percent, lo, hi):
+        good = [
+            (i - j, i)
+            for i in range(lo, hi)
+            for j in range(i, hi)
+            if p[j] - p[i] + 1 >= least and all(100 * (j - i + 1) >= percent * (x[j] - x[i] + 1) for x in (p, q))
+        ]
+        if not good:
+            return []
+        size, i = min(good)
+        return [*slow(p, q, least, percent, lo, i), (i, i - size), *slow(p, q, least, percent, i - size + 1, hi)]
+
+    draw = np.random.default_rng(1)
+    for turn in range(200):
+        size, rate = int(draw.integers(0, 50)), draw.choice([0.1, 0.3, 0.6])
+        steps = [1 + (draw.random(size) < rate) * draw.integers(0, 4, size) for _ in range(2)]
+        p, q = np.cumsum(steps[0]), np.cumsum(steps[turn % 2]) + 5
+        least, percent = int(draw.choice([5, 12])), int(draw.choice([60, 80, 100]))
+        assert sorted(chains.stretches(p, q, least, percent)) == slow(p, q, least, percent, 0, size)
+
+
+def test_a_text_of_eight_words_in_blocks_is_compared_fast():
+    """Every shift of such a text is a chain with some agreement; each took the square of its words."""
+    words = np.repeat(np.arange(1, 9, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15), 648)
+    begin = time.process_time()
+    assert chains.compared(words, None, 50, 80) == [(1, 5184, 0, 5183, 5176)]
+    assert time.process_time() - begin < 40
+
+
 def test_the_trie_is_small_and_leads_to_every_piece():
     """Every worker of an executor holds its own; a row of all bytes for each node took 57 MB."""
     vocabulary = pieces.Vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
