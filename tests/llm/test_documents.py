@@ -373,6 +373,17 @@ def test_pieces_of_several_spaces_are_drawn(text):
     assert set(found) == set(want) and all(v == pytest.approx(want[k] - total) for k, v in found.items())
 
 
+def test_many_new_cuts_take_few_calls_without_marks():
+    """The bytes of the tokens tell where cuts end; a special token after each cut doubled the text that is encoded."""
+    encoder = tokens.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    words = [f"{a}{b}" for a in ("über", "日本", "x1", "\U0001f600", "don't", "<|endoftext|>", "a\nb", "\u0301") for b in range(40)]
+    want = [np.array(encoder._encode(t), "<u4").tobytes() for t in (" ".join(words), "a  " + words[0], "", " ".join(words[::-1]))]
+    encode, sent = encoder._encode, []
+    encoder._encode = lambda text: sent.append(text) or encode(text)
+    assert encoder.encode([" ".join(words), "a  " + words[0], None, " ".join(words[::-1])]) == want
+    assert sum(map(len, sent)) < 1.5 * len(" ".join(words)) and len(sent) < 8
+
+
 def test_stretches_equal_all_pairs():
     """The longest stretch by all pairs of words, on one diagonal and on several."""
 

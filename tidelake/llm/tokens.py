@@ -19,7 +19,6 @@ from __future__ import annotations
 import json
 import os
 import zlib
-from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +35,15 @@ CACHE_ENTRIES = 800_000
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
+class _Known(dict):
+    """Ids of cuts; those asked for and not held are noted."""
+
+    unknown: list[str] = []
+
+    def __missing__(self, cut: str) -> None:
+        self.unknown.append(cut)
+
+
 class Encoder:
     """Ids of whole texts as little-endian 32-bit integers."""
 
@@ -43,6 +51,7 @@ class Encoder:
         # each task has one core, and distinct cuts gain nothing from the library's own cache
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
         if hasattr(self.tokenizer.model, "resize_cache"):
@@ -52,9 +61,13 @@ class Encoder:
         self.cuttable = (split.get("type"), split.get("use_regex"), split.get("add_prefix_space")) == ("ByteLevel", True, False)
         self.cuttable &= made.get("normalizer") is None and made["model"]["type"] == "BPE"
         self.cuttable &= not any(t["lstrip"] or t["rstrip"] or t["single_word"] or " " in t["content"] for t in made["added_tokens"])
-        special = next((t for t in made["added_tokens"] if t["special"] and not t["normalized"]), None)
-        self.mark, self.mark_id = (special["content"], special["id"]) if special else (None, None)
-        self.known: dict[str, bytes] = {}
+        # bytes that a token stands for: the vocabulary writes each byte as one character
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False) if self.cuttable else {}
+        self.sizes = np.zeros(self.tokenizer.get_vocab_size() + 1, np.int64)
+        if set(ByteLevel.alphabet()) <= vocabulary.keys() and max(made_ids := [*vocabulary.values(), *(t["id"] for t in made["added_tokens"])]) < len(self.sizes):
+            self.sizes[list(vocabulary.values())] = list(map(len, vocabulary))
+            self.sizes[made_ids[len(vocabulary) :]] = [len(t["content"].encode()) for t in made["added_tokens"]]
+        self.known = _Known()
 
     @staticmethod
     def of(path: str) -> Encoder:
@@ -67,45 +80,44 @@ class Encoder:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     def _learn(self, cuts: list[str]) -> None:
-        """Encode cuts with the space before them, many in one call: a special token keeps each by itself."""
-        one_by_one = cuts if self.mark is None else [c for c in cuts if self.mark in c]
-        self.known.update((c, np.array(self._encode(" " + c), "<u4").tobytes()) for c in one_by_one)
-        if self.mark is None:
-            return
-        cuts = [c for c in cuts if self.mark not in c]
-        for i in range(0, len(cuts), 128):
-            some = cuts[i : i + 128]
-            ids = np.array(self._encode(" " + f"{self.mark} ".join(some) + self.mark), "<u4")
-            raw, at = ids.tobytes(), 0
-            for c, end in zip(some, np.flatnonzero(ids == self.mark_id).tolist()):
-                self.known[c] = raw[4 * at : 4 * end]
-                at = end + 1
+        """Encode cuts with the space before them, many in one call: the bytes of the tokens tell where each ends."""
+        for i in range(0, len(cuts), 256):
+            some = cuts[i : i + 256]
+            joined = " " + " ".join(some)
+            ids = np.array(self._encode(joined), "<u4")
+            until = np.cumsum(self.sizes[ids])
+            raw = [len(c) for c in some] if joined.isascii() else [len(c.encode("utf-8", "surrogatepass")) for c in some]
+            ends = np.cumsum(np.array(raw) + 1)
+            last = np.searchsorted(until, ends)
+            if len(until) and until[-1] == ends[-1] and (until[last] == ends).all():
+                data, at = ids.tobytes(), 0
+                for c, end in zip(some, (4 * (last + 1)).tolist()):
+                    self.known[c] = data[at:end]
+                    at = end
+            else:
+                self.known.update((c, np.array(self._encode(" " + c), "<u4").tobytes()) for c in some)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         if len(self.known) > CACHE_ENTRIES:
             self.known.clear()
-        get, done, new = self.known.get, [], set()
+        known, done = self.known, []
+        known.unknown, get = [], known.__getitem__
         for text in texts:
-            cuts, ids = [], []
+            head, cuts, ids = text, [], []
             if text and self.cuttable:
-                cuts = text.split(" ")
-                ids = list(map(get, cuts[1:]))
-                if None in ids:
-                    fresh = {c for c, x in zip(cuts[1:], ids) if x is None}
-                    if any(not c or c[0].isspace() for c in fresh):
-                        cuts = []
-                    new |= fresh
-            done.append((text, cuts, ids))
-        self._learn([c for c in new if c and not c[0].isspace()])
+                before, cuts = len(known.unknown), text.split(" ")
+                head = cuts.pop(0)
+                ids = list(map(get, cuts))
+                if any(not c or c[0].isspace() for c in known.unknown[before:]):
+                    head, cuts, ids = text, [], []
+            done.append((head, cuts, ids))
+        self._learn([c for c in set(known.unknown) if c and not c[0].isspace()])
         found = []
-        for text, cuts, ids in done:
-            if not cuts:
-                found.append(np.array(self._encode(text), "<u4").tobytes() if text else b"")
-                continue
+        for head, cuts, ids in done:
+            first = np.array(self._encode(head), "<u4").tobytes() if head else b""
             if None in ids:
-                ids = [get(c) if x is None else x for c, x in zip(cuts[1:], ids)]
-            head = np.array(self._encode(cuts[0]), "<u4").tobytes() if cuts[0] else b""
-            found.append(head + b"".join(ids))
+                ids = [get(c) if x is None else x for c, x in zip(cuts, ids)]
+            found.append(first + b"".join(ids))
         return found
 
 
@@ -120,7 +132,7 @@ def pack(values: np.ndarray) -> tuple[bytes, bytes]:
     code = (values > 0xFF).astype(np.uint8) + (values > 0xFFFF) + (values > 0xFFFFFF)
     padded = np.zeros(-(-len(values) // 4) * 4, np.uint8)
     padded[: len(values)] = code
-    control = np.bitwise_or.reduce(padded.reshape(-1, 4) << _SHIFTS, axis=1).astype(np.uint8)
+    control = padded[::4] | padded[1::4] << 2 | padded[2::4] << 4 | padded[3::4] << 6
     data = values.view(np.uint8).reshape(-1, 4)[np.arange(4) <= code[:, None]]
     return control.tobytes(), data.tobytes()
 
@@ -175,10 +187,9 @@ def write(docs: DataFrame, tokenizer: str, path: str | None = None, key: str = "
         for part in batches:
             n = part.column("n").to_numpy()
             np.add.at(sizes, place(part), n)
-            for ids, k in zip(part.column("ids").to_pylist(), n):
-                found = np.bincount(values(ids, k), minlength=len(seen))
-                found[: len(seen)] += seen
-                seen = found
+            found = np.bincount(values(b"".join(part.column("ids").to_pylist()), int(n.sum())), minlength=len(seen))
+            found[: len(seen)] += seen
+            seen = found
         for kind, all_ in ((0, seen), (1, sizes)):
             some = np.flatnonzero(all_)
             yield batch(count_schema, np.full(len(some), kind), some, all_[some])
