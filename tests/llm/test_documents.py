@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import time
 import zlib
+from collections import Counter
 from itertools import combinations
 
 import numpy as np
@@ -251,6 +252,28 @@ def test_chains_meet_every_earlier_holder(documents, words):
     assert (found[9, 8].start, found[9, 8].end, found[9, 8].other_start, found[9, 8].agreeing) == (20, 170, 40, 150)
 
 
+def test_chains_count_seeds_without_moving_each(documents, words, monkeypatch):
+    """Chunks send packed counts; the k-mers kept are those that occur twice, wherever their copies lie."""
+    plans, kept, keep = [], [], chains.keep
+
+    def watched(df, purpose):
+        if not kept:
+            plans.append(df._jdf.queryExecution().toString())
+        found = keep(df, purpose)
+        if purpose == "seeds":
+            kept.extend(found.collect())
+        return found
+
+    monkeypatch.setattr(chains, "keep", watched)
+    monkeypatch.setattr(chains, "CHUNK_WORDS", 150)
+    rows = [(i, f"{words(40, i)} {words(30, 900 + i // 3)} {words(5, 7)}", "en") for i in range(12)] + [(20, "a b", "en"), (21, "é " * 60, "fr")]
+    chains.passages(documents(rows)).collect()
+    assert plans and not any("hashpartitioning(h" in p for p in plans)
+    triples = {(i, k): tuple(w[k : k + 3]) for i, text, _ in rows for w in [text.split()] for k in range(len(w) - 2)}
+    often = {x for x, n in Counter(triples.values()).items() if n > 1}
+    assert sorted((r.id, r.place) for r in kept) == sorted(k for k, x in triples.items() if x in often)
+
+
 @pytest.mark.parametrize("step", [5, 6, 8, 10, 12, 20])
 def test_chains_find_passages_with_many_edits(documents, words, step):
     """Fifty words with every ``step``-th changed, all of them."""
