@@ -462,6 +462,26 @@ def test_samples_do_not_depend_on_the_batch(corpus):
         assert [x[0].tolist() for x in found] == [x[0].tolist() for x in want]
 
 
+def test_cuts_that_come_again_are_not_built_again(words, monkeypatch):
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    texts = [words(200, i) for i in range(6)] + [None, "", "  a é\u4e00  ", "x" * 300]
+    keys = list(map(str, range(len(texts))))
+
+    def drawn(vocabulary, at):
+        return [(ids.tolist(), p) for some in at for found in pieces.sample(vocabulary, texts[some], keys[some], 3, 5) for ids, p, *_ in found]
+
+    held = pieces.Vocabulary(path)
+    first, edges = drawn(held, [slice(None)]), held.lattice.edges
+    one_by_one = [slice(i, i + 1) for i in range(len(texts))]
+    again = drawn(held, one_by_one)
+    assert held.lattice.edges == edges > 0 and held.lattice.cuts == len(held.numbers)
+    monkeypatch.setattr(pieces, "HELD_EDGES", 0)
+    anew = drawn(held, one_by_one)
+    assert held.lattice.edges < edges
+    for other in (again, anew):
+        assert [x for x, _ in other] == [x for x, _ in first] and np.allclose([p for _, p in other], [p for _, p in first])
+
+
 def test_samples_follow_the_lattice_without_replacement():
     """First draws have the lattice's probabilities, and inverse inclusion scores are unbiased."""
     vocabulary = pieces.Vocabulary.of(public_tokenizers.path("piece_bpe_32k.model"))
