@@ -274,6 +274,29 @@ def test_chains_count_seeds_without_moving_each(documents, words, monkeypatch):
     assert sorted((r.id, r.place) for r in kept) == sorted(k for k, x in triples.items() if x in often)
 
 
+def test_cuts_that_come_again_are_encoded_once(monkeypatch, words):
+    encoder = tokens.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    often, learnt, learn = words(50, 8), [], encoder._learn
+    monkeypatch.setattr(encoder, "_learn", lambda cuts: (learnt.extend(cuts), learn(cuts)))
+    monkeypatch.setattr(tokens, "CACHE_ENTRIES", 100)
+    texts = [f"x {often} {' '.join(f'w{i}q{k}' for k in range(70))}" for i in range(6)]
+    texts += ["a  b", "a ", " a", " ", "", None, "a \n b", "a\n b\n", "a \u3000b", "é ü\n"]
+    want = [np.array(encoder.tokenizer.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert [encoder.encode([t])[0] for t in texts] == want
+    # words forgotten in between are learnt again, those that come up in every text are not
+    assert Counter(learnt).most_common(1)[0][1] == 1
+
+
+def test_rows_are_packed_together_as_alone():
+    pick = np.random.default_rng(4)
+    rows = [pick.integers(0, 1 << pick.integers(1, 33), n).astype(np.uint32) for n in (0, 1, 4, 5, 0, 333, 3, 0)]
+    counts = np.array(list(map(len, rows)))
+    control, data = tokens.pack_rows(np.concatenate(rows), counts)
+    assert [(c.as_py(), d.as_py()) for c, d in zip(control, data)] == [tokens.pack(r) for r in rows]
+    assert (tokens.unpack_rows(control.to_pylist(), data.to_pylist(), counts) == np.concatenate(rows)).all()
+    assert all((tokens.unpack(*tokens.pack(r), len(r)) == r).all() for r in rows)
+
+
 @pytest.mark.parametrize("step", [5, 6, 8, 10, 12, 20])
 def test_chains_find_passages_with_many_edits(documents, words, step):
     """Fifty words with every ``step``-th changed, all of them."""

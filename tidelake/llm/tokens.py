@@ -18,7 +18,9 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import zlib
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -30,18 +32,13 @@ from tidelake.llm.shared import arrow_schema, batch, keep
 from tidelake.session import scratch_folder
 
 END_ID = 2
-#: A worker forgets its cuts beyond so many; they are encoded again when they come up.
+#: Beyond so many cuts a worker forgets those that did not come up since it last had so many.
 CACHE_ENTRIES = 800_000
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
-class _Known(dict):
-    """Ids of cuts; those asked for and not held are noted."""
-
-    unknown: list[str] = []
-
-    def __missing__(self, cut: str) -> None:
-        self.unknown.append(cut)
+#: A space before another one or at the end.
+_UNCUTTABLE = re.compile(r" (?:\s|\Z)")
 
 
 class Encoder:
@@ -67,7 +64,8 @@ class Encoder:
         if set(ByteLevel.alphabet()) <= vocabulary.keys() and max(made_ids := [*vocabulary.values(), *(t["id"] for t in made["added_tokens"])]) < len(self.sizes):
             self.sizes[list(vocabulary.values())] = list(map(len, vocabulary))
             self.sizes[made_ids[len(vocabulary) :]] = [len(t["content"].encode()) for t in made["added_tokens"]]
-        self.known = _Known()
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     @staticmethod
     def of(path: str) -> Encoder:
@@ -99,25 +97,19 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         if len(self.known) > CACHE_ENTRIES:
-            self.known.clear()
-        known, done = self.known, []
-        known.unknown, get = [], known.__getitem__
-        for text in texts:
-            head, cuts, ids = text, [], []
-            if text and self.cuttable:
-                before, cuts = len(known.unknown), text.split(" ")
-                head = cuts.pop(0)
-                ids = list(map(get, cuts))
-                if any(not c or c[0].isspace() for c in known.unknown[before:]):
-                    head, cuts, ids = text, [], []
-            done.append((head, cuts, ids))
-        self._learn([c for c in set(known.unknown) if c and not c[0].isspace()])
-        found = []
-        for head, cuts, ids in done:
-            first = np.array(self._encode(head), "<u4").tobytes() if head else b""
-            if None in ids:
-                ids = [get(c) if x is None else x for c, x in zip(cuts, ids)]
-            found.append(first + b"".join(ids))
+            self.known, self.older = {}, self.known
+        done = [t.split(" ") if t and self.cuttable and not _UNCUTTABLE.search(t) else [t or ""] for t in texts]
+        # a small table of the cuts at hand answers faster than that of all
+        ids = dict.fromkeys(chain.from_iterable(islice(cuts, 1, None) for cuts in done))
+        known, older = self.known, self.older
+        self._learn([c for c in ids if c not in known and c not in older])
+        for c in ids:
+            x = known.get(c)
+            ids[c] = known.setdefault(c, older[c]) if x is None else x
+        found, get = [], ids.__getitem__
+        for cuts in done:
+            first = np.array(self._encode(cuts[0]), "<u4").tobytes() if cuts[0] else b""
+            found.append(first + b"".join(map(get, islice(cuts, 1, None))))
         return found
 
 
@@ -126,22 +118,37 @@ _SHIFTS = np.array([0, 2, 4, 6], np.uint8)
 LENGTHS = (((np.arange(256)[:, None] >> _SHIFTS) & 3) + 1).astype(np.uint8)
 
 
-def pack(values: np.ndarray) -> tuple[bytes, bytes]:
-    """Control and data bytes of unsigned 32-bit values."""
+def _binary(data: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """A binary column of consecutive parts of the data, given the byte at which each ends."""
+    offsets = np.append(0, ends).astype("<i4")
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))])
+
+
+def _codes(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The control bytes until the end of each row, and the place of each value's code: a row begins with a control byte."""
+    quads = -(-counts // 4)
+    until = np.cumsum(quads)
+    return until, np.arange(counts.sum()) + np.repeat(4 * (until - quads) - np.cumsum(counts) + counts, counts)
+
+
+def pack_rows(values: np.ndarray, counts: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """Control and data bytes of rows of unsigned 32-bit values that follow each other."""
     values = np.ascontiguousarray(values, "<u4")
     code = (values > 0xFF).astype(np.uint8) + (values > 0xFFFF) + (values > 0xFFFFFF)
-    padded = np.zeros(-(-len(values) // 4) * 4, np.uint8)
-    padded[: len(values)] = code
+    until, place = _codes(counts)
+    padded = np.zeros(4 * int(until[-1]) if len(until) else 0, np.uint8)
+    padded[place] = code
     control = padded[::4] | padded[1::4] << 2 | padded[2::4] << 4 | padded[3::4] << 6
     data = values.view(np.uint8).reshape(-1, 4)[np.arange(4) <= code[:, None]]
-    return control.tobytes(), data.tobytes()
+    ends = np.append(0, np.cumsum(code + np.int64(1)))[np.cumsum(counts)]
+    return _binary(control, until), _binary(data, ends)
 
 
-def unpack(control: bytes, data: bytes, count: int) -> np.ndarray:
+def unpack_rows(control: list[bytes], data: list[bytes], counts: np.ndarray) -> np.ndarray:
     """The values: the control bytes' table entries give each value's place and length."""
-    lengths = LENGTHS[np.frombuffer(control, np.uint8)].ravel()[:count]
+    lengths = LENGTHS[np.frombuffer(b"".join(control), np.uint8)].ravel()[_codes(counts)[1]]
     places = np.cumsum(lengths, dtype=np.int64) - lengths
-    raw = np.frombuffer(data + b"\0\0\0", np.uint8)
+    raw = np.frombuffer(b"".join([*data, b"\0\0\0"]), np.uint8)
     values = raw[places].astype(np.uint32)
     for i in (1, 2, 3):
         longer = np.flatnonzero(lengths > i)
@@ -150,6 +157,16 @@ def unpack(control: bytes, data: bytes, count: int) -> np.ndarray:
     return values
 
 
+def pack(values: np.ndarray) -> tuple[bytes, bytes]:
+    """Control and data bytes of unsigned 32-bit values."""
+    control, data = pack_rows(values, np.array([len(values)]))
+    return control[0].as_py(), data[0].as_py()
+
+
+def unpack(control: bytes, data: bytes, count: int) -> np.ndarray:
+    return unpack_rows([control], [data], np.array([count]))
+
+
 def write(docs: DataFrame, tokenizer: str, path: str | None = None, key: str = "doc_id", text: str = "text") -> str:
     """Encode all documents with an end id each and write the files; returns their folder."""
     spark = docs.sparkSession
@@ -164,10 +181,9 @@ def write(docs: DataFrame, tokenizer: str, path: str | None = None, key: str = "
             for i in range(0, part.num_rows, 512):
                 some = part.slice(i, 512)
                 ids = [x + end for x in encoder.encode(some.column("t").to_pylist())]
-                n = [len(x) // 4 for x in ids]
-                if narrow:
-                    ids = [np.frombuffer(x, "<u4").astype("<u2").tobytes() for x in ids]
-                yield batch(raw_schema, some.column("id"), n, ids)
+                n = np.array([len(x) // 4 for x in ids])
+                values = np.frombuffer(b"".join(ids), "<u4").astype("<u2" if narrow else "<u4")
+                yield batch(raw_schema, some.column("id"), n, _binary(values.view(np.uint8), np.cumsum(n) * values.itemsize))
 
     named = docs.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("t"))
     raw = keep(named.mapInArrow(tokenise, "id bigint, n bigint, ids binary"), "token-ids")
@@ -210,10 +226,11 @@ def write(docs: DataFrame, tokenizer: str, path: str | None = None, key: str = "
 
     def encode(batches):
         for part in batches:
-            found = [values(ids, n) for ids, n in zip(part.column("ids").to_pylist(), part.column("n").to_pylist())]
-            bytes_ = [pack(rank[v]) for v in found]
-            digest = [zlib.crc32(v.astype("<u4").tobytes()) for v in found]
-            yield batch(packed_schema, place(part), part.column("id"), digest, part.column("n"), [b[0] for b in bytes_], [b[1] for b in bytes_])
+            n = part.column("n").to_numpy()
+            found = values(b"".join(part.column("ids").to_pylist()), int(n.sum()))
+            raw_bytes, ends = memoryview(found.astype("<u4").tobytes()), 4 * np.cumsum(n)
+            digest = [zlib.crc32(raw_bytes[lo:hi]) for lo, hi in zip((ends - 4 * n).tolist(), ends.tolist())]
+            yield batch(packed_schema, place(part), part.column("id"), digest, part.column("n"), *pack_rows(rank[found], n))
 
     filed = "id bigint, start bigint, n_tokens bigint, control binary, data binary"
     filed_schema = arrow_schema(T.StructType.fromDDL(filed))
@@ -242,8 +259,8 @@ def read(spark: SparkSession, path: str) -> DataFrame:
         for part in batches:
             for i in range(0, part.num_rows, 1024):
                 some = part.slice(i, 1024)
-                rows = zip(*(some.column(c).to_pylist() for c in ("control", "data", "n_tokens")))
-                ids = [order[unpack(*row)].tobytes() for row in rows]
-                yield batch(schema, *(some.column(c) for c in ("id", "start", "n_tokens")), ids)
+                n = some.column("n_tokens").to_numpy()
+                ids = order[unpack_rows(some.column("control").to_pylist(), some.column("data").to_pylist(), n)]
+                yield batch(schema, *(some.column(c) for c in ("id", "start", "n_tokens")), _binary(ids.view(np.uint8), 4 * np.cumsum(n)))
 
     return spark.read.parquet(f"{path}/shards").mapInArrow(decode, "id bigint, start bigint, n_tokens bigint, ids binary")
