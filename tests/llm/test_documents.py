@@ -252,6 +252,25 @@ def test_chains_meet_every_earlier_holder(documents, words):
     assert (found[9, 8].start, found[9, 8].end, found[9, 8].other_start, found[9, 8].agreeing) == (20, 170, 40, 150)
 
 
+def test_chains_go_on_beyond_passages_of_other_holders(documents, words):
+    """All triples that the third text shares with the second lie in its passage of the first, but the words after them do not."""
+    passage = words(80, 60).split(" ")
+    changed = [f"q{k}" if k >= 60 and k % 2 == 0 else w for k, w in enumerate(passage)]
+    rows = [(1, f"{words(40, 61)} {' '.join(passage[:60])} {words(30, 62)}", "en"), (2, f"{words(50, 63)} {' '.join(changed[30:])} {words(30, 64)}", "en"),
+            (9, f"{words(20, 65)} {' '.join(passage)} {words(70, 66)}", "en"), (10, f" {words(49, 67)}\n", "en"), (11, f" {words(49, 67)}\n", "en")]
+    found = {(r.doc_id, r.other_id): (r.start, r.end, r.other_start, r.other_end, r.agreeing) for r in chains.passages(documents(rows)).collect()}
+    assert found == {(9, 1): (20, 80, 40, 100, 60), (9, 2): (50, 100, 50, 100, 40)}
+
+
+def test_chains_compare_in_waves_and_groups_as_at_once(documents, words, monkeypatch):
+    passage = words(60, 70)
+    rows = [(i, f"{words(30, 71 + i)} {passage} {words(9 + i, 91 + i)} {words(70, 111 + i // 2)}", "en") for i in range(12)]
+    want = sorted(chains.passages(documents(rows)).collect())
+    monkeypatch.setattr(chains, "GROUP_BYTES", 1500)
+    monkeypatch.setattr(chains, "WAVE_BYTES", 1)
+    assert sorted(chains.passages(documents(rows)).collect()) == want and len(want) >= 17
+
+
 def test_chains_count_seeds_without_moving_each(documents, words, monkeypatch):
     """Chunks send packed counts; the k-mers kept are those that occur twice, wherever their copies lie."""
     plans, kept, keep = [], [], chains.keep
