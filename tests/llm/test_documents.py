@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidelake.llm import chains, language, minhash, pieces, quality, suffixes, templates, tokens
+from tidelake.llm import chains, language, minhash, pieces, quality, queries, suffixes, templates, tokens
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
@@ -400,6 +400,20 @@ def test_quality_follows_labels(spark, documents, words):
     assert {r.score for r in quality.score(documents(rows[:3]), none).collect()} == {0.5}
 
 
+def test_the_query_returns_the_segmentations_that_it_draws(spark, documents, tmp_path):
+    """Ids, not only their number and checksum: they decode to the text and add up to both."""
+    rows = [(i, t, "en") for i, t in enumerate(["over  the top", None, "", "é\n字 x"])]
+    documents(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    found = queries.op7_pieces(spark, str(tmp_path)).collect()
+    vocabulary = pieces.Vocabulary.of(public_tokenizers.path("piece_bpe_32k.model"))
+    assert {r.doc_id for r in found} == {0, 1, 2, 3}
+    for r in found:
+        assert len(r.ids) == r.n_pieces and zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32
+        assert (vocabulary.decode(r.ids) if r.ids else "") == (rows[r.doc_id][1] or "") and r.round_trip
+    assert {(r.doc_id, r.sample, tuple(r.ids)) for r in pieces.segmentations(documents(rows), public_tokenizers.path("piece_bpe_32k.model"), k=2)
+            .withColumnRenamed("id", "doc_id").collect()} == {(r.doc_id, r.sample, tuple(r.ids)) for r in found}
+
+
 def test_segmentations_are_distinct_and_decode(documents, corpus):
     rows = [r for r in corpus if r[0] != 41] + [(60, "  two  spaces ", "en"), (61, "日本 \t\U0001f600", "en")]
     found = pieces.segmentations(documents(rows), public_tokenizers.path("piece_bpe_32k.model"), k=3).collect()
