@@ -81,3 +81,16 @@ def test_scans_read_only_needed_columns(spark, capsys, name, table, wanted, unwa
 def test_filters_reach_the_scan(spark, capsys):
     contract.queries()["q10_ontime_rate"](spark, str(FOLDER)).explain("formatted")
     assert "PushedFilters: [IsNotNull(l_linenumber)]" in capsys.readouterr().out
+
+
+def test_lines_move_once_and_without_digests(spark):
+    """Numbering leaves lines where the join with orders looks for them, and keys are made of what has arrived."""
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = contract.queries()["fct_order_items"](spark, str(FOLDER))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    lines = plan.split("FileScan parquet [l_")[0]
+    assert lines.count("Exchange ") == 1 and "sha2(" in lines
+    assert "sha2(" not in plan[plan.index("Exchange ") :]
