@@ -270,3 +270,20 @@ def test_decimal_types_of_silver(spark):
     raw = spark.createDataFrame([("o", "1", "p", "s", "2018-01-01", "10.005", "1")], schema)
     line = row_wise("sv_order_items", raw.withColumn("_ingested_at", F.lit(DAY))).first()
     assert (line.price, line.freight_value) == (Decimal("10.01"), Decimal("1.00"))
+
+
+def test_asof_moves_a_fact_once_and_its_key_and_time_once(spark, rows):
+    facts = spark.sql("SELECT id % 3 AS k, timestamp_ntz'2020-01-01' + make_dt_interval(cast(id AS int)) AS at, id AS n FROM range(9)")
+    versions = spark.sql("""SELECT * FROM VALUES (0L, timestamp_ntz'2020-01-04', timestamp_ntz'2020-01-06', 'a'), (0L, timestamp_ntz'2020-01-06', NULL, 'b'),
+        (1L, NULL, NULL, 'c'), (1L, timestamp_ntz'2020-01-03', NULL, 'd') AS v(k, __START_AT, __END_AT, name)""")
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = asof_join(facts, versions, "k", "at", ["name"])
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
+    assert "struct(n, n#" in plan
+    assert rows(found, "n", "name") == [(0, "a"), (1, "d"), (2, None), (3, "a"), (4, "d"), (5, None), (6, "b"), (7, "d"), (8, None)]
+    assert found.columns == ["k", "at", "n", "name", "version_start"]
