@@ -122,3 +122,14 @@ def test_star_report_moves_keys_as_bytes(spark):
     )
     assert [tuple(r)[:5] for r in report.collect()] == [(None, "RJ", "toys", "2020-01", 1)]
     assert report._jdf.queryExecution().analyzed().toString().count("unhex(") >= 6
+
+
+def test_star_report_moves_ids_in_place_of_their_digests(spark):
+    lines = spark.sql("""SELECT sha2(s, 256) AS seller_sk, sha2(p, 256) AS product_sk, sha2('c', 256) AS customer_sk, s AS seller_id, p AS product_id,
+        date'2020-01-02' AS order_date_key, CAST(3 AS DECIMAL(10,2)) AS gross_revenue, 4 AS delivery_days FROM VALUES ('s', 'p'), (NULL, 'p'), ('t', NULL) AS v(s, p)""")
+    report = star_report(
+        lines, spark.sql("SELECT sha2('c', 256) AS customer_sk, 'SP' AS customer_state"), spark.sql("SELECT sha2('s', 256) AS seller_sk, 's' AS seller_id, 'RJ' AS seller_state"),
+        spark.sql("SELECT sha2('p', 256) AS product_sk, 'p' AS product_id, 'toys' AS category_en"), spark.sql("SELECT date'2020-01-02' AS date_key, '2020-01' AS year_month"),
+    )
+    assert sorted((tuple(r)[:5] for r in report.collect()), key=repr) == sorted([("SP", "RJ", "toys", "2020-01", 1), ("SP", None, "toys", "2020-01", 1), ("SP", None, None, "2020-01", 1)], key=repr)
+    assert "unhex(seller_sk" not in (plan := report._jdf.queryExecution().analyzed().toString()) and "unhex(product_sk" not in plan and "unhex(customer_sk" in plan
