@@ -12,6 +12,8 @@ from tidelake.operators import rules
 from tidelake.operators.expectations import Rule
 from tidelake.operators.integrity import Relation, orphan_report
 from tidelake.operators.layout import cluster, curve_place, files_touched
+from tidelake.plans import dq
+from tidelake.plans.catalogue import driver_lake
 from tidelake.session import tune
 from tidelake.sources import driver_tables
 from tidelake.sources.eventlog import EventLog
@@ -181,3 +183,11 @@ def test_marts_count_distinct_without_expanding(spark, name):
 def test_the_scorecard_groups_lines_once(spark):
     lines = [x for x in plan_of(spark, "mart_seller_scorecard").splitlines() if "FileScan" in x and "l_partkey" in x and "l_tax" in x]
     assert len(lines) == 1
+
+
+def test_recorded_tables_go_when_they_have_been_read(spark, tmp_path):
+    """Counts stay as they are; of the stored data sets only those are left that facts read, and lines are not stored at all."""
+    log = EventLog(spark, f"{tmp_path}/log")
+    left = dq.recorded(driver_lake(spark, "/root/testdata/sf0.001", number_lines=True), log, f"{tmp_path}/kept", "2001-12-01")
+    assert {p.name for p in (tmp_path / "kept").iterdir()} == {"order_spine", "sv_payments", "sv_reviews"}
+    assert left["sv_orders"].count() == 1500 and left["fct_order_items"].count() == 6000

@@ -284,6 +284,6 @@ def test_asof_moves_a_fact_once_and_its_key_and_time_once(spark, rows):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
     assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
-    assert "struct(n, n#" in plan
-    assert rows(found, "n", "name") == [(0, "a"), (1, "d"), (2, None), (3, "a"), (4, "d"), (5, None), (6, "b"), (7, "d"), (8, None)]
+    assert "struct(n, id#" in plan
+    assert rows(found, "n", "name") == [(0, "a"), (1, "c"), (2, None), (3, "a"), (4, "d"), (5, None), (6, "b"), (7, "d"), (8, None)]
     assert found.columns == ["k", "at", "n", "name", "version_start"]
