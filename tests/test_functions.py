@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from tidelake.functions.bands import customer_segment, delay_bucket, size_bucket
 from tidelake.functions.flags import freight_share, late_by_calendar, late_by_clock
-from tidelake.functions.keys import packed_key, surrogate_key
+from tidelake.functions.keys import packed_key, surrogate_key, unpacked_key
+from tidelake.operators.layout import cluster
 from tidelake.functions.masks import mask_coordinate, mask_customer_id, mask_free_text
 from tidelake.functions.text import normalise_city
 from tidelake.functions.times import clock_seconds, month_label
@@ -133,3 +134,16 @@ def test_star_report_moves_ids_in_place_of_their_digests(spark):
     )
     assert sorted((tuple(r)[:5] for r in report.collect()), key=repr) == sorted([("SP", "RJ", "toys", "2020-01", 1), ("SP", None, "toys", "2020-01", 1), ("SP", None, None, "2020-01", 1)], key=repr)
     assert "unhex(seller_sk" not in (plan := report._jdf.queryExecution().analyzed().toString()) and "unhex(product_sk" not in plan and "unhex(customer_sk" in plan
+
+
+def test_unpacked_keys_are_the_texts_that_were_packed(spark):
+    odd = "VALUES (sha2('a', 256)), ('7'), (''), (upper(sha2('a', 256))), ('0g'), (repeat('x', 32)), (repeat('é', 32)), (CAST(NULL AS STRING))"
+    assert all(r.k == r.again for r in spark.sql(odd).toDF("k").select("k", unpacked_key(packed_key("k")).alias("again")).collect())
+
+
+def test_layout_moves_surrogate_keys_as_bytes(spark):
+    df = spark.sql("SELECT sha2(cast(id AS string), 256) AS line_sk, date_add(date'2020-01-01', cast(id % 7 AS int)) AS day FROM range(20)")
+    laid = cluster(df, ["day"])
+    assert sorted(laid.collect()) == sorted(df.collect()) and laid.schema == df.schema
+    plan = laid._jdf.queryExecution().executedPlan().toString()
+    assert "unhex(" in plan[plan.index("Exchange rangepartitioning") :]
